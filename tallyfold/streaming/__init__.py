@@ -1,0 +1 @@
+"""Reserved. The workload this package covers is batch only: it has no streaming operator."""
