@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyfold.functions import temporal
@@ -24,7 +24,9 @@ CALENDAR_FEATURES = ["day_of_week", "is_weekend", "month"]
 MODEL_FEATURES = LAG_FEATURES + CALENDAR_FEATURES
 DEMAND_COLUMNS = ["product", "date", "revenue", "n_transactions", *MODEL_FEATURES]
 
-BY_DATE = Window.partitionBy("product").orderBy("date")
+
+def by_date() -> WindowSpec:
+    return Window.partitionBy("product").orderBy("date")
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
@@ -44,10 +46,10 @@ def _fill_days(daily: DataFrame, start: Column, end: Column, measures: Sequence[
 
     The first sales day of a product also emits the days from ``start``.
     """
-    following = F.lead("date").over(BY_DATE)
+    following = F.lead("date").over(by_date())
     spans = daily.select(
         "*",
-        F.when(F.row_number().over(BY_DATE) == 1, start).otherwise(F.col("date")).alias("_from"),
+        F.when(F.row_number().over(by_date()) == 1, start).otherwise(F.col("date")).alias("_from"),
         F.coalesce(F.date_sub(following, 1), end).alias("_to"),
     )
     days = spans.select("*", F.explode(F.sequence("_from", "_to")).alias("_day"))
@@ -79,7 +81,7 @@ def daily_demand(sales: DataFrame, products: Sequence[str] | DataFrame = cleanin
 def lag_features(demand: DataFrame) -> DataFrame:
     """Revenue 1, 7 and 14 days before; 0 where there is none. Needs a dense series."""
     return demand.withColumns(
-        {f"lag_{k}": F.coalesce(F.lag("revenue", k).over(BY_DATE), F.lit(0.0)) for k in LAGS}
+        {f"lag_{k}": F.coalesce(F.lag("revenue", k).over(by_date()), F.lit(0.0)) for k in LAGS}
     )
 
 
@@ -88,7 +90,7 @@ def rolling_features(demand: DataFrame) -> DataFrame:
     return demand.withColumns(
         {
             f"rolling_mean_{w}": F.coalesce(
-                F.avg("revenue").over(BY_DATE.rowsBetween(-w, -1)), F.lit(0.0)
+                F.avg("revenue").over(by_date().rowsBetween(-w, -1)), F.lit(0.0)
             )
             for w in ROLLING_WINDOWS
         }
@@ -130,7 +132,7 @@ def positioned(features: DataFrame) -> DataFrame:
     )
     return features.join(offsets, "product").select(
         *features.columns,
-        (F.row_number().over(BY_DATE) - 1 + F.col("_offset")).alias("position"),
+        (F.row_number().over(by_date()) - 1 + F.col("_offset")).alias("position"),
         "n_rows",
     )
 
