@@ -1,4 +1,7 @@
 """All registered queries; importing a query module registers its entries."""
 
-from tallyfold.plans import queries_tables  # noqa: F401
+from tallyfold.plans import (  # noqa: F401
+    queries_profiles,
+    queries_tables,
+)
 from tallyfold.plans.registry import CHECKS, QUERIES  # noqa: F401
