@@ -1,6 +1,7 @@
 """All registered queries; importing a query module registers its entries."""
 
 from tallyfold.plans import (  # noqa: F401
+    queries_forecast,
     queries_profiles,
     queries_tables,
 )
