@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators import customers, demand
-from tallyfold.sources import adapters
+from tallyfold.operators import alerts, classification, customers, demand, forecasting
+from tallyfold.scratch import materialise
+from tallyfold.sources import adapters, runs
 
 SEGMENT_NAMES = [name for _, name in customers.SEGMENT_FLOORS]
 
@@ -71,3 +72,74 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored_rfm = scored(spark, sf_dir)
     return customers.churn_features(sales(spark, sf_dir), scored_rfm, segments_of(scored_rfm))
+
+
+def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with churn label and a rule score that stands for a model's probability.
+
+    The rule only uses ratios of whole numbers, so SQL reproduces it exactly.
+    """
+    labels = customers.behaviour(sales(spark, sf_dir)).select("card", "churn")
+    return rfm(spark, sf_dir).join(labels, "card").withColumn("churn_probability", rule_score())
+
+
+def rule_score():
+    return 0.6 * (1 - F.col("recency_norm")) + 0.4 * (1 - F.col("frequency_norm"))
+
+
+def predictions(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFrame:
+    """``card, churn_probability, churn_label, segment_name, monetary`` from the rule score."""
+    return churn_table(spark, sf_dir).withColumn("churn_probability", rule_score()).select(
+        "card", "churn_probability",
+        (F.col("churn_probability") >= threshold).cast("int").alias("churn_label"),
+        "segment_name", "monetary",
+    )
+
+
+def monthly_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the last-week forecast per month, one back-test run each."""
+    table = demand_table(spark, sf_dir).withColumn("prediction", F.col("lag_7"))
+    month = F.date_trunc("month", F.col("date")).cast("timestamp_ntz")
+    return forecasting.forecast_metrics(table.withColumn("month", month), ["month"])
+
+
+def month_pairs(errors: DataFrame) -> DataFrame:
+    """Each month's MAPE against the month before; one row per calendar month."""
+    before = F.lag("mape").over(Window.partitionBy().orderBy("month"))
+    pairs = errors.select("month", F.col("mape").alias("current"), before.alias("baseline"))
+    return pairs.where(F.col("baseline").isNotNull())
+
+
+def nation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier metrics of the rule score per nation."""
+    people = adapters.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("card"), F.col("c_nationkey").alias("nation")
+    )
+    scored = labelled_scores(spark, sf_dir).join(people, "card")
+    return classification.classifier_metrics(scored, by=["nation"])
+
+
+def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back-test, churn and monitoring runs in the layout of the run store."""
+    errors = materialise(monthly_errors(spark, sf_dir), "errors")
+    month_id = F.date_format("month", "yyyy-MM")
+    demand_runs = runs.as_runs(
+        errors, "demand_forecasting", month_id, F.col("month"), ["mae", "rmse", "mape"]
+    )
+    checked = alerts.alert_forecast(month_pairs(errors)).withColumns(
+        {
+            "alerts_critical": (F.col("severity") == "critical").cast("int"),
+            "alerts_warning": (F.col("severity") == "warning").cast("int"),
+        }
+    )
+    monitor_runs = runs.as_runs(
+        checked, "monitoring", month_id, F.col("month"), ["alerts_critical", "alerts_warning"]
+    )
+    nation_id = F.format_string("nation-%02d", F.col("nation").cast("int"))
+    started = F.timestamp_add("DAY", F.col("nation"), F.lit("2001-01-01").cast("timestamp_ntz"))
+    churn_runs = runs.as_runs(
+        nation_scores(spark, sf_dir), "churn_classification", nation_id, started,
+        ["precision", "recall", "f1", "roc_auc", "pr_auc"],
+        tags=F.create_map(F.lit("model_name"), F.lit("rule_score")),
+    )
+    return demand_runs.unionByName(monitor_runs).unionByName(churn_runs)

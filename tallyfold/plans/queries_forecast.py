@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators import decisions, demand, forecasting as fc, profiles
+from tallyfold.operators import cleaning, decisions, demand, forecasting as fc, profiles, reports
 from tallyfold.plans import inputs, sqltext as S
 from tallyfold.plans.registry import query
 from tallyfold.scratch import materialise
+from tallyfold.sources import adapters
 
 # Learned models run with fewer rounds here than the defaults of the library.
 QUICK_TREES = {"rounds": 10, "depth": 4, "rate": 0.2}
@@ -200,8 +201,6 @@ SELECT product, sum(predicted_revenue) FILTER (horizon = 7) AS forecast_7d,
        sum(predicted_revenue) FILTER (horizon = 30) AS forecast_30d FROM forecast GROUP BY 1""",
     RECURSION, SPREAD, HORIZONS), "forecast_7d forecast_30d")
 def _(spark, sf_dir):
-    from tallyfold.operators import reports
-
     return reports.demand_kpis(fc.union_horizons(bounded_forecast(spark, sf_dir)))
 
 
@@ -211,8 +210,6 @@ FROM (SELECT product, sum(predicted_revenue) FILTER (horizon = 7) AS forecast_7d
 JOIN (SELECT product, avg(revenue) AS daily_mean FROM daily GROUP BY 1) h USING (product)""",
     RECURSION, SPREAD, HORIZONS), "forecast_7d daily_mean:6")
 def _(spark, sf_dir):
-    from tallyfold.operators import reports
-
     forecast = fc.union_horizons(bounded_forecast(spark, sf_dir))
     return reports.demand_drop_alert(forecast, inputs.daily(spark, sf_dir))
 
@@ -223,10 +220,9 @@ FROM daily QUALIFY date >= max(date) OVER (PARTITION BY product) - 60
 UNION ALL SELECT 'forecast_' || horizon, product, date, predicted_revenue, lower_bound, upper_bound FROM forecast""",
     RECURSION, SPREAD, HORIZONS), "revenue:5 lower_bound:5 upper_bound:5")
 def _(spark, sf_dir):
-    from tallyfold.operators import reports
-
     forecast = fc.union_horizons(bounded_forecast(spark, sf_dir))
-    return reports.forecast_view(inputs.daily(spark, sf_dir), forecast)
+    daily = cleaning.product_whitelist(inputs.daily(spark, sf_dir), adapters.FORECAST_TYPES, "product")
+    return reports.forecast_view(daily, forecast)
 
 
 @query("backtest_forecast", S.naive_sql(f"""
