@@ -2,6 +2,7 @@
 
 from tallyfold.plans import (  # noqa: F401
     queries_forecast,
+    queries_models,
     queries_monitor,
     queries_profiles,
     queries_tables,

@@ -403,7 +403,7 @@ SEGMENT_ROI = """sc AS (
   SELECT segment_name, count(*) FILTER (churn_probability >= 0.5) AS n, avg(monetary) / 80 AS monthly
   FROM predictions GROUP BY 1),
 rc0 AS (
-  SELECT segment_name, n * 0.3 AS kept, n * 0.3 * monthly * 0.6 AS saved, CAST(n * 15.0 AS DOUBLE) AS campaign,
+  SELECT segment_name, n * CAST(0.3 AS DOUBLE) AS kept, n * CAST(0.3 AS DOUBLE) * monthly * 0.6 AS saved, CAST(n * 15.0 AS DOUBLE) AS campaign,
          CAST(n * 15.0 AS DOUBLE) + 150 AS cost FROM sc),
 rc AS (
   SELECT segment_name, round_even(kept, 1) AS customers_retained, round_even(saved, 2) AS revenue_saved,
@@ -519,13 +519,13 @@ def _(spark, sf_dir):
 
 
 @query("churn_pct_display", S.churn_sql("""
-SELECT card, round_even(churn_probability * 100, 1) AS churn_pct, round_even(monetary, 2) AS monetary FROM predictions""", PREDICTIONS))
+SELECT card, round_even(churn_probability * 100, 1) AS churn_pct, round_even(round(monetary, 4), 2) AS monetary FROM predictions""", PREDICTIONS))
 def _(spark, sf_dir):
     from tallyfold.functions import numeric
 
     return inputs.predictions(spark, sf_dir).select(
         "card", numeric.as_percent(F.col("churn_probability")).alias("churn_pct"),
-        numeric.half_even(F.col("monetary"), 2).alias("monetary"),
+        numeric.half_even(F.round("monetary", 4), 2).alias("monetary"),
     )
 
 

@@ -28,6 +28,7 @@ def make_session(name: str = "tallyfold-tests"):
         SparkSession.builder.master("local[8]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
