@@ -148,7 +148,7 @@ class SeasonalTerms:
 
     origin: str = "2000-01-01"
     waves: int = 3
-    ridge: float = 1e-3
+    ridge: float = 1e-6
 
     def columns(self, date: str = "date") -> list[Column]:
         day = F.datediff(F.col(date), F.lit(self.origin).cast("date")).cast("double")
