@@ -170,10 +170,10 @@ def fit_seasonal_regression(train: DataFrame, terms: SeasonalTerms = SeasonalTer
     x = terms.columns()
     size = len(x)
     rows = train.select("product", F.col("revenue").alias("y"), F.array(*x).alias("x"))
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    gram = ", ".join(f"sum(x[{i}] * x[{j}])" for i in range(size) for j in range(i, size))
+    moment = ", ".join(f"sum(x[{i}] * y)" for i in range(size))
     sums = rows.groupBy("product").agg(
-        F.array(*[F.sum(F.col("x")[i] * F.col("x")[j]) for i, j in pairs]).alias("gram"),
-        F.array(*[F.sum(F.col("x")[i] * F.col("y")) for i in range(size)]).alias("moment"),
+        F.expr(f"array({gram})").alias("gram"), F.expr(f"array({moment})").alias("moment")
     )
     upper = np.triu_indices(size)
     ridge = terms.ridge
@@ -312,36 +312,30 @@ def recursive_forecast(history: DataFrame, predict: Predictor, horizon: int,
         .withColumn("ago", F.datediff("last", "date"))
     )
     # Oldest day first; predictions are appended behind the last day of the history.
-    state = tail.groupBy("product", "last").agg(
-        F.array(
-            *[
-                F.coalesce(F.max(F.when(F.col("ago") == TAIL_DAYS - 1 - i, F.col("revenue"))), F.lit(0.0))
-                for i in range(TAIL_DAYS)
-            ]
-        ).alias("path")
+    days = ", ".join(
+        f"coalesce(max(IF(ago = {TAIL_DAYS - 1 - i}, revenue, NULL)), 0D)" for i in range(TAIL_DAYS)
     )
+    state = tail.groupBy("product", "last").agg(F.expr(f"array({days})").alias("path"))
     state = materialise(state, "forecast-state")
 
     for step in range(1, horizon + 1):
-        day = F.date_add("last", step)
         known = TAIL_DAYS + step - 1
-
-        def mean(w: int) -> Column:
-            return sum((F.col("path")[known - k] for k in range(2, w + 1)), F.col("path")[known - 1]) / w
-
-        rows = state.withColumns(
-            {
-                "date": day,
-                **{f"lag_{k}": F.col("path")[known - k] for k in demand.LAGS},
-                **{f"rolling_mean_{w}": mean(w) for w in demand.ROLLING_WINDOWS},
-                "day_of_week": F.weekday(day).cast("tinyint"),
-                "is_weekend": (F.weekday(day) >= 5).cast("tinyint"),
-                "month": F.month(day).cast("tinyint"),
-            }
+        means = {w: " + ".join(f"path[{known - k}]" for k in range(1, w + 1)) for w in demand.ROLLING_WINDOWS}
+        rows = state.selectExpr(
+            "product",
+            "last",
+            "path",
+            f"date_add(last, {step}) AS date",
+            *[f"path[{known - k}] AS lag_{k}" for k in demand.LAGS],
+            *[f"({total}) / {w} AS rolling_mean_{w}" for w, total in means.items()],
+            f"CAST(weekday(date_add(last, {step})) AS TINYINT) AS day_of_week",
+            f"CAST(weekday(date_add(last, {step})) >= 5 AS TINYINT) AS is_weekend",
+            f"CAST(month(date_add(last, {step})) AS TINYINT) AS month",
         )
-        longer = F.concat("path", F.array(numeric.clip_at_zero(F.col("prediction"))))
         # The generator keeps the optimiser from inlining one step into all later ones.
-        state = predict(rows).select("product", "last", F.explode(F.array(longer)).alias("path"))
+        state = predict(rows).selectExpr(
+            "product", "last", "explode(array(concat(path, array(greatest(prediction, 0D))))) AS path"
+        )
         if step % store_every == 0 and step < horizon:
             state = materialise(state, "forecast-state")
     ahead = F.slice("path", TAIL_DAYS + 1, horizon)

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.scratch import materialise
-from tallyfold.session import shuffle_partitions
 
 
 def running_totals(
@@ -29,12 +28,10 @@ def running_totals(
     ascending; pass a negated column for the other direction.
     """
     keys = list(by)
-    slices = shuffle_partitions(df.sparkSession)
-    # The slice number is stored with the rows, so both readers below agree on it.
+    # Adaptive execution may merge neighbouring slices, which keeps their order. The
+    # slice number is stored with the rows, so both readers below agree on it.
     placed = materialise(
-        df.repartitionByRange(slices, *keys, *order).withColumn(
-            "_slice", F.spark_partition_id()
-        ),
+        df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()),
         "ordered",
     )
 
@@ -91,21 +88,19 @@ def exact_quantiles(
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     ranked = running_totals(counted, ["_v"], ["_n"], keys)
 
-    first = F.col("_n_upto") - F.col("_n")
-    picks: list[Column] = [F.max("_n_total").alias("n")]
-    for i, p in enumerate(probs):
-        place = (F.col("_n_total") - 1) * F.lit(float(p))
-        for side, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            hit = (at >= first) & (at < F.col("_n_upto"))
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{side}{i}"))
-        picks.append(F.max(place - F.floor(place)).alias(f"_t{i}"))
-    found = ranked.groupBy(*keys).agg(*picks)
-    quantiles = F.array(
-        *[
-            F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}")
-            for i in range(len(probs))
-        ]
+    # Position of each quantile among the sorted rows; ``t`` is its part between two of them.
+    place = [f"((_n_total - 1) * {float(p)!r}D)" for p in probs]
+
+    def value_at(position: str) -> str:
+        return f"max(IF({position} >= _n_upto - _n AND {position} < _n_upto, _v, NULL))"
+
+    found = ranked.groupBy(*keys).agg(
+        F.max("_n_total").alias("n"),
+        F.expr(f"array({', '.join(value_at(f'floor{x}') for x in place)})").alias("lo"),
+        F.expr(f"array({', '.join(value_at(f'ceil{x}') for x in place)})").alias("hi"),
+        F.expr(f"array({', '.join(f'max({x} - floor{x})' for x in place)})").alias("t"),
     )
+    quantiles = F.expr("transform(lo, (v, i) -> v + (hi[i] - v) * t[i])")
     return found.select(*keys, "n", quantiles.alias("quantiles"))
 
 

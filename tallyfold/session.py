@@ -13,6 +13,3 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     return spark
 
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -29,13 +29,17 @@ def make_session(name: str = "tallyfold-tests"):
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python line of every column call slows the building of plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    from tallyfold.session import configure
+
+    return configure(spark)
 
 
 def make_duckdb(sf_dir: str):
