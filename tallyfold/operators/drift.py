@@ -24,10 +24,10 @@ SERIES_TERMS = 100
 
 
 def paired_values(split: DataFrame, features: Sequence[str] = DRIFT_FEATURES) -> DataFrame:
-    """Stored long form of the listed features that exist; NULL values are dropped."""
+    """Long form of the listed features that exist, over a stored table; NULL values are dropped."""
     present = available_columns(split, features)
-    long = long_form(split, present, ["side"]).where(F.col("value").isNotNull())
-    return materialise(long, "drift")
+    stored = materialise(split.select("side", *present), "drift")
+    return long_form(stored, present, ["side"]).where(F.col("value").isNotNull())
 
 
 def _side(name: str) -> Column:

@@ -253,6 +253,14 @@ def predict_demand(model: DemandModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def retrain_errors(features: DataFrame, params: dict | None = None, min_rows: int = 20) -> DataFrame:
+    """Fit on all rows of the products with enough of them; mean training errors and product count."""
+    enough = features.groupBy("product").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
+    rows = materialise(features.join(enough.select("product"), "product", "left_semi"), "retrain")
+    model = train_demand_gbt(rows, params)
+    return mean_metrics(forecast_metrics(predict_demand(model, rows), clip=False))
+
+
 def draw_params(trials: int, seed: int = 42, space: dict | None = None) -> list[dict]:
     """Seeded random settings; the learning rate is drawn on a log scale."""
     rng = random.Random(seed)

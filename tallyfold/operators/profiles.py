@@ -18,16 +18,16 @@ SHORT_DAYS = ["Seg", "Ter", "Qua", "Qui", "Sex", "Sáb", "Dom"]
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample deviation, minimum, exact quartiles, maximum."""
-    long = long_form(df, columns, names="column").where(F.col("value").isNotNull())
-    stored = materialise(long, "describe")
-    moments = stored.groupBy("column").agg(
+    stored = materialise(df.select(*columns), "describe")
+    long = long_form(stored, columns, names="column").where(F.col("value").isNotNull())
+    moments = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(stored, "value", [0.25, 0.5, 0.75], ["column"]).select(
+    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"]).select(
         "column", *[F.col("quantiles")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))]
     )
     return moments.join(quartiles, "column")

@@ -231,14 +231,9 @@ def monitoring_job(spark: SparkSession, root: str, mode: str = "position",
 # -- re-training -----------------------------------------------------------------------------
 
 
-def retrain_demand(spark: SparkSession, layout: Layout, settings: Settings, min_rows: int = 20) -> DataFrame:
-    """Mean training errors over the products with enough rows, and their number."""
+def retrain_demand(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
     features = files.scan_parquet(spark, layout.demand_features)
-    enough = features.groupBy("product").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-    rows = materialise(features.join(enough.select("product"), "product", "left_semi"), "retrain")
-    model = forecasting.train_demand_gbt(rows, settings.demand_params)
-    errors = forecasting.forecast_metrics(forecasting.predict_demand(model, rows), clip=False)
-    return forecasting.mean_metrics(errors)
+    return forecasting.retrain_errors(features, settings.demand_params)
 
 
 def retrain_churn(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:

@@ -301,3 +301,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     space = {**fc.TUNING_SPACE, "rounds": (5, 10), "depth": (2, 5)}
     return fc.tune_demand(stored_split(spark, sf_dir), trials=2, space=space)
+
+
+@query("retrain_metrics")
+def _(spark, sf_dir):
+    return fc.retrain_errors(stored_demand(spark, sf_dir), QUICK_TREES)

@@ -3,7 +3,8 @@
 A result that is read more than once, or that ends an iteration, is written as
 Parquet below ``spark.checkpoint.dir`` and read back. This cuts the lineage,
 survives the loss of any executor, and keeps the column statistics that size
-later joins.
+later joins. Everything lies in one folder per application, so the retention rule of
+the shared folder can drop it as a whole.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
-    return f"{scratch_root(spark)}/tallyfold/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/tallyfold/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
