@@ -70,7 +70,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored_rfm = scored(spark, sf_dir)
+    scored_rfm = materialise(scored(spark, sf_dir), "scored")
     return customers.churn_features(sales(spark, sf_dir), scored_rfm, segments_of(scored_rfm))
 
 

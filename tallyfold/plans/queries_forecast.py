@@ -233,13 +233,17 @@ def _(spark, sf_dir):
     return fc.backtest_bands(fc.seasonal_naive(split))
 
 
-def decompose_sql(period: int) -> str:
+def decompose_sql(period: int, min_days: int) -> str:
     half = period // 2
-    return S.with_ctes(S.SALES, S.DAILY_ALL, S.OWN_GRID, f"""numbered AS (
+    return S.with_ctes(S.SALES, S.DAILY_ALL, f"""viable AS (
+  SELECT product FROM daily_all GROUP BY 1
+  HAVING max(date) - min(date) + 1 >= {min_days} AND count(*) >= (max(date) - min(date) + 1) * 0.3)""",
+        S.OWN_GRID, f"""numbered AS (
   SELECT product, date, CAST(n_transactions AS DOUBLE) AS observed,
          (row_number() OVER (PARTITION BY product ORDER BY date) - 1) % {period} AS phase,
          CASE WHEN count(*) OVER w = {period} THEN avg(n_transactions) OVER w END AS trend
-  FROM own_grid WINDOW w AS (PARTITION BY product ORDER BY date ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)),
+  FROM own_grid WHERE product IN (SELECT product FROM viable)
+  WINDOW w AS (PARTITION BY product ORDER BY date ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)),
 phases AS (SELECT product, phase, avg(observed - trend) AS raw FROM numbered GROUP BY 1, 2),
 centred AS (SELECT product, phase, raw - avg(raw) OVER (PARTITION BY product) AS seasonal FROM phases)""", body="""
 SELECT product, date, observed, trend, seasonal, observed - trend - seasonal AS residual
@@ -256,12 +260,12 @@ def decomposed(spark, sf_dir, season: str, period: int) -> DataFrame:
     return fc.seasonal_decompose(series, "n_transactions", period)
 
 
-@query("seasonal_decompose", decompose_sql(7), "trend:8 seasonal:8 residual:8")
+@query("seasonal_decompose", decompose_sql(7, 60), "trend:8 seasonal:8 residual:8")
 def _(spark, sf_dir):
     return decomposed(spark, sf_dir, "weekly", 7)
 
 
-@query("seasonal_decompose_quarterly", decompose_sql(91), "trend:8 seasonal:8 residual:8")
+@query("seasonal_decompose_quarterly", decompose_sql(91, 182), "trend:8 seasonal:8 residual:8")
 def _(spark, sf_dir):
     return decomposed(spark, sf_dir, "quarterly", 91)
 
