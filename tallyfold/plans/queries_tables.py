@@ -272,13 +272,13 @@ def _(spark, sf_dir):
 
 @query("require_columns", S.demand_sql("""
 SELECT product, date, lag_1, lag_7, lag_14, rolling_mean_7, rolling_mean_14, day_of_week, is_weekend, month FROM demand"""),
-    "lag_1 lag_7 lag_14 rolling_mean_7:8 rolling_mean_14:8")
+    "lag_1 lag_7 lag_14 rolling_mean_7:7 rolling_mean_14:7")
 def _(spark, sf_dir):
     table = require_columns(inputs.demand_table(spark, sf_dir), [*demand.MODEL_FEATURES, "revenue"])
     return table.select("product", "date", *demand.MODEL_FEATURES)
 
 
-DEMAND_DOUBLES = "revenue lag_1 lag_7 lag_14 rolling_mean_7:8 rolling_mean_14:8"
+DEMAND_DOUBLES = "revenue lag_1 lag_7 lag_14 rolling_mean_7:7 rolling_mean_14:7"
 
 
 @query("cross_calendar", S.with_ctes(S.SALES, S.DAILY, S.GRID, body="SELECT product, date, revenue, n_transactions FROM grid"), "revenue")
@@ -299,7 +299,7 @@ def _(spark, sf_dir):
 
 
 @query("rolling_features", S.demand_sql("SELECT product, date, revenue, rolling_mean_7, rolling_mean_14 FROM demand"),
-       "revenue rolling_mean_7:8 rolling_mean_14:8")
+       "revenue rolling_mean_7:7 rolling_mean_14:7")
 def _(spark, sf_dir):
     days = demand.daily_demand(inputs.sales(spark, sf_dir), adapters.FORECAST_TYPES)
     return demand.rolling_features(days).drop("n_transactions")
@@ -317,7 +317,7 @@ def _(spark, sf_dir):
 
 @query("moving_avg_strict", S.with_ctes(S.SALES, S.DAILY_ALL, body="""
 SELECT product, date, revenue, CASE WHEN count(*) OVER w = 7 THEN avg(revenue) OVER w END AS ma7 FROM daily_all
-WINDOW w AS (PARTITION BY product ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""), "revenue ma7:8")
+WINDOW w AS (PARTITION BY product ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""), "revenue ma7:6")
 def _(spark, sf_dir):
     days = inputs.daily(spark, sf_dir).drop("n_transactions")
     return demand.moving_average(days, "revenue", strict=True)
@@ -411,7 +411,7 @@ BEHAVIOUR_COLUMNS = """card, churn, freq_last_4w, freq_last_8w, avg_ticket_recen
        n_distinct_products, days_since_first_purchase"""
 
 
-@query("join_recent_behaviour", S.with_ctes(S.SALES, S.behaviour(), body=f"SELECT {BEHAVIOUR_COLUMNS} FROM beh"), "avg_ticket_recent:8")
+@query("join_recent_behaviour", S.with_ctes(S.SALES, S.behaviour(), body=f"SELECT {BEHAVIOUR_COLUMNS} FROM beh"), "avg_ticket_recent:7")
 def _(spark, sf_dir):
     return customers.behaviour(inputs.sales(spark, sf_dir))
 
@@ -442,6 +442,6 @@ def _(spark, sf_dir):
     return inputs.rfm(spark, sf_dir).select("card", "frequency").join(labels, "card")
 
 
-@query("churn_features", S.churn_sql("SELECT * FROM churnfeat"), RFM_DOUBLES + " avg_ticket_recent:8")
+@query("churn_features", S.churn_sql("SELECT * FROM churnfeat"), RFM_DOUBLES + " avg_ticket_recent:7")
 def _(spark, sf_dir):
     return inputs.churn_table(spark, sf_dir)
