@@ -3,34 +3,31 @@
 A result that is read more than once, or that ends an iteration, is written as
 Parquet below ``spark.checkpoint.dir`` and read back. This cuts the lineage,
 survives the loss of any executor, and keeps the column statistics that size
-later joins. Everything lies in one folder per application, so the retention rule of
-the shared folder can drop it as a whole.
+later joins. Everything lies in one folder per application: ``drop`` removes one
+table as soon as nothing reads it, ``release`` removes what is left at the end of a job.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch folder; a local one is made only for a local master."""
+    """The shared folder named by the session; ``session.configure`` fills it in for local runs."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyfold-"))
-    return context.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return root
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tallyfold/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
-    application = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/tallyfold/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
@@ -38,3 +35,23 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop(stored: DataFrame) -> None:
+    """Remove a table made by ``materialise`` that no later plan reads."""
+    folders = {f.rsplit("/", 1)[0] for f in stored.inputFiles()}
+    mine = application_folder(stored.sparkSession).removeprefix("file:").rstrip("/")
+    for folder in folders:
+        if mine.lstrip("/") in folder:
+            delete(stored.sparkSession, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every table this application stored."""
+    delete(spark, application_folder(spark))

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on; sizing is left to the cluster."""
+    """Pin the settings results depend on; sizing is left to the cluster.
+
+    ``spark.checkpoint.dir`` is the cluster's to name. Only a local run (driver and
+    executors in one process) that leaves it unset gets a folder of its own.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        spark.conf.set("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "tallyfold-scratch"))
     return spark
-
