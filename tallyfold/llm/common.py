@@ -34,6 +34,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row, whatever reads them.
+
+    The optimiser copies the expression of an ordinary column into every filter, and into the body of every
+    lambda that reads it, where it would run once per element. It does not look into a generator.
+    """
+    made = F.struct(*[v.alias(k) for k, v in columns.items()])
+    return df.select("*", F.inline(F.array(made)).alias(*columns))
+
+
 def row_slices(batch: pa.RecordBatch, chars: int = 2_000_000, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``chars`` bytes of text, one row at least.
 

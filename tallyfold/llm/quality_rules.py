@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import WORD, documents, free_name, whole_text, words_of
+from tallyfold.llm.common import WORD, documents, free_name, once, whole_text, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -29,7 +29,7 @@ MAX_LOST_PERCENT = 30
 
 SYMBOL = r"[#*$%&|<>]"
 #: Any of these, as many as a quarter of the words of a line, makes it noise.
-NOISE = r"[#*$%&<>{}\\^~=_@]|[!?]{2,}"
+NOISE = r"[#*$%&<>~^]|[!?]{2,}"
 SEPARATOR = r"[|»›·•>]"
 MENU = (
     r"(?i)^[\s|»›·•>/-]*((home|menu|login|log in|log out|sign in|sign up|register|search|contact|contact us"
@@ -59,61 +59,61 @@ def word_chars(text: Column) -> Column:
     return F.length(F.array_join(words_of(text), ""))
 
 
-def repeated_words(windows: Column, positions: Column) -> Column:
-    """Words covered by the windows at ``positions`` (ascending starts, three words each)."""
+def repeated_words(positions: Column) -> Column:
+    """Words covered by the windows at ``positions`` (ascending starts, three words each; null: none)."""
     steps = F.transform(positions, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(positions, k + 1) - x, F.lit(3))))
-    covered = F.aggregate(steps, F.lit(0), lambda total, step: total + step)
-    return F.when(windows.isNull(), F.lit(0)).otherwise(covered)
+    return F.coalesce(F.aggregate(steps, F.lit(0), lambda total, step: total + step), F.lit(0))
 
 
 def measure(docs: DataFrame, text: str = "text", into: str = "measures") -> DataFrame:
     """Add a struct column of the counts, the verdicts and the cleaned text."""
     t = whole_text(F.col(text))
-    names = [free_name(docs, f"_{x}") for x in ("words", "lines", "bad", "hashes", "sorted", "starts")]
-    w, lines, bad, hashes, ordered, starts = names
+    names = [
+        free_name(docs, f"_{x}") for x in ("words", "lines", "bad", "hashes", "sorted", "starts", "clean", "counts")
+    ]
+    w, lines, bad, hashes, ordered, starts, clean, counts = names
     c = F.col
-    has_word = lambda x: x.rlike(WORD)
 
-    step = docs.withColumns({w: words_of(t), lines: F.split(t, "\n")})
+    step = once(docs, {w: words_of(t), lines: F.split(t, "\n")})
     # One hash per three-word window; where all are distinct nothing repeats and the rest is skipped.
     window = F.transform(c(w), lambda x, i: F.xxhash64(x, F.get(c(w), i + 1), F.get(c(w), i + 2)))
-    step = step.withColumns({
+    step = once(step, {
         bad: F.transform(c(lines), line_fails),
         hashes: F.when(F.size(w) >= 4, F.slice(window, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))),
     })
     repeats = F.size(F.array_distinct(c(hashes))) < F.size(c(hashes))
-    step = step.withColumn(hashes, F.when(repeats, c(hashes)))
-    step = step.withColumn(
-        ordered, F.sort_array(F.transform(c(hashes), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    )
+    pairs = F.sort_array(F.transform(c(hashes), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    kept_lines = F.filter(c(lines), lambda _, k: ~F.get(c(bad), k))
+    step = once(step, {
+        ordered: F.when(repeats, pairs),
+        clean: F.when(F.exists(c(bad), lambda b: b), F.array_join(kept_lines, "\n")),
+    })
     alike = F.filter(
         c(ordered),
         lambda s, k: F.coalesce(s["h"] == F.get(c(ordered), k - 1)["h"], F.lit(False))
         | F.coalesce(s["h"] == F.get(c(ordered), k + 1)["h"], F.lit(False)),
     )
-    step = step.withColumn(starts, F.sort_array(F.transform(alike, lambda s: s["i"])))
+    step = once(step, {starts: F.sort_array(F.transform(alike, lambda s: s["i"]))})
 
-    worded = F.filter(c(lines), has_word)
-    kept_lines = F.filter(c(lines), lambda _, k: ~F.get(c(bad), k))
+    worded = F.filter(c(lines), lambda x: x.rlike(WORD))
+    chars = F.length(F.array_join(w, "")).cast("bigint")
     counted = F.struct(
         F.size(w).cast("bigint").alias("n_words"),
-        F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+        chars.alias("word_chars"),
         F.regexp_count(t, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
         F.size(worded).cast("bigint").alias("n_lines"),
         F.size(F.array_distinct(worded)).cast("bigint").alias("n_distinct_lines"),
-        repeated_words(c(hashes), c(starts)).cast("bigint").alias("n_repeat_words"),
+        repeated_words(c(starts)).cast("bigint").alias("n_repeat_words"),
         F.size(F.filter(c(bad), lambda b: b)).cast("bigint").alias("n_lines_removed"),
-        F.when(F.exists(c(bad), lambda b: b), F.array_join(kept_lines, "\n")).otherwise(t).alias("clean_text"),
+        F.when(c(clean).isNull(), chars).otherwise(word_chars(c(clean)).cast("bigint")).alias("clean_chars"),
+        F.coalesce(c(clean), t).alias("clean_text"),
     )
-    step = step.withColumn(into, counted).drop(*names)
-    m = c(into)
-    left = F.when(m["n_lines_removed"] == 0, m["word_chars"]).otherwise(word_chars(m["clean_text"]).cast("bigint"))
+    step = once(step, {counts: counted})
+    m = c(counts)
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
-    step = step.withColumn(
-        into, m.withField("clean_chars", left).withField("base_failed", failed)
-    )
     lost = 100 * (m["word_chars"] - m["clean_chars"]) > MAX_LOST_PERCENT * m["word_chars"]
-    return step.withColumn(into, m.withField("kept", ~m["base_failed"] & ~lost))
+    verdicts = F.struct(f"{counts}.*", failed.alias("base_failed"), (~failed & ~lost).alias("kept"))
+    return step.withColumn(into, verdicts).drop(*names)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
