@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tallyfold.llm import quality_rules
+from tallyfold.llm import licenses, mixing, quality_rules, secrets
 
 QUERIES = {
+    "op5_license_scans": licenses.op5_license_scans,
+    "op7_mix_sources": mixing.op7_mix_sources,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op10_secret_scans": secrets.op10_secret_scans,
 }
 CHECKS = {
+    "op5_license_scans": licenses.OP5_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
 }
