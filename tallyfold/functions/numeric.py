@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 
 def clip_at_zero(value: Column) -> Column:
-    return F.greatest(value, F.lit(0.0))
+    """At least 0; a missing value stays missing."""
+    return F.when(value.isNotNull(), F.greatest(value, F.lit(0.0)))
+
+
+def without_nan(value: Column) -> Column:
+    """NaN becomes NULL, which comparisons and aggregates leave out."""
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def minmax(value: Column, low: Column, high: Column) -> Column:
@@ -37,7 +43,7 @@ def as_percent(share: Column, digits: int = 1) -> Column:
 
 
 def bubble_size(monetary: Column) -> Column:
-    return F.pow(F.greatest(monetary, F.lit(1.0)), F.lit(0.4))
+    return F.when(monetary.isNotNull(), F.pow(F.greatest(monetary, F.lit(1.0)), F.lit(0.4)))
 
 
 def currency(value: Column) -> Column:

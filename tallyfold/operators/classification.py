@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.numeric import safe_ratio
 from tallyfold.operators.ordering import running_totals
+from tallyfold.operators.trials import stacked
 from tallyfold.schemas import available_columns
 from tallyfold.scratch import materialise
 
@@ -305,19 +307,18 @@ def tune_churn(train: DataFrame, family: str = "gbt", trials: int = 20, folds: i
                space: dict | None = None, label: str = "churn") -> DataFrame:
     """``trial, params, pr_auc``: mean average precision over stratified folds, best first."""
     stored = materialise(stratified_folds(train, folds, label, seed=seed), "folds")
-    results = None
-    for i, params in enumerate(draw_params(family, trials, seed, space)):
-        scored = None
-        for fold in range(folds):
-            model = TRAINERS[family](stored.where(F.col("fold") != fold), label, params)
-            held = score(model, stored.where(F.col("fold") == fold)).select(
-                "fold", label, "churn_probability"
-            )
-            scored = held if scored is None else scored.unionByName(held)
-        per_fold = classifier_metrics(scored, label, by=["fold"])
+
+    def run(i: int, params: dict, fold: int) -> DataFrame:
+        model = TRAINERS[family](stored.where(F.col("fold") != fold), label, params)
+        held = score(model, stored.where(F.col("fold") == fold))
         text = ", ".join(f"{k}={v:.6g}" for k, v in sorted(params.items()))
-        line = per_fold.agg(F.avg("pr_auc").alias("pr_auc")).select(
-            F.lit(i).alias("trial"), F.lit(text).alias("params"), "pr_auc"
+        named = held.select(
+            F.lit(i).alias("trial"), F.lit(text).alias("params"), "fold", label, "churn_probability"
         )
-        results = line if results is None else results.unionByName(line)
-    return results.orderBy(F.col("pr_auc").desc(), "trial")
+        return materialise(named, "fold-scores")
+
+    drawn = enumerate(draw_params(family, trials, seed, space))
+    scored = stacked([partial(run, i, params, fold) for i, params in drawn for fold in range(folds)])
+    per_fold = classifier_metrics(scored, label, by=["trial", "params", "fold"])
+    means = per_fold.groupBy("trial", "params").agg(F.avg("pr_auc").alias("pr_auc"))
+    return means.orderBy(F.col("pr_auc").desc(), "trial")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions import temporal
+from tallyfold.functions import numeric, temporal
 from tallyfold.operators.ordering import exact_quantiles
 from tallyfold.schemas import SALES_TYPES, require_columns
 from tallyfold.sources import files
@@ -32,7 +32,7 @@ class SchemaViolation(ValueError):
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """Cast the known columns; a value that does not convert becomes NULL."""
+    """Cast the known columns; a value that does not convert, or is not a number, becomes NULL."""
     out = df
     for name, target in SALES_TYPES.items():
         if name in df.columns:
@@ -43,7 +43,8 @@ def coerce_types(df: DataFrame) -> DataFrame:
 def _coerced(df: DataFrame, name: str, target: str) -> Column:
     if target == "timestamp_ntz" and dict(df.dtypes)[name] == "string":
         return F.try_to_timestamp(F.col(name)).cast("timestamp_ntz")
-    return F.col(name).try_cast(target)
+    cast = F.col(name).try_cast(target)
+    return numeric.without_nan(cast) if target == "double" else cast
 
 
 def schema_rules() -> dict[str, Column]:
@@ -106,7 +107,9 @@ def temporal_features(df: DataFrame) -> DataFrame:
 
 
 def remove_invalid_rows(df: DataFrame) -> DataFrame:
-    return df.where((F.col("money") > 0) & F.col("coffee_name").isNotNull())
+    # NaN is larger than any number in comparisons.
+    money = numeric.without_nan(F.col("money").cast("double"))
+    return df.where((money > 0) & F.col("coffee_name").isNotNull())
 
 
 def iqr_bounds(df: DataFrame, value: str = "money", factor: float = 1.5) -> DataFrame:

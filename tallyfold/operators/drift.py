@@ -24,10 +24,10 @@ SERIES_TERMS = 100
 
 
 def paired_values(split: DataFrame, features: Sequence[str] = DRIFT_FEATURES) -> DataFrame:
-    """Long form of the listed features that exist, over a stored table; NULL values are dropped."""
+    """Long form of the listed features that exist, over a stored table; NULL and NaN are dropped."""
     present = available_columns(split, features)
     stored = materialise(split.select("side", *present), "drift")
-    return long_form(stored, present, ["side"]).where(F.col("value").isNotNull())
+    return long_form(stored, present, ["side"]).where("value IS NOT NULL AND NOT isnan(value)")
 
 
 def _side(name: str) -> Column:

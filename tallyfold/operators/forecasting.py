@@ -10,6 +10,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from tallyfold.functions import numeric
 from tallyfold.operators import demand
 from tallyfold.operators.profiles import append_average
+from tallyfold.operators.trials import stacked
 from tallyfold.schemas import require_columns
 from tallyfold.scratch import materialise
 
@@ -120,8 +122,9 @@ def mean_metrics(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def select_champion(means: DataFrame) -> DataFrame:
-    """One row: the model with the lowest mean MAPE."""
-    return means.agg(
+    """One row: the model with the lowest mean MAPE; models without one do not take part."""
+    known = means.withColumn("mape", numeric.without_nan(F.col("mape"))).where("mape IS NOT NULL")
+    return known.agg(
         F.min_by("model", F.struct("mape", "model")).alias("champion"), F.min("mape").alias("mape")
     )
 
@@ -193,10 +196,10 @@ def fit_seasonal_regression(train: DataFrame, terms: SeasonalTerms = SeasonalTer
 
 def predict_seasonal_regression(rows: DataFrame, betas: DataFrame,
                                 terms: SeasonalTerms = SeasonalTerms()) -> DataFrame:
-    """Rows with ``prediction``, floored at 0."""
+    """Rows with ``prediction``, floored at 0; NULL for a product without a fit."""
     fitted = sum((F.col("beta")[i] * c for i, c in enumerate(terms.columns())), F.lit(0.0))
     return (
-        rows.join(betas, "product")
+        rows.join(betas, "product", "left")
         .withColumn("prediction", numeric.clip_at_zero(fitted))
         .drop("beta")
     )
@@ -214,8 +217,10 @@ class DemandModel:
 
 
 def _scaled(rows: DataFrame, scale: DataFrame) -> DataFrame:
-    out = rows.join(scale, "product")
-    return out.withColumns({f"_{c}": F.col(c) / F.col("_scale") for c in demand.LAG_FEATURES})
+    """All rows; a product without a positive mean is left unscaled, an unknown one gets NULL."""
+    out = rows.join(scale, "product", "left")
+    unit = F.when(F.col("_scale") > 0, F.col("_scale")).otherwise(F.lit(1.0))
+    return out.withColumns({f"_{c}": F.col(c) / unit for c in demand.LAG_FEATURES})
 
 
 def train_demand_gbt(train: DataFrame, params: dict | None = None) -> DemandModel:
@@ -227,10 +232,11 @@ def train_demand_gbt(train: DataFrame, params: dict | None = None) -> DemandMode
     require_columns(train, [*demand.MODEL_FEATURES, "revenue"])
     p = {**GBT_DEFAULTS, **(params or {})}
     scale = materialise(
-        train.groupBy("product").agg(F.avg("revenue").alias("_scale")).where("_scale > 0"), "scale"
+        train.groupBy("product").agg(F.greatest(F.avg("revenue"), F.lit(0.0)).alias("_scale")), "scale"
     )
     inputs = [f"_{c}" for c in demand.LAG_FEATURES] + demand.CALENDAR_FEATURES
-    rows = _scaled(train, scale).withColumn("_target", F.col("revenue") / F.col("_scale"))
+    # Products that never sold teach the relative model nothing; their prediction is 0.
+    rows = _scaled(train, scale).where("_scale > 0").withColumn("_target", F.col("revenue") / F.col("_scale"))
     rows = rows.select(*inputs, "_target")
     assembler = VectorAssembler(inputCols=inputs, outputCol="_x")
     trees = GBTRegressor(
@@ -244,7 +250,7 @@ def train_demand_gbt(train: DataFrame, params: dict | None = None) -> DemandMode
 
 
 def predict_demand(model: DemandModel, rows: DataFrame) -> DataFrame:
-    """Rows with ``prediction``, floored at 0."""
+    """All rows with ``prediction``, floored at 0; NULL for a product the training did not hold."""
     require_columns(rows, demand.MODEL_FEATURES)
     scored = model.model.transform(_scaled(rows, model.scale))
     return scored.select(
@@ -284,9 +290,9 @@ def tune_demand(split: DataFrame, trials: int = 20, seed: int = 42, space: dict
 
     The spread of gains is on relative revenue, so the minimum gain is scaled down.
     """
-    train, test = part(split, "train"), part(split, "test")
-    results = None
-    for i, params in enumerate(draw_params(trials, seed, space)):
+    train, test = materialise(part(split, "train"), "tune-train"), part(split, "test")
+
+    def run(i: int, params: dict) -> DataFrame:
         if "min_gain" in params:
             params = {**params, "min_gain": params["min_gain"] / 1000}
         model = train_demand_gbt(train, params)
@@ -294,8 +300,11 @@ def tune_demand(split: DataFrame, trials: int = 20, seed: int = 42, space: dict
         scored = forecast_metrics(predict_demand(model, test)).select(
             "product", F.lit(i).alias("trial"), "mape", F.lit(text).alias("params")
         )
-        results = scored if results is None else results.unionByName(scored)
-    best = F.min_by(F.struct("trial", "mape", "params"), F.struct("mape", "trial"))
+        return materialise(scored, "trial")
+
+    results = stacked([partial(run, i, params) for i, params in enumerate(draw_params(trials, seed, space))])
+    known = F.coalesce(numeric.without_nan(F.col("mape")), F.lit(float("inf")))
+    best = F.min_by(F.struct("trial", "mape", "params"), F.struct(known, F.col("trial")))
     return results.groupBy("product").agg(best.alias("b")).select("product", "b.*")
 
 
@@ -367,7 +376,7 @@ def residual_spread(test_predictions: DataFrame) -> DataFrame:
 def forecast_interval(forecast: DataFrame, spread: DataFrame, z: float = INTERVAL_Z) -> DataFrame:
     """Add ``lower_bound`` (at least 0) and ``upper_bound``."""
     reach = F.col("spread") * z
-    return forecast.join(spread, "product").select(
+    return forecast.join(spread, "product", "left").select(
         *forecast.columns,
         numeric.clip_at_zero(F.col("predicted_revenue") - reach).alias("lower_bound"),
         (F.col("predicted_revenue") + reach).alias("upper_bound"),

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.functions.numeric import without_nan
 from tallyfold.scratch import materialise
 
 
@@ -79,10 +80,10 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles: ``by..., n, quantiles array<double>``.
 
     Equal values are counted before the shuffle, so neither a hot value nor a hot
-    group is ever held by one task. NULL values and NULL groups are left out.
+    group is ever held by one task. NULL and NaN values and NULL groups are left out.
     """
     keys = list(by)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = df.select(*keys, without_nan(F.col(value).cast("double")).alias("_v"))
     for c in [*keys, "_v"]:
         rows = rows.where(F.col(c).isNotNull())
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.customers import RFM_NORM
 from tallyfold.operators.profiles import segment_profile
+from tallyfold.operators.trials import stacked
 from tallyfold.scratch import materialise
 
 K_RANGE = range(2, 9)
@@ -160,10 +162,10 @@ def silhouette_euclid(rows: DataFrame, cluster: str = "cluster_id", key: str = "
 
 
 def silhouette_squared(rows: DataFrame, cluster: str = "cluster_id") -> float:
-    """Silhouette with squared distances; linear, for data too large for the exact one."""
+    """Silhouette with squared distances over rows with ``features``; linear, used wherever models are compared."""
     return ClusteringEvaluator(
         featuresCol="features", predictionCol=cluster, distanceMeasure="squaredEuclidean"
-    ).evaluate(rows)
+    ).evaluate(_clustered(rows, cluster))
 
 
 def davies_bouldin(rows: DataFrame, cluster: str = "cluster_id",
@@ -190,28 +192,37 @@ def davies_bouldin(rows: DataFrame, cluster: str = "cluster_id",
 
 def cluster_quality(rows: DataFrame, cluster: str = "cluster_id", key: str = "card",
                     features: Sequence[str] = RFM_NORM) -> DataFrame:
-    """One row with both measures."""
+    """One row with both exact measures. Quadratic: a diagnostic, not part of any job or sweep."""
     return silhouette_euclid(rows, cluster, key, features).withColumn(
         "davies_bouldin", davies_bouldin(rows, cluster, features).scalar()
     )
 
 
+def linear_quality(rows: DataFrame, cluster: str = "cluster_id",
+                   features: Sequence[str] = RFM_NORM) -> DataFrame:
+    """One row ``davies_bouldin, silhouette_squared`` from linear work; ``rows`` must hold ``features``."""
+    return davies_bouldin(rows, cluster, features).withColumn(
+        "silhouette_squared", F.lit(float(silhouette_squared(rows, cluster)))
+    )
+
+
 def k_sweep(rows: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED, restarts: int = RESTARTS) -> DataFrame:
-    """``k, inertia, silhouette, davies_bouldin`` for every k."""
-    lines = None
-    for k in ks:
+    """``k, inertia, silhouette_squared, davies_bouldin`` for every k."""
+
+    def run(k: int) -> DataFrame:
         fit = kmeans_segments(rows, k, seed, restarts)
-        line = cluster_quality(fit.rows).select(
-            F.lit(k).alias("k"), F.lit(float(fit.inertia)).alias("inertia"), "silhouette", "davies_bouldin"
+        line = linear_quality(fit.rows).select(
+            F.lit(k).alias("k"), F.lit(float(fit.inertia)).alias("inertia"), "silhouette_squared", "davies_bouldin"
         )
-        lines = line if lines is None else lines.unionByName(line)
-    return lines
+        return materialise(line, "sweep")
+
+    return stacked([partial(run, k) for k in ks])
 
 
 def choose_k(sweep: DataFrame, min_k: int = MIN_K) -> DataFrame:
-    """One row: the k with the best silhouette, from ``min_k`` up if there is one; first on ties."""
-    order = F.struct((F.col("k") >= min_k).alias("wanted"), "silhouette", (-F.col("k")).alias("first"))
-    return sweep.agg(F.max_by(F.struct("k", "silhouette"), order).alias("best")).select("best.*")
+    """One row: the k with the best squared silhouette, from ``min_k`` up if there is one; first on ties."""
+    order = F.struct((F.col("k") >= min_k).alias("wanted"), "silhouette_squared", (-F.col("k")).alias("first"))
+    return sweep.agg(F.max_by(F.struct("k", "silhouette_squared"), order).alias("best")).select("best.*")
 
 
 def cluster_champion(kmeans: DataFrame, dbscan: DataFrame) -> DataFrame:

@@ -127,9 +127,9 @@ def train_clustering(spark: SparkSession, layout: Layout, settings: Settings) ->
     rows = segmentation.vectors(files.scan_parquet(spark, layout.rfm_features))
     fit = segmentation.kmeans_segments(rows, CLUSTERS, restarts=settings.restarts)
     labelled = materialise(fit.rows.drop("features"), "clusters")
-    quality = segmentation.cluster_quality(labelled).withColumn("inertia", F.lit(float(fit.inertia)))
+    quality = segmentation.linear_quality(fit.rows).withColumn("inertia", F.lit(float(fit.inertia)))
     append_run(spark, layout.runs, "rfm_clustering", "pipeline_kmeans", quality,
-               ["silhouette", "davies_bouldin", "inertia"])
+               ["silhouette_squared", "davies_bouldin", "inertia"])
     names = segmentation.name_clusters_ladder(segmentation.cluster_summary(labelled))
     files.sink_parquet(segmentation.customer_segments(labelled, names), layout.customer_segments)
 

@@ -11,9 +11,6 @@ from tallyfold.plans.registry import query
 from tallyfold.scratch import materialise
 from tallyfold.sources import adapters
 
-# Learned models run with fewer rounds here than the defaults of the library.
-QUICK_TREES = {"rounds": 10, "depth": 4, "rate": 0.2}
-
 BANDS = "greatest(p - 0.2 * p, 0.0) AS lower_bound, p + 0.2 * p AS upper_bound"
 METRICS = """avg(abs(revenue - greatest({p}, 0.0))) AS mae,
        sqrt(avg(pow(revenue - greatest({p}, 0.0), 2))) AS rmse,
@@ -281,21 +278,21 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     split = stored_split(spark, sf_dir)
     train = fc.part(split, "train")
-    model = fc.train_demand_gbt(train, QUICK_TREES)
+    model = fc.train_demand_gbt(train)
     return fc.forecast_metrics(fc.predict_demand(model, train), clip=False)
 
 
 @query("predict_demand")
 def _(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    model = fc.train_demand_gbt(fc.part(split, "train"), QUICK_TREES)
+    model = fc.train_demand_gbt(fc.part(split, "train"))
     return fc.predict_demand(model, fc.part(split, "test")).select("product", "date", "prediction")
 
 
 @query("recursive_forecast_trees")
 def _(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    model = fc.train_demand_gbt(fc.part(split, "train"), QUICK_TREES)
+    model = fc.train_demand_gbt(fc.part(split, "train"))
     steps = fc.recursive_forecast(split.drop("part"), lambda rows: fc.predict_demand(model, rows), 30)
     spread = fc.residual_spread(fc.predict_demand(model, fc.part(split, "test")))
     return fc.union_horizons(fc.forecast_interval(steps, spread))
@@ -303,10 +300,9 @@ def _(spark, sf_dir):
 
 @query("tune_demand")
 def _(spark, sf_dir):
-    space = {**fc.TUNING_SPACE, "rounds": (5, 10), "depth": (2, 5)}
-    return fc.tune_demand(stored_split(spark, sf_dir), trials=2, space=space)
+    return fc.tune_demand(stored_split(spark, sf_dir))
 
 
 @query("retrain_metrics")
 def _(spark, sf_dir):
-    return fc.retrain_errors(stored_demand(spark, sf_dir), QUICK_TREES)
+    return fc.retrain_errors(stored_demand(spark, sf_dir))

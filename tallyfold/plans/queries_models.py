@@ -11,11 +11,6 @@ from tallyfold.plans.queries_monitor import AP, PREDICTIONS, SCORES
 from tallyfold.plans.registry import query
 from tallyfold.scratch import materialise
 
-# Learned models run with fewer rounds, trees and restarts here than the defaults.
-QUICK_FOREST = {"trees": 20, "depth": 8}
-QUICK_GBT = {"rounds": 10, "depth": 4, "rate": 0.2}
-QUICK_RESTARTS = 2
-
 
 def scores_sql(body: str, *more: str) -> str:
     return S.with_ctes(S.SALES, S.rfm(), S.behaviour(), SCORES, *more, body=body)
@@ -101,26 +96,26 @@ def split_table(spark, sf_dir) -> DataFrame:
     return materialise(cl.stratified_split(inputs.churn_table(spark, sf_dir)), "split")
 
 
-def evaluated(spark, sf_dir, trainer, params) -> DataFrame:
+def evaluated(spark, sf_dir, trainer) -> DataFrame:
     """Hold-out metrics of one candidate."""
     split = split_table(spark, sf_dir)
-    model = trainer(split.where("part = 'train'"), params=params)
+    model = trainer(split.where("part = 'train'"))
     return cl.classifier_metrics(cl.score(model, split.where("part = 'test'")))
 
 
 @query("churn_logistic")
 def _(spark, sf_dir):
-    return evaluated(spark, sf_dir, cl.churn_logistic, {})
+    return evaluated(spark, sf_dir, cl.churn_logistic)
 
 
 @query("churn_forest")
 def _(spark, sf_dir):
-    return evaluated(spark, sf_dir, cl.churn_forest, QUICK_FOREST)
+    return evaluated(spark, sf_dir, cl.churn_forest)
 
 
 @query("churn_gbt")
 def _(spark, sf_dir):
-    return evaluated(spark, sf_dir, cl.churn_gbt, QUICK_GBT)
+    return evaluated(spark, sf_dir, cl.churn_gbt)
 
 
 @query("score_customers")
@@ -133,20 +128,20 @@ def _(spark, sf_dir):
 @query("feature_importance")
 def _(spark, sf_dir):
     split = split_table(spark, sf_dir)
-    return cl.feature_importance(cl.churn_forest(split.where("part = 'train'"), params=QUICK_FOREST))
+    return cl.feature_importance(cl.churn_forest(split.where("part = 'train'")))
 
 
 @query("tune_churn")
 def _(spark, sf_dir):
     split = split_table(spark, sf_dir)
-    return cl.tune_churn(split.where("part = 'train'").drop("part"), "logistic", trials=2, folds=3)
+    return cl.tune_churn(split.where("part = 'train'").drop("part"), "logistic")
 
 
 # -- clusters ------------------------------------------------------------------------
 
 
 def fitted(spark, sf_dir, k: int = 4) -> sg.Clustering:
-    return sg.kmeans_segments(sg.vectors(inputs.rfm(spark, sf_dir)), k, restarts=QUICK_RESTARTS)
+    return sg.kmeans_segments(sg.vectors(inputs.rfm(spark, sf_dir)), k)
 
 
 @query("kmeans_segments")
@@ -243,12 +238,12 @@ def _(spark, sf_dir):
 
 @query("k_sweep")
 def _(spark, sf_dir):
-    return sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir)), restarts=1)
+    return sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir)))
 
 
 @query("choose_k")
 def _(spark, sf_dir):
-    return sg.choose_k(sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir)), ks=range(2, 6), restarts=1))
+    return sg.choose_k(sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir))))
 
 
 # -- density -------------------------------------------------------------------------
@@ -273,17 +268,22 @@ def _(spark, sf_dir):
     return density.k_distance(inputs.rfm(spark, sf_dir))
 
 
+@query("suggested_eps", S.rfm_sql("""
+SELECT quantile_cont(d, 0.15) AS eps FROM (SELECT d FROM pairs QUALIFY row_number() OVER (PARTITION BY card ORDER BY d) = 5)""", DISTANCES), "eps:8")
+def _(spark, sf_dir):
+    eps = density.suggested_eps(density.k_distance(inputs.rfm(spark, sf_dir)))
+    return spark.range(1).select(F.lit(eps).alias("eps"))
+
+
 @query("dbscan_segments")
 def _(spark, sf_dir):
-    return density.dbscan_segments(inputs.rfm(spark, sf_dir), EPS)
+    rows = materialise(inputs.rfm(spark, sf_dir), "rfm")
+    return density.dbscan_segments(rows, density.suggested_eps(density.k_distance(rows)))
 
 
 @query("cluster_champion")
 def _(spark, sf_dir):
+    """K-Means with the best k against DBSCAN with the best eps, both by the squared silhouette."""
     rows = sg.vectors(inputs.rfm(spark, sf_dir))
-    kmeans = sg.silhouette_euclid(sg.kmeans_segments(rows, 4, restarts=1).rows)
-    labelled = materialise(density.dbscan_segments(rows.drop("features"), EPS), "dbscan")
-    summary = materialise(density.dbscan_summary(labelled), "summary")
-    enough = summary.first()["n_clusters"] >= 2
-    quality = sg.silhouette_euclid(labelled).scalar() if enough else F.lit(None).cast("double")
-    return sg.cluster_champion(kmeans, summary.withColumn("silhouette", quality))
+    sweep = sg.choose_k(sg.k_sweep(rows)).withColumnRenamed("silhouette_squared", "silhouette")
+    return sg.cluster_champion(materialise(sweep, "sweep"), density.dbscan_search(rows))

@@ -9,6 +9,7 @@ table as soon as nothing reads it, ``release`` removes what is left at the end o
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,16 @@ def drop(stored: DataFrame) -> None:
             delete(stored.sparkSession, folder)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the driver notice which finished plans nothing refers to, so their shuffle files go now.
+
+    Spark removes shuffle files when the driver's garbage collector finds their plan unused, which on an
+    idle driver may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Remove every table this application stored."""
     delete(spark, application_folder(spark))

@@ -66,6 +66,11 @@ def latest_tagged_run(runs: DataFrame, experiment: str, model: str) -> DataFrame
     )
 
 
+def _silhouette() -> Column:
+    """The exact measure of a run if it has one, else the linear one."""
+    return F.coalesce(F.col("metrics")["silhouette"], F.col("metrics")["silhouette_squared"])
+
+
 def best_runs(runs: DataFrame, n: int = 10) -> DataFrame:
     """One row per area: its best (for monitoring: newest) run among the newest ``n``.
 
@@ -83,7 +88,7 @@ def best_runs(runs: DataFrame, n: int = 10) -> DataFrame:
     badness = (
         F.when(F.col("area") == "demand", F.coalesce(F.col("metrics")["mape"], worst))
         .when(F.col("area") == "churn", -F.coalesce(F.col("metrics")["pr_auc"], F.lit(0.0)))
-        .when(F.col("area") == "clustering", -F.coalesce(F.col("metrics")["silhouette"], F.lit(0.0)))
+        .when(F.col("area") == "clustering", -F.coalesce(_silhouette(), F.lit(0.0)))
         .otherwise(F.lit(0.0))
     )
     return (
@@ -111,14 +116,13 @@ def model_status(runs: DataFrame, n: int = 10) -> DataFrame:
     """One row: headline metric and status per model; a missing metric takes its worst default."""
     best = best_runs(runs, n)
 
-    def headline(area: str, metric: str, default: float) -> Column:
-        found = F.max(F.when(F.col("area") == area, F.col("metrics")[metric]))
-        return F.coalesce(found, F.lit(default))
+    def headline(area: str, metric: Column, default: float) -> Column:
+        return F.coalesce(F.max(F.when(F.col("area") == area, metric)), F.lit(default))
 
     row = best.agg(
-        headline("demand", "mape", 100.0).alias("mape"),
-        headline("churn", "pr_auc", 0.0).alias("pr_auc"),
-        headline("clustering", "silhouette", 0.0).alias("silhouette"),
+        headline("demand", F.col("metrics")["mape"], 100.0).alias("mape"),
+        headline("churn", F.col("metrics")["pr_auc"], 0.0).alias("pr_auc"),
+        headline("clustering", _silhouette(), 0.0).alias("silhouette"),
     )
     return row.select(
         "*",
