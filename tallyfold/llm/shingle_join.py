@@ -7,10 +7,11 @@ link when intersection / union >= 80 / 100, tested in whole numbers. Results are
    named by 64 bits of a digest of its set.
 2. PartEnum. Sizes fall into bands whose ends differ by the threshold, so linked sets lie in one band or in
    neighbours, and differ in at most k = 2/9 of the band's end elements. The feature domain is cut into
-   more than k parts at random; two linked sets agree on at least one part whole. With spare parts beyond
-   k + 1 they agree on one that is not empty (a set with more empty parts than spare ones signs its empty parts
-   too). The enumeration of subsets is at its cheapest setting, where a signature covers one part. Sets sign for
-   their own band and the next one.
+   more than k parts at random; two linked sets agree on at least one part whole. As there are spare parts, a set
+   that has more than k parts with two elements or more signs only those: one of them agrees, and the other
+   set signs it as well, for what is signed depends on the part alone. Otherwise a set signs its parts with one
+   element too, and if these are still too few, its empty parts. The enumeration of subsets is at its
+   cheapest setting, where a signature covers one part. Sets sign for their own band and the next one.
 3. Buckets. Signatures are range-free sorted and streamed: a bucket of up to ``SMALL`` classes is a list of candidates.
    Classes of larger buckets (a passage that many short documents share fills whole parts) are joined
    exactly in another way: they are bucketed by their rarest shingles, as many as a linked set must share one of.
@@ -38,12 +39,12 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import documents, free_name, row_slices, whole_text
 from tallyfold.operators.ordering import running_totals
-from tallyfold.scratch import drop, materialise
+from tallyfold.scratch import drop, free_shuffles, materialise
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
 PART, WHOLE = 80, 100
-SPARE = 0.15
+SPARE = 0.25
 SMALL = 16
 COUNTERS = 256
 #: Classes remembered by a task so that copies are signed once; it starts anew beyond.
@@ -88,7 +89,8 @@ def parts_of(end: int) -> tuple[int, int]:
 
 def signatures(members: np.ndarray, ends: list[int]) -> np.ndarray:
     """Signatures of one set for its own band and the next."""
-    band = int(np.searchsorted(ends, len(members)))
+    size = len(members)
+    band = int(np.searchsorted(ends, size))
     found = []
     low, high = members & np.uint64(0xFFFFFFFF), members >> np.uint64(32)
     for at in (band, band + 1):
@@ -104,8 +106,10 @@ def signatures(members: np.ndarray, ends: list[int]) -> np.ndarray:
         )
         tag = np.arange(parts, dtype=np.uint64) + np.uint64(at << 32)
         signed = _mixed(_mixed(sums) + _mixed(tag + _SEEDS[0]))
-        empty = held == 0
-        found.append(signed if empty.sum() > parts - apart - 1 else signed[~empty])
+        # The most this set and a linked one of the band can differ in.
+        differ = (size + min(ends[at], size * WHOLE // PART)) * (WHOLE - PART) // (WHOLE + PART)
+        least = next((n for n in (2, 1) if (held >= n).sum() > differ), 0)
+        found.append(signed[held >= least])
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
@@ -275,7 +279,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
     text = whole_text(F.col("text"))
     rows = docs.select("doc_id", F.xxhash64(text).alias("_hash"), text.alias("text"))
     schema = "doc_id bigint, _hash bigint, n_shingles bigint, _class bigint, _signatures array<bigint>"
-    return materialise(rows.mapInArrow(_signed, schema), "classes")
+    return materialise(rows.mapInArrow(_signed, schema), "signed")
 
 
 def _place() -> F.Column:
@@ -375,12 +379,18 @@ def links_of(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` and ``_hash``, ``_first`` (whether a document leads its component)."""
-    signed = classes_of(docs)
-    buckets = candidate_buckets(signed)
+    whole = classes_of(docs)
+    signed = materialise(whole.drop("_signatures"), "classes")
+    buckets = candidate_buckets(whole)
+    drop(whole)
+    free_shuffles(docs.sparkSession)  # the signatures, the largest shuffle of all
     wanted = buckets.select("_class").distinct()
     sets = sets_of(docs, signed, wanted)
-    rare = rare_buckets(sets, buckets.where("_large").select("_class").distinct())
+    rare = materialise(rare_buckets(sets, buckets.where("_large").select("_class").distinct()), "rare")
+    free_shuffles(docs.sparkSession)
     roots = links_of(buckets.where("NOT _large").select("_key", "_class").union(rare), sets)
+    for table in (buckets, rare, sets):
+        drop(table)
 
     rows = signed.select("doc_id", "_hash", "n_shingles", "_class")
     heads = materialise(
