@@ -14,6 +14,9 @@ from tallyfold.operators import alerts, classification, decisions, drift, foreca
 from tallyfold.sources import runs
 
 
+NAN = float("nan")
+
+
 # -- orders ----------------------------------------------------------------------
 
 
@@ -56,13 +59,18 @@ def test_global_rank_is_unique_on_ties(spark, target):
 # -- drift -----------------------------------------------------------------------
 
 
-def numpy_psi(a, b, bins=10):
-    edges = np.unique(np.percentile(a, np.linspace(0, 100, bins + 1)))
-    if len(edges) < 2:
-        return 0.0
-    p = np.histogram(a, edges)[0] / len(a) + 1e-6
-    q = np.histogram(b, edges)[0] / len(b) + 1e-6
-    return float(((q - p) * np.log(q / p)).sum())
+def counted_psi(reference, current, bins=10):
+    """Straight from the definition: shares per bin between the percentiles of the reference."""
+    cuts = sorted({float(np.quantile(reference, i / bins)) for i in range(bins + 1)})
+    total = 0.0
+    for low, high in zip(cuts, cuts[1:]):
+        def share(values):
+            inside = sum(low <= v < high or (high == cuts[-1] and v == high) for v in values)
+            return inside / len(values) + drift.EPSILON
+
+        expected, actual = share(reference), share(current)
+        total += (actual - expected) * math.log(actual / expected)
+    return total
 
 
 def sided(spark, **pairs):
@@ -89,7 +97,7 @@ def test_psi_matches_numpy(spark, shifts):
     got = {r.feature: r.psi for r in drift.psi(sided(spark, **shifts)).collect()}
     assert set(got) == set(shifts)
     for name, (a, b) in shifts.items():
-        assert math.isclose(got[name], numpy_psi(a, b), abs_tol=1e-9), name
+        assert math.isclose(got[name], counted_psi(a, b), abs_tol=1e-9), name
     assert got["same"] < 0.05 and got["shift"] > 0.2 and got["constant"] == 0.0
 
 
@@ -138,20 +146,69 @@ def pair(spark, current, baseline):
     return spark.createDataFrame([(current, baseline)], "current double, baseline double")
 
 
-@pytest.mark.parametrize("current, baseline, severity", [(0.12, 0.35, "ok"), (0.23, 0.20, "warning"), (0.50, 0.20, "critical"), (0.3, 0.0, "ok")])
-def test_forecast_alert(spark, current, baseline, severity):
-    row = alerts.alert_forecast(pair(spark, current, baseline)).first()
+def around(limit):
+    """Relative changes below, between and above half the limit and the limit."""
+    return [(0.0, "ok"), (limit * 0.6, "warning"), (limit * 1.4, "critical"), (-limit, "ok")]
+
+
+@pytest.mark.parametrize("change, severity", around(alerts.MAPE_THRESHOLD))
+def test_forecast_alert(spark, change, severity):
+    row = alerts.alert_forecast(pair(spark, 8.0 * (1 + change), 8.0)).first()
     assert (row.severity, row.alert) == (severity, severity != "ok") and "MAPE" in row.message
 
 
-@pytest.mark.parametrize("current, baseline, severity", [(0.75, 0.75, "ok"), (0.70, 0.75, "warning"), (0.50, 0.75, "critical"), (0.5, -1.0, "ok")])
-def test_churn_alert(spark, current, baseline, severity):
-    assert alerts.alert_churn(pair(spark, current, baseline)).first().severity == severity
+@pytest.mark.parametrize("change, severity", around(alerts.PR_AUC_THRESHOLD))
+def test_churn_alert(spark, change, severity):
+    assert alerts.alert_churn(pair(spark, 0.6 * (1 - change), 0.6)).first().severity == severity
+
+
+def test_alerts_need_a_positive_baseline(spark):
+    for baseline in (0.0, -2.0):
+        assert alerts.alert_forecast(pair(spark, 9.0, baseline)).first().severity == "ok"
+        assert alerts.alert_churn(pair(spark, 0.1, baseline)).first().severity == "ok"
+
+
+def test_drift_alert_limits_belong_to_the_higher_level(spark):
+    cases = [(0.0, "ok"), (np.nextafter(alerts.PSI_WARNING, 0), "ok"), (alerts.PSI_WARNING, "warning"),
+             (np.nextafter(alerts.PSI_CRITICAL, 0), "warning"), (alerts.PSI_CRITICAL, "critical"), (7.0, "critical")]
+    got = alerts.alert_drift(spark.createDataFrame([(float(v),) for v, _ in cases], "psi double")).collect()
+    assert [r.severity for r in got] == [s for _, s in cases]
+
+
+def test_missing_scores_do_not_win_or_count(spark):
+    means = spark.createDataFrame([("a", 5.0), ("b", None), ("c", NAN)], "model string, mape double")
+    assert tuple(fc.select_champion(means).first()) == ("a", 5.0)
+    rows = spark.createDataFrame([("x", 10.0, None), ("x", 10.0, 10.0)], "product string, revenue double, prediction double")
+    scored = fc.forecast_metrics(rows).first()
+    assert (scored.mae, scored.mape) == (0.0, 0.0)
+
+
+def test_nan_features_are_left_out_of_drift(spark):
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(0, 1, 300), rng.normal(1, 1, 300)
+    clean = {r.feature: r for r in drift.data_drift(wide(spark, a, b), ["v"]).collect()}
+    dirty = {r.feature: r for r in drift.data_drift(wide(spark, [*a, NAN], [*b, NAN, NAN]), ["v"]).collect()}
+    assert clean["v"] == dirty["v"]
+
+
+def wide(spark, reference, current):
+    rows = [("reference", float(v)) for v in reference] + [("current", float(v)) for v in current]
+    return spark.createDataFrame(rows, "side string, v double")
+
 
+def test_products_without_sales_keep_their_rows(spark):
+    from tallyfold.operators import demand
 
-@pytest.mark.parametrize("psi, severity", [(0.05, "ok"), (0.10, "warning"), (0.15, "warning"), (0.20, "critical"), (0.25, "critical")])
-def test_drift_alert(spark, psi, severity):
-    assert alerts.alert_drift(spark.createDataFrame([(psi,)], "psi double")).first().severity == severity
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    columns = [*demand.MODEL_FEATURES, "revenue"]
+    rows = [(p, d, *[float((i * 7 + j) % 5) * level for j in range(len(columns))]) for p, level in (("a", 1.0), ("zero", 0.0)) for i, d in enumerate(days)]
+    schema = "product string, date date, " + ", ".join(f"{c} double" for c in columns)
+    table = spark.createDataFrame(rows, schema)
+    model = fc.train_demand_gbt(table, {"rounds": 2})
+    new = table.unionByName(table.where("product = 'a'").withColumn("product", F.lit("new")))
+    got = {r.product: (r.n, r.low, r.missing) for r in fc.predict_demand(model, new).groupBy("product").agg(
+        F.count("*").alias("n"), F.max("prediction").alias("low"), F.count_if(F.col("prediction").isNull()).alias("missing")).collect()}
+    assert got["zero"] == (40, 0.0, 0) and got["new"] == (40, None, 40) and got["a"][2] == 0
 
 
 def test_absent_sections_raise_no_check(spark):
