@@ -274,6 +274,25 @@ def _(spark, sf_dir):
     return fc.forecast_metrics(fc.predict_seasonal_regression(fc.part(split, "test"), betas))
 
 
+@query("seasonal_regression_optimum", S.naive_sql("""
+SELECT DISTINCT product, 0.0 AS gradient FROM demand, cut WHERE date < c"""), "gradient:6")
+def _(spark, sf_dir):
+    """Largest component of the gradient, beside the size of its terms: zero where the fit is the optimum."""
+    train = materialise(fc.part(stored_split(spark, sf_dir), "train"), "train")
+    terms = fc.SeasonalTerms()
+    x = terms.columns()
+    rows = train.join(fc.fit_seasonal_regression(train, terms), "product").select(
+        "product", "revenue", "beta", F.array(*x).alias("x")
+    )
+    fitted = " + ".join(f"beta[{i}] * x[{i}]" for i in range(len(x)))
+    steep = [
+        F.abs(F.expr(f"sum(x[{i}] * (revenue - ({fitted})))"))
+        / (1 + F.expr(f"sum(abs(x[{i}] * revenue))"))
+        for i in range(len(x))
+    ]
+    return rows.groupBy("product").agg(F.greatest(*steep).alias("gradient"))
+
+
 @query("train_demand_gbt")
 def _(spark, sf_dir):
     split = stored_split(spark, sf_dir)

@@ -125,6 +125,28 @@ def _(spark, sf_dir):
     return cl.score_customers(model, rows, threshold=cl.RECOMMENDED_THRESHOLD)
 
 
+@query("scores_follow_the_rule", S.with_ctes(S.SALES, S.behaviour(), body="""
+SELECT count(*) AS customers, CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS mislabelled FROM beh"""))
+def _(spark, sf_dir):
+    """One row per customer, probabilities within [0, 1], labels by the threshold."""
+    rows = split_table(spark, sf_dir)
+    threshold = cl.RECOMMENDED_THRESHOLD
+    scored = cl.score_customers(cl.churn_logistic(rows.where("part = 'train'")), rows, threshold=threshold)
+    p = F.col("churn_probability")
+    return scored.agg(
+        F.count_distinct("card").alias("customers"),
+        F.count_if(~p.between(0.0, 1.0)).alias("outside"),
+        F.count_if((p >= threshold).cast("int") != F.col("churn_label")).alias("mislabelled"),
+    )
+
+
+@query("importances_add_up", "SELECT 1.0 AS total FROM (SELECT count(*) FROM lineitem)", "total:9")
+def _(spark, sf_dir):
+    split = split_table(spark, sf_dir)
+    model = cl.churn_forest(split.where("part = 'train'"))
+    return cl.feature_importance(model, top=None).agg(F.sum("importance").alias("total"))
+
+
 @query("feature_importance")
 def _(spark, sf_dir):
     split = split_table(spark, sf_dir)
@@ -149,6 +171,26 @@ def _(spark, sf_dir):
     return fitted(spark, sf_dir).rows.drop("features")
 
 
+@query("kmeans_fixed_point", S.rfm_sql("""
+SELECT count(*) AS customers, CAST(0 AS BIGINT) AS misplaced, 0.0 AS centre_gap FROM rfm"""), "centre_gap:3")
+def _(spark, sf_dir):
+    """A K-Means solution: every row is at its nearest centre and every centre is the mean of its rows."""
+    fit = fitted(spark, sf_dir)
+    centres = [[float(v) for v in c] for c in fit.model.clusterCenters()]
+    reach = F.array(*[
+        sum((F.pow(F.col(f) - v, F.lit(2.0)) for f, v in zip(customers.RFM_NORM, centre)), F.lit(0.0)) for centre in centres
+    ])
+    rows = materialise(fit.rows.select("cluster_id", *customers.RFM_NORM, reach.alias("reach")), "placed")
+    means = rows.groupBy("cluster_id").agg(*[F.avg(f).alias(f"_{f}") for f in customers.RFM_NORM])
+    gaps = sg.centroid_table(fit).join(means, "cluster_id").agg(
+        F.max(F.greatest(*[F.abs(F.col(f) - F.col(f"_{f}")) for f in customers.RFM_NORM])).alias("gap")
+    )
+    return rows.agg(
+        F.count("*").alias("customers"),
+        F.count_if(F.col("reach")[F.col("cluster_id")] > F.array_min("reach") + 1e-12).alias("misplaced"),
+    ).withColumn("centre_gap", gaps.scalar())
+
+
 CENTRES = """centre AS (
   SELECT cluster_id, avg(recency_norm) AS x, avg(frequency_norm) AS y, avg(monetary_norm) AS z FROM member GROUP BY 1),
 spread AS (
