@@ -173,7 +173,8 @@ def marked(docs: DataFrame, min_words: int, names: tuple[str, str, str]) -> Data
     key_doc, key_hash = free_name(docs, "_d"), free_name(docs, "_h")
     table = deleted_lines(docs, min_words).toDF(key_doc, key_hash, gone)
     same = F.col("doc_id").eqNullSafe(F.col(key_doc)) & (F.xxhash64(whole_text(F.col("text"))) == F.col(key_hash))
-    joined = docs.join(table, same, "left").drop(key_doc, key_hash)
+    # The same plan at every size: broadcasting while the table is small would only move the surprise.
+    joined = docs.join(table.hint("merge"), same, "left").drop(key_doc, key_hash)
     split = once(joined, {lines: F.split("text", "\n")})
     kept = F.filter(F.col(lines), lambda _, i: ~F.array_contains(F.col(gone), i))
     return once(split, {left: F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))})

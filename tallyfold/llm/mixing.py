@@ -46,6 +46,8 @@ TOTAL_PERCENT = 150
 MAX_COPIES = 2
 #: Mixing weights are set by hand or by a table of this size at most; they are kept on the driver.
 MAX_SOURCES = 100_000
+#: Cells (source, size) to broadcast at most; a cell is six small values.
+MAX_CELLS = 500_000
 TOLERANCE = 1e-9
 MAX_STEPS = 80
 #: Single copies added or taken away per source after rounding.
@@ -255,10 +257,14 @@ def plan(rows: DataFrame) -> DataFrame:
 
 
 def copies_of(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """Add ``_copies``, ``_source_size`` and ``_target`` to rows with source, ``_size`` and ``_key``."""
+    """Add ``_copies``, ``_source_size`` and ``_target`` to rows with source, ``_size`` and ``_key``.
+
+    The cells are broadcast up to a checked number, so texts need no shuffle, and joined by it beyond.
+    """
     cell = cells.select(
         F.col("source").alias("_of"), F.col("_size").alias("_cell"), "_base", "_cut", "_source_size", "_target"
     )
+    cell = F.broadcast(cell) if cells.count() <= MAX_CELLS else cell.hint("merge")
     more = F.when(F.col("_key") <= F.col("_cut"), F.lit(1)).otherwise(F.lit(0))
     joined = rows.join(cell, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_size") == F.col("_cell")))
     return joined.withColumn("_copies", F.col("_base") + more).drop("_of", "_cell", "_base", "_cut")
