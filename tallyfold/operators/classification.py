@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numeric import safe_ratio
+from tallyfold.operators.forecasting import model_leaderboard
 from tallyfold.operators.ordering import running_totals
 from tallyfold.operators.trials import stacked
 from tallyfold.schemas import available_columns
@@ -163,6 +164,22 @@ def churn_gbt(train: DataFrame, label: str = "churn", params: dict | None = None
 TRAINERS = {"logistic": churn_logistic, "forest": churn_forest, "gbt": churn_gbt}
 
 
+def churn_candidates(train: DataFrame, params: dict[str, dict] | None = None) -> dict[str, PipelineModel]:
+    """The three families fitted on the same rows; ``params`` by family."""
+    params = params or {}
+    return {family: fit(train, "churn", params.get(family)) for family, fit in TRAINERS.items()}
+
+
+def churn_leaderboard(models: dict[str, PipelineModel], held_out: DataFrame) -> DataFrame:
+    """Hold-out metrics by family with their place by PR-AUC, best first."""
+    parts = [
+        score(model, held_out).select(F.lit(family).alias("model"), "churn", "churn_probability")
+        for family, model in models.items()
+    ]
+    scored = materialise(reduce(DataFrame.unionByName, parts), "candidates")
+    return model_leaderboard(classifier_metrics(scored, by=["model"]), "pr_auc", best="high")
+
+
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Rows with ``churn_probability``."""
     return model.transform(rows).select(

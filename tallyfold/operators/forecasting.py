@@ -10,7 +10,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -308,11 +308,47 @@ def tune_demand(split: DataFrame, trials: int = 20, seed: int = 42, space: dict
     return results.groupBy("product").agg(best.alias("b")).select("product", "b.*")
 
 
-# -- forecasts ------------------------------------------------------------------
+# -- champion --------------------------------------------------------------------
 
 Predictor = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A fitted forecaster: its hold-out rows with ``prediction`` and how to predict others."""
+
+    tested: DataFrame
+    predict: Predictor
+
+
+def demand_candidates(split: DataFrame, params: dict | None = None) -> dict[str, Candidate]:
+    """Seasonal naive, seasonal regression and boosted trees on the same hold-out."""
+    train, test = materialise(part(split, "train"), "train"), part(split, "test")
+    betas = materialise(fit_seasonal_regression(train), "betas")
+    trees = train_demand_gbt(train, params)
+    predictors: dict[str, Predictor] = {
+        # Ahead of the data, the last value of the same weekday is a week old.
+        "seasonal_naive": lambda rows: rows.withColumn("prediction", F.col("lag_7")),
+        "seasonal_regression": lambda rows: predict_seasonal_regression(rows, betas),
+        "boosted_trees": lambda rows: predict_demand(trees, rows),
+    }
+    tested = {name: predict(test) for name, predict in predictors.items()}
+    tested["seasonal_naive"] = seasonal_naive(split)
+    return {name: Candidate(materialise(tested[name], "tested"), predictors[name]) for name in predictors}
+
+
+def demand_leaderboard(candidates: dict[str, Candidate]) -> DataFrame:
+    """``model, mae, rmse, mape, n_products, place`` by mean MAPE; the first is the champion."""
+    scored = [
+        mean_metrics(forecast_metrics(c.tested)).withColumn("model", F.lit(name)) for name, c in candidates.items()
+    ]
+    means = reduce(DataFrame.unionByName, scored)
+    return model_leaderboard(means.select("model", "mae", "rmse", "mape", "n_products"), "mape")
+
+
+# -- forecasts ------------------------------------------------------------------
+
+
 def recursive_forecast(history: DataFrame, predict: Predictor, horizon: int,
                        store_every: int = 10) -> DataFrame:
     """``product, date, step, predicted_revenue`` for ``horizon`` days after the history.

@@ -26,7 +26,7 @@ from tallyfold.operators import (
     roi,
     segmentation,
 )
-from tallyfold.scratch import materialise
+from tallyfold.scratch import materialise, stage_folder
 from tallyfold.session import configure
 from tallyfold.sources import files, runs
 
@@ -92,7 +92,8 @@ def run_stages(spark: SparkSession, layout: Layout, stages: Sequence[tuple[str,
     for name, stage in stages:
         start = time.time()
         try:
-            stage()
+            with stage_folder(spark):
+                stage()
             done.append((name, "ok", time.time() - start, ""))
         except Exception as error:  # one failed stage must not stop the others
             log.exception("stage %s failed", name)
@@ -106,20 +107,19 @@ def run_stages(spark: SparkSession, layout: Layout, stages: Sequence[tuple[str,
 
 
 def train_demand(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Back-test on the last 30 days, then 7- and 30-day forecasts from the full history."""
+    """Three candidates on the last 30 days; the champion forecasts 7 and 30 days from the full history."""
     features = files.scan_parquet(spark, layout.demand_features)
     split = materialise(forecasting.temporal_split_by_product(features), "split")
-    test = forecasting.part(split, "test")
-    model = forecasting.train_demand_gbt(forecasting.part(split, "train"), settings.demand_params)
-    tested = materialise(forecasting.predict_demand(model, test), "tested")
-    files.sink_parquet(forecasting.backtest_bands(tested), layout.backtest_forecast)
-    means = forecasting.mean_metrics(forecasting.forecast_metrics(tested))
-    append_run(spark, layout.runs, "demand_forecasting", "pipeline_demand", means,
-               ["mae", "rmse", "mape", "n_products"], {"model_name": alerts.DEMAND_MODEL})
-    steps = forecasting.recursive_forecast(
-        features, lambda rows: forecasting.predict_demand(model, rows), forecasting.HOLD_OUT_DAYS
-    )
-    bounded = forecasting.forecast_interval(steps, forecasting.residual_spread(tested))
+    candidates = forecasting.demand_candidates(split, settings.demand_params)
+    files.sink_parquet(forecasting.demand_leaderboard(candidates), layout.demand_leaderboard)
+    best = files.scan_parquet(spark, layout.demand_leaderboard).where("place = 1")
+    name = best.first()["model"]
+    champion = candidates[name]
+    files.sink_parquet(forecasting.backtest_bands(champion.tested), layout.backtest_forecast)
+    append_run(spark, layout.runs, "demand_forecasting", "pipeline_demand", best,
+               ["mae", "rmse", "mape", "n_products"], {"model_name": alerts.DEMAND_MODEL, "champion": name})
+    steps = forecasting.recursive_forecast(features, champion.predict, forecasting.HOLD_OUT_DAYS)
+    bounded = forecasting.forecast_interval(steps, forecasting.residual_spread(champion.tested))
     files.sink_parquet(forecasting.union_horizons(materialise(bounded, "forecast")), layout.demand_forecast)
 
 
@@ -137,13 +137,17 @@ def train_clustering(spark: SparkSession, layout: Layout, settings: Settings) ->
 def train_churn(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     rows = files.scan_parquet(spark, layout.churn_features)
     split = materialise(classification.stratified_split(rows), "churn-split")
-    model = classification.churn_gbt(split.where("part = 'train'"), params=settings.churn_params)
-    held_out = classification.score(model, split.where("part = 'test'"))
-    append_run(spark, layout.runs, "churn_classification", "pipeline_churn",
-               classification.classifier_metrics(held_out),
-               ["precision", "recall", "f1", "roc_auc", "pr_auc"], {"model_name": alerts.CHURN_MODEL})
+    models = classification.churn_candidates(split.where("part = 'train'"), {"gbt": settings.churn_params})
+    files.sink_parquet(
+        classification.churn_leaderboard(models, split.where("part = 'test'")), layout.churn_leaderboard
+    )
+    best = files.scan_parquet(spark, layout.churn_leaderboard).where("place = 1")
+    name = best.first()["model"]
+    append_run(spark, layout.runs, "churn_classification", "pipeline_churn", best,
+               ["precision", "recall", "f1", "roc_auc", "pr_auc"],
+               {"model_name": alerts.CHURN_MODEL, "champion": name})
     segments = files.scan_parquet(spark, layout.customer_segments)
-    scored = classification.score_customers(model, rows, segments, settings.threshold)
+    scored = classification.score_customers(models[name], rows, segments, settings.threshold)
     files.sink_parquet(scored, layout.churn_predictions)
 
 
@@ -185,14 +189,37 @@ def training_job(spark: SparkSession, raw_paths: Sequence[str], root: str,
 # -- monitoring ------------------------------------------------------------------------------
 
 
+def measured_quality(spark: SparkSession, layout: Layout) -> dict[str, float]:
+    """MAPE and PR-AUC of the two newest runs of each model; assumed figures stand in for missing ones."""
+    found = dict(ASSUMED_QUALITY)
+    if not files.path_exists(spark, layout.runs):
+        return found
+    stored = runs.run_metrics_scan(spark, layout.runs)
+    for experiment, metric, scale in (("demand_forecasting", "mape", 0.01), ("churn_classification", "pr_auc", 1.0)):
+        newest = (
+            stored.where((F.col("experiment") == experiment) & F.col("metrics")[metric].isNotNull())
+            .orderBy(F.col("start_time").desc(), F.col("run_id").desc())
+            .limit(2)
+            .select(F.col("metrics")[metric].alias("value"))
+            .collect()
+        )
+        for which, row in zip(("current", "baseline"), newest):
+            found[f"{which}_{metric}"] = float(row["value"]) * scale
+    return found
+
+
 def monitoring_job(spark: SparkSession, root: str, mode: str = "position",
                    quality: dict | None = None) -> dict[str, DataFrame]:
-    """Drift, concept drift, alerts and returns; stored below ``root`` and appended as a run."""
+    """Drift, concept drift, alerts and returns; stored below ``root`` and appended as a run.
+
+    Alerts judge the ``quality`` given, else what the run store measured, else the assumed figures.
+    """
     layout = Layout(root)
+    quality = quality or measured_quality(spark, layout)
     features = files.scan_parquet(spark, layout.demand_features)
     drifted = materialise(drift.data_drift(demand.halves(features, mode)), "drift-report")
     report = drifted.agg(F.coalesce(F.max("psi"), F.lit(0.0)).alias("psi")).select(
-        *[F.lit(v).alias(k) for k, v in (quality or ASSUMED_QUALITY).items()], "psi"
+        *[F.lit(v).alias(k) for k, v in quality.items()], "psi"
     )
     raised = materialise(alerts.alerts(report), "alerts")
     forecast_roi = roi.roi_forecast(scenario(spark, FORECAST_SCENARIO))
@@ -207,6 +234,7 @@ def monitoring_job(spark: SparkSession, root: str, mode: str = "position",
         out["concept_drift"] = drift.concept_drift(history, "mape")
     for name, table in out.items():
         files.sink_parquet(table, f"{layout.monitoring}/{name}")
+        out[name] = files.scan_parquet(spark, f"{layout.monitoring}/{name}")
 
     wide = drifted.groupBy().pivot("feature", drift.DRIFT_FEATURES).agg(
         F.first("psi").alias("psi"), F.first("ks_statistic").alias("ks_stat"),

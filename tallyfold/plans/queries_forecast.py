@@ -322,6 +322,11 @@ def _(spark, sf_dir):
     return fc.tune_demand(stored_split(spark, sf_dir))
 
 
+@query("demand_champion")
+def _(spark, sf_dir):
+    return fc.demand_leaderboard(fc.demand_candidates(stored_split(spark, sf_dir)))
+
+
 @query("retrain_metrics")
 def _(spark, sf_dir):
     return fc.retrain_errors(stored_demand(spark, sf_dir))

@@ -118,6 +118,12 @@ def _(spark, sf_dir):
     return evaluated(spark, sf_dir, cl.churn_gbt)
 
 
+@query("churn_champion")
+def _(spark, sf_dir):
+    split = split_table(spark, sf_dir)
+    return cl.churn_leaderboard(cl.churn_candidates(split.where("part = 'train'")), split.where("part = 'test'"))
+
+
 @query("score_customers")
 def _(spark, sf_dir):
     rows = split_table(spark, sf_dir)

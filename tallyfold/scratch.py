@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +29,34 @@ def application_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/tallyfold/{spark.sparkContext.applicationId}"
 
 
+#: Folders of the stages that are running; threads of a stage store into its folder, too.
+_stages: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
-    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = "/".join([application_folder(spark), *_stages[-1:]])
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stage_folder(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end: for stages that keep their results elsewhere."""
+    name = f"stage-{uuid.uuid4().hex}"
+    _stages.append(name)
+    try:
+        yield
+    finally:
+        _stages.remove(name)
+        delete(spark, f"{application_folder(spark)}/{name}")
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Compute ``df`` once, store it, and return a scan of the stored table."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -45,12 +66,8 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def drop(stored: DataFrame) -> None:
-    """Remove a table made by ``materialise`` that no later plan reads."""
-    folders = {f.rsplit("/", 1)[0] for f in stored.inputFiles()}
-    mine = application_folder(stored.sparkSession).removeprefix("file:").rstrip("/")
-    for folder in folders:
-        if mine.lstrip("/") in folder:
-            delete(stored.sparkSession, folder)
+    """Remove a table that ``materialise`` returned and no later plan reads."""
+    delete(stored.sparkSession, stored.stored_at)
 
 
 def free_shuffles(spark: SparkSession) -> None:
