@@ -11,8 +11,8 @@ but merge ranks as scores; there Zipf's law takes their place, log p = -log(rank
 
 Blanks become U+2581 with one in front of the text. No piece holds U+2581 after another character,
 so every path passes each start of a word and the lattice is the product of the lattices of the words
-(words here: runs of U+2581 and what follows up to the next). Each distinct word is filtered once
-per worker; all draws of a batch are made together. Code points that are no piece, and a literal
+(words here: runs of U+2581 and what follows up to the next, cut further where no piece of the vocabulary goes
+on). Each distinct word is filtered once per worker, all new words of a batch at once; so are all draws. Code points that are no piece, and a literal
 U+2581, are spelt as their bytes. Decoding joins pieces and bytes, turns U+2581 to blanks and
 drops the first; nothing is normalised, so it returns the text exactly.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,101 +40,151 @@ ALPHA = 0.5
 SEED = 20_250_101
 SPACE = "▁"
 #: Longer runs without a blank are filtered each time, so the cache stays small.
-CACHED_CHARS, CACHED_NODES = 48, 3_000_000
+SHORT, CACHED_CHARS, CACHED_NODES = 9, 48, 2_000_000
+#: Shares and draws are whole multiples of 1 / GRID.
+GRID_BITS = 30
+GRID = float(1 << GRID_BITS)
+#: Slots of the hash table of pieces.
+TABLE = 1 << 19
+#: Log weight of a byte.
+RARE = -12.0
 _MASK = (1 << 64) - 1
 
 
 @dataclass
 class Vocabulary:
-    """Pieces by text with their log weights; byte pieces by value."""
+    """Pieces by id with their log weights, byte pieces by value, and a hash table of all pieces.
+
+    No piece joins a character of ``alone`` to another one, nor a letter to a mark of ``marks`` behind it.
+    """
 
     ids: dict[str, int]
-    weight: dict[str, float]
+    weight: np.ndarray
     bytes_: list[int]
     texts: list[str]
     longest: int
     alone: str
+    marks: str
+    slots: np.ndarray
+    held: np.ndarray
+    probes: int
 
 
 def read_vocabulary(model: bytes, alpha: float = ALPHA) -> Vocabulary:
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-    texts, ids, weight, byte_ids = [], {}, {}, [-1] * 256
-    scores = [sp.get_score(i) for i in range(sp.get_piece_size())]
+    size = sp.get_piece_size()
+    scores = [sp.get_score(i) for i in range(size)]
     ranked = min(scores) < -1000  # merge ranks, not log probabilities
-    for i in range(sp.get_piece_size()):
+    texts, ids, weight, byte_ids = [], {}, np.full(size, -np.inf), [-1] * 256
+    for i in range(size):
         text = sp.id_to_piece(i)
         texts.append(text)
         if sp.is_byte(i):
             byte_ids[int(text[3:5], 16)] = i
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
             ids[text] = i
-            weight[text] = alpha * (-math.log(-scores[i] + 2.7) if ranked else scores[i])
+            weight[i] = alpha * (-math.log(-scores[i] + 2.7) if ranked else scores[i])
     if -1 in byte_ids:
         raise ValueError("the model has no byte pieces, so it cannot spell every text")
     if any(SPACE in t.lstrip(SPACE) for t in ids):
         raise ValueError("pieces that go on after a blank are not supported")
     joined = {c for t in ids if len(t) > 1 for c in t}
     alone = "".join(c for c in "\n\r\t" if c not in joined)
-    return Vocabulary(ids, weight, byte_ids, texts, max(map(len, ids)), alone)
-
-
-@dataclass
-class Lattices:
-    """Filtered lattices of the words met so far, as flat arrays.
-
-    A node is a position in a word. Edges into a node lie together, ordered; ``shares`` holds node number
-    plus the running probability of its edges, so one search finds the edge of any draw.
+    behind = {b for t in ids for a, b in zip(t, t[1:], strict=False) if a.isalpha()}
+    marks = "".join(c for c in ".,;:!?)\"" if c not in behind)
+    longest = max(map(len, ids))
+    slots, held, probes = _table(ids, longest)
+    return Vocabulary(ids, weight, byte_ids, texts, longest, alone, marks, slots, held, probes)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _keys(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """For each length, a hash of the characters that end at each place."""
+    running = np.zeros(len(codes), np.uint64)
+    for length in range(1, longest + 1):
+        running[1:] = running[:-1].copy()
+        running[:1] = 0
+        running = running * np.uint64(0x9E3779B97F4A7C15) + codes + np.uint64(1)
+        yield _mixed(running + np.uint64(length << 48))
+
+
+def _table(ids: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Open addressing: keys, ids and the longest chain."""
+    slots, held, probes = np.zeros(TABLE, np.uint64), np.full(TABLE, -1, np.int32), 0
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    last = np.cumsum(lengths) - 1
+    keys = np.empty(len(ids), np.uint64)
+    for length, all_keys in enumerate(_keys(_codes("".join(ids)), longest), 1):
+        keys[lengths == length] = all_keys[last[lengths == length]]
+    for key, i in zip(keys.tolist(), ids.values(), strict=True):
+        at, chain = key % TABLE, 1
+        while held[at] >= 0:
+            at, chain = (at + 1) % TABLE, chain + 1
+        slots[at], held[at], probes = key, i, max(probes, chain)
+    return slots, held, probes
+
+
+def _found(v: Vocabulary, keys: np.ndarray) -> np.ndarray:
+    """Ids of pieces by hash, -1 where there is none."""
+    out = np.full(len(keys), -1, np.int32)
+    at = (keys % np.uint64(TABLE)).astype(np.int64)
+    for _ in range(v.probes):
+        hit = v.slots[at] == keys
+        out[hit] = v.held[at[hit]]
+        at = (at + 1) % TABLE
+    return out
+
+
+def filtered(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Forward filtering of many words at once.
+
+    A node is a character, standing for the position behind it. Returned are the last node of each word and, for all
+    edges in the order of nodes: node plus running share (in whole units of ``GRID``, so that sums are exact
+    and draws do not depend on what else is filtered), the node the edge comes from (-1: the start of the
+    word) and its piece, or -2 minus a code point that has to be spelt in bytes.
     """
-
-    vocabulary: Vocabulary
-    ends: dict[str, int] = field(default_factory=dict)
-    nodes: int = 0
-    shares: list[float] = field(default_factory=list)
-    back: list[int] = field(default_factory=list)  # node an edge comes from, -1 at the start of the word
-    first: list[int] = field(default_factory=list)  # ids of an edge: a span of ``spelt``
-    count: list[int] = field(default_factory=list)
-    spelt: list[int] = field(default_factory=list)
-
-    def end_of(self, word: str) -> int:
-        """The node at the end of a word, filtering its lattice if it is new."""
-        found = self.ends.get(word)
-        if found is None:
-            found = self._filter(word)
-            self.ends[word] = found
-        return found
-
-    def _filter(self, word: str) -> int:
-        v, base = self.vocabulary, self.nodes
-        # total[i]: log of the summed weights of all paths to position i.
-        total = [0.0] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            edges = []
-            for start in range(max(0, end - v.longest), end):
-                piece = word[start:end]
-                weight = v.weight.get(piece)
-                if weight is not None:
-                    edges.append((start, total[start] + weight, (v.ids[piece],)))
-            if v.weight.get(word[end - 1]) is None:
-                char = SPACE if word[end - 1] == _STAND_IN else word[end - 1]
-                spelt = tuple(v.bytes_[b] for b in char.encode("utf-8", "surrogatepass"))
-                edges.append((end - 1, total[end - 1] + len(spelt) * -12.0, spelt))
-            top = max(e[1] for e in edges)
-            shares = [math.exp(e[1] - top) for e in edges]
-            whole = sum(shares)
-            total[end] = top + math.log(whole)
-            running = 0.0
-            for (start, _, ids), share in zip(edges, shares, strict=True):
-                running += share / whole
-                self.shares.append(base + end - 1 + min(running, 1.0))
-                self.back.append(base + start - 1 if start else -1)
-                self.first.append(len(self.spelt))
-                self.count.append(len(ids))
-                self.spelt.extend(ids)
-            self.shares[-1] = float(base + end)
-        self.nodes += len(word)
-        return base + len(word) - 1
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    codes = _codes("".join(words))
+    n, ends = len(codes), np.cumsum(lengths)
+    place = np.arange(n) - np.repeat(ends - lengths, lengths)
+    # A column per length of piece, and one for the bytes of a character without a piece.
+    longest = min(v.longest, int(lengths.max()))
+    ids = np.full((n, longest + 1), -1, np.int32)
+    for k, keys in enumerate(_keys(codes, longest)):
+        long_enough = np.flatnonzero(place >= k)
+        if not len(long_enough):
+            break
+        ids[long_enough, k] = _found(v, keys[long_enough])
+    weight = np.where(ids >= 0, v.weight[ids], -np.inf)
+    bare = np.flatnonzero(ids[:, 0] < 0)
+    weight[bare, -1] = RARE * (1 + (codes[bare] > 0x7F) + (codes[bare] > 0x7FF) + (codes[bare] > 0xFFFF))
+    ids[bare, -1] = -2 - codes[bare].astype(np.int64)
+    back = np.concatenate([np.arange(1, longest + 1), [1]])
+
+    total, share = np.zeros(n), np.empty(weight.shape)
+    order = np.argsort(place, kind="stable")
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(place))]) if n else [0]
+    for at in range(len(cuts) - 1):
+        rows = order[cuts[at] : cuts[at + 1]]
+        before = np.where(back <= at, total[np.maximum(rows[:, None] - back, 0)], 0.0)
+        sums = weight[rows] + before
+        top = sums.max(1)
+        parts = np.exp(sums - top[:, None])
+        running = np.cumsum(parts, axis=1)
+        total[rows] = top + np.log(running[:, -1])
+        share[rows] = np.floor(running / running[:, -1:] * GRID) / GRID
+    edge = np.isfinite(weight)
+    node, kind = np.nonzero(edge)
+    shares = node + share[edge]
+    last = np.flatnonzero(np.append(node[1:] != node[:-1], True)) if len(node) else node
+    shares[last] = node[last] + 1.0
+    came = np.where(back[kind] > place[node], -1, node - back[kind])
+    return ends - 1, shares, came, ids[edge]
 
 
 #: Stands for a literal U+2581 within a word. A lone surrogate: no text that Spark holds contains it.
@@ -148,107 +198,123 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the lattices of frequent words between batches."""
+    """Encodes batches of texts; keeps the lattices of the words met so far."""
 
     def __init__(self, vocabulary: Vocabulary, seed: int = SEED):
         self.vocabulary, self.seed = vocabulary, seed
-        alone = re.escape(vocabulary.alone)
-        self.split = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.kept = Lattices(vocabulary)
-        self.arrays: tuple | None = None
+        alone, marks = re.escape(vocabulary.alone), re.escape(vocabulary.marks)
+        # A word ends where no piece goes on: before U+2581, around lone characters, before a mark.
+        ways = [f"[{alone}]"] if alone else []
+        ways += [rf"{SPACE}*[^\W\d_]+(?=[{marks}])"] if marks else []
+        self.split = re.compile("|".join([*ways, f"{SPACE}*[^{SPACE}{alone}]+", f"{SPACE}+"]))
+        self.ends: dict[str, int] = {}
+        self.arrays = _no_lattices()
 
     def words(self, text: str) -> list[str]:
         if SPACE in text:
             text = text.replace(SPACE, _STAND_IN)
         return self.split.findall(SPACE + text.replace(" ", SPACE))
 
+    def _keep(self, words: list[str]) -> None:
+        if self.arrays[3] > CACHED_NODES:
+            self.ends, self.arrays = {}, _no_lattices()
+        *arrays, nodes = self.arrays
+        parts = [[x] for x in arrays]
+        # Short words apart, as the work grows with the longest.
+        for group in ([w for w in words if len(w) <= SHORT], [w for w in words if len(w) > SHORT]):
+            if group:
+                ends, shares, came, ids = filtered(self.vocabulary, group)
+                self.ends.update(zip(group, (ends + nodes).tolist(), strict=True))
+                new = (shares + nodes, np.where(came >= 0, came + nodes, -1).astype(np.int32), ids)
+                for part, column in zip(parts, new, strict=True):
+                    part.append(column)
+                nodes += int(ends[-1]) + 1
+        self.arrays = (*map(np.concatenate, parts), nodes)
+
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has."""
-        if self.kept.nodes > CACHED_NODES:
-            self.kept, self.arrays = Lattices(self.vocabulary), None
-        known, ends, owners = self.kept.ends, [], []
-        fresh: Lattices | None = None
-        before = self.kept.nodes
-        long_at: list[tuple[int, str]] = []
+        words: list[str] = []
+        owners = []
         for text in texts:
-            words = self.words(text) if text else []
+            if text:
+                words += self.words(text)
             owners.append(len(words))
-            for word in words:
-                end = known.get(word)
-                if end is None:
-                    if len(word) > CACHED_CHARS:
-                        long_at.append((len(ends), word))
-                        end = -1
-                    else:
-                        end = self.kept.end_of(word)
-                ends.append(end)
-        if self.arrays is None or self.kept.nodes != before:
-            self.arrays = _arrays(self.kept)
-        at, owner_words = np.array(ends, np.int64), np.array(owners, np.int64)
-        owner = np.repeat(np.arange(len(texts)), owner_words)
-        place = np.arange(len(at)) - np.repeat(np.cumsum(owner_words) - owner_words, owner_words)
+        ends = list(map(self.ends.get, words))
+        fresh = list(dict.fromkeys(w for w, e in zip(words, ends, strict=True) if e is None))
+        long = {w for w in fresh if len(w) > CACHED_CHARS}
+        if len(fresh) > len(long):
+            known = self.arrays[3]
+            self._keep([w for w in fresh if w not in long])
+            if self.arrays[3] < known:  # started anew
+                self._keep(list({w for w in words if w not in self.ends and w not in long}) or fresh[:1])
+            ends = list(map(self.ends.get, words))
+        at = np.array([-1 if e is None else e for e in ends] if long else ends, np.int64)
+        per_text = np.diff(owners, prepend=0)
+        owner = np.repeat(np.arange(len(texts)), per_text)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         draw = _mixed(
             keys[owner] + np.uint64(self.seed) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         )
         short = np.flatnonzero(at >= 0)
         parts = [(short, *_walk(self.arrays, at[short], draw[short]))]
-        for index, word in long_at:
-            fresh = Lattices(self.vocabulary)
-            end = fresh.end_of(word)
-            here = np.array([index])
-            parts.append((here, *_walk(_arrays(fresh), np.array([end]), draw[here])))
-        return _assembled(parts, owner, len(at), len(texts))
-
-
-def _arrays(lattices: Lattices) -> tuple:
-    return (
-        np.array(lattices.shares),
-        np.array(lattices.back, np.int64),
-        np.array(lattices.first, np.int64),
-        np.array(lattices.count, np.int64),
-        np.array(lattices.spelt, np.int32),
-    )
-
-
-def _walk(arrays: tuple, at: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From each end back to the start: which walk, which step from the end, which edge's ids."""
-    shares, back, first, count, spelt = arrays
+        for word in long:  # filtered for this batch only
+            end, *arrays = filtered(self.vocabulary, [word])
+            here = np.array([i for i, w in enumerate(words) if w == word])
+            parts.append((here, *_walk(arrays, np.repeat(end, len(here)), draw[here])))
+        word_of = np.concatenate([where[walk] for where, walk, _ in parts])
+        ids = np.concatenate([got for _, _, got in parts])
+        if len(parts) > 1:
+            order = np.argsort(word_of, kind="stable")
+            word_of, ids = word_of[order], ids[order]
+        ids, counts = self._spelt(ids)
+        whole = np.bincount(owner[word_of], counts, len(texts)) if len(ids) else np.zeros(len(texts))
+        return ids, whole.astype(np.int64)
+
+    def _spelt(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Replace code points by the ids of their bytes; how many ids stand for each entry."""
+        counts = np.ones(len(ids), np.int64)
+        bare = np.flatnonzero(ids < 0)
+        if not len(bare):
+            return ids, counts
+        spelt = {}
+        for code in np.unique(ids[bare]).tolist():
+            char = chr(-2 - code)
+            raw = (SPACE if char == _STAND_IN else char).encode("utf-8", "surrogatepass")
+            spelt[code] = [self.vocabulary.bytes_[b] for b in raw]
+        counts[bare] = [len(spelt[c]) for c in ids[bare].tolist()]
+        out = np.repeat(ids, counts)
+        out[out < 0] = [b for c in ids[bare].tolist() for b in spelt[c]]
+        return out, counts
+
+
+def _no_lattices() -> tuple:
+    return np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32), 0
+
+
+def _walk(arrays, at: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Backward sampling from each end to the start: the walk and the piece of every step, in text order."""
+    shares, came, ids = arrays[:3]
     active, walks, edges = np.arange(len(at)), [], []
     step = 0
     while len(active):
         u = _mixed(draw[active] + np.uint64(step * 0xD1342543DE82EF95 & _MASK))
-        share = (u >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        share = (u >> np.uint64(64 - GRID_BITS)).astype(np.float64) / GRID
         edge = np.searchsorted(shares, at + share, side="right")
         walks.append(active)
         edges.append(edge)
-        at = back[edge]
+        at = came[edge]
         on = at >= 0
         active, at = active[on], at[on]
         step += 1
     if not walks:
-        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int32)
+    # Each walk's last step is the first piece of its word: fill from the end of its room.
     walk, edge = np.concatenate(walks), np.concatenate(edges)
-    steps = np.repeat(np.arange(len(walks)), [len(w) for w in walks])
-    # By walk, last step first: the order of the text.
-    order = np.lexsort((-steps, walk))
-    walk, edge = walk[order], edge[order]
-    n = count[edge]
-    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    ids = spelt[np.repeat(first[edge], n) + inner]
-    return walk, ids, n
-
-
-def _assembled(parts, owner: np.ndarray, words: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Put the ids of all walks in the order of the words."""
-    at, ids = [], []
-    for where, walk, got, n in parts:
-        at.append(np.repeat(where[walk], n))
-        ids.append(got)
-    at, ids = np.concatenate(at), np.concatenate(ids)
-    if len(parts) > 1:
-        order = np.argsort(at, kind="stable")
-        at, ids = at[order], ids[order]
-    return ids, np.bincount(owner[at], minlength=texts) if words else np.zeros(texts, np.int64)
+    sizes = np.bincount(walk, minlength=len(draw))
+    step_of = np.repeat(np.arange(len(walks)), [len(w) for w in walks])
+    room = np.empty(len(walk), np.int32)
+    room[np.cumsum(sizes)[walk] - 1 - step_of] = ids[edge]
+    return np.repeat(np.arange(len(draw)), sizes), room
 
 
 def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> str:
