@@ -140,11 +140,11 @@ def _found(v: Vocabulary, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def filtered(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def filtered(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, ...]:
     """Forward filtering of many words at once.
 
-    A node is a character, standing for the position behind it. Returned are the last node of each word and, for all
-    edges in the order of nodes: node plus running share (in whole units of ``GRID``, so that sums are exact
+    A node is a character, standing for the position behind it. Returned are the last node of each word, the
+    first edge of each node and, for all edges in the order of nodes: node plus running share (in whole units of ``GRID``, so that sums are exact
     and draws do not depend on what else is filtered), the node the edge comes from (-1: the start of the
     word) and its piece, or -2 minus a code point that has to be spelt in bytes.
     """
@@ -181,10 +181,10 @@ def filtered(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, n
     edge = np.isfinite(weight)
     node, kind = np.nonzero(edge)
     shares = node + share[edge]
-    last = np.flatnonzero(np.append(node[1:] != node[:-1], True)) if len(node) else node
-    shares[last] = node[last] + 1.0
+    last = np.cumsum(edge.sum(1)) - 1
+    shares[last] = np.arange(n) + 1.0
     came = np.where(back[kind] > place[node], -1, node - back[kind])
-    return ends - 1, shares, came, ids[edge]
+    return ends - 1, np.append(0, last[:-1] + 1), shares, came, ids[edge]
 
 
 #: Stands for a literal U+2581 within a word. A lone surrogate: no text that Spark holds contains it.
@@ -216,16 +216,20 @@ class Encoder:
         return self.split.findall(SPACE + text.replace(" ", SPACE))
 
     def _keep(self, words: list[str]) -> None:
-        if self.arrays[3] > CACHED_NODES:
+        if self.arrays[-1] > CACHED_NODES:
             self.ends, self.arrays = {}, _no_lattices()
         *arrays, nodes = self.arrays
         parts = [[x] for x in arrays]
         # Short words apart, as the work grows with the longest.
         for group in ([w for w in words if len(w) <= SHORT], [w for w in words if len(w) > SHORT]):
             if group:
-                ends, shares, came, ids = filtered(self.vocabulary, group)
+                ends, first, shares, came, ids = filtered(self.vocabulary, group)
                 self.ends.update(zip(group, (ends + nodes).tolist(), strict=True))
-                new = (shares + nodes, np.where(came >= 0, came + nodes, -1).astype(np.int32), ids)
+                edges = sum(map(len, parts[1]))
+                new = (
+                    (first + edges).astype(np.int32), shares + nodes,
+                    np.where(came >= 0, came + nodes, -1).astype(np.int32), ids,
+                )
                 for part, column in zip(parts, new, strict=True):
                     part.append(column)
                 nodes += int(ends[-1]) + 1
@@ -243,9 +247,9 @@ class Encoder:
         fresh = list(dict.fromkeys(w for w, e in zip(words, ends, strict=True) if e is None))
         long = {w for w in fresh if len(w) > CACHED_CHARS}
         if len(fresh) > len(long):
-            known = self.arrays[3]
+            known = self.arrays[-1]
             self._keep([w for w in fresh if w not in long])
-            if self.arrays[3] < known:  # started anew
+            if self.arrays[-1] < known:  # started anew
                 self._keep(list({w for w in words if w not in self.ends and w not in long}) or fresh[:1])
             ends = list(map(self.ends.get, words))
         at = np.array([-1 if e is None else e for e in ends] if long else ends, np.int64)
@@ -288,18 +292,23 @@ class Encoder:
 
 
 def _no_lattices() -> tuple:
-    return np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32), 0
+    return np.empty(0, np.int32), np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32), 0
 
 
 def _walk(arrays, at: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Backward sampling from each end to the start: the walk and the piece of every step, in text order."""
-    shares, came, ids = arrays[:3]
+    first, shares, came, ids = arrays[:4]
     active, walks, edges = np.arange(len(at)), [], []
     step = 0
     while len(active):
         u = _mixed(draw[active] + np.uint64(step * 0xD1342543DE82EF95 & _MASK))
         share = (u >> np.uint64(64 - GRID_BITS)).astype(np.float64) / GRID
-        edge = np.searchsorted(shares, at + share, side="right")
+        # The edge whose running share passes the draw: nodes have few edges, so they are tried in turn.
+        drawn, edge = at + share, first[at].astype(np.int64)
+        behind = np.flatnonzero(shares[edge] <= drawn)
+        while len(behind):
+            edge[behind] += 1
+            behind = behind[shares[edge[behind]] <= drawn[behind]]
         walks.append(active)
         edges.append(edge)
         at = came[edge]
