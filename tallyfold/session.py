@@ -4,10 +4,31 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever they run; once per application.
+
+    Functions that run on executors are imported there by name. Spark hands out the archive.
+    """
+    context = spark.sparkContext
+    if getattr(context, "has_tallyfold", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyfold-"), "tallyfold.zip")
+    with zipfile.ZipFile(archive, "w") as zipped:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    zipped.write(path, os.path.join("tallyfold", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context.has_tallyfold = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; sizing is left to the cluster.
 
@@ -22,4 +43,5 @@ def configure(spark: SparkSession) -> SparkSession:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         spark.conf.set("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "tallyfold-scratch"))
+    ship_package(spark)
     return spark
