@@ -16,6 +16,7 @@ from tallyfold.llm.pieces import encode, read_model
 from tallyfold.llm.quality_rules import quality_rules
 from tallyfold.llm.shingle_join import keep_one
 from tallyfold.scratch import materialise
+from tallyfold.session import configure
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +31,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    configure(spark)
     return keep_one(docs)
 
 
@@ -40,6 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, pieces, lossless``, one row per taken copy."""
+    configure(spark)
     return encode(docs, read_model())
 
 
