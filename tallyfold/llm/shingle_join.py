@@ -252,10 +252,11 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("_b", "_a"))
         low = both.groupBy("_a").agg(F.least(F.col("_a"), F.min("_b")).alias("_m"))
+        # Every larger neighbour points to the smallest.
         large = materialise(
             both.join(low, "_a").where("_b > _a").select(F.col("_b").alias("_x"), F.col("_m").alias("_y"))
             .where("_x <> _y").distinct(), "large",
-        )  # every larger neighbour points to the smallest
+        )
         small = large.groupBy("_x").agg(F.min("_y").alias("_m"))
         joined = large.join(small, "_x")
         stars = joined.select(F.col("_x").alias("_b"), F.col("_m").alias("_a")).union(
@@ -349,7 +350,7 @@ def links_of(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
         ),
         "ranked",
     )
-    done, front, links, roots = 0, 1, None, None
+    done, front, roots = 0, 1, None
     while True:
         open_rows = ranked.where(F.col("_size") > done + 1)
         if roots is not None:
@@ -371,9 +372,10 @@ def links_of(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
             .select("_a", F.col("_class").alias("_b")).distinct()
         )
         found = verify(materialise(pairs, "pairs"), sets)
-        links = found if links is None else materialise(links.union(found), "links")
-        if links.limit(1).count():
-            roots = components(links)
+        if found.limit(1).count():
+            # Components so far enter as one link per class, so the graph does not grow with the rounds.
+            known = found if roots is None else found.union(roots.where("_class <> _root").select("_root", "_class"))
+            roots = components(known)
         done, front = front, front * SMALL
 
 
