@@ -314,7 +314,7 @@ def sets_of(docs: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def rare_buckets(sets: DataFrame, large: DataFrame) -> DataFrame:
-    """``_key, _class``: the classes of large buckets by their rarest shingles."""
+    """``_key, _class, _pos``: the classes of large buckets by their rarest shingles, with their place by rarity."""
     rows = sets.join(large, "_class", "left_semi").select("_class", "_n", F.explode("_set").alias("_key"))
     rows = materialise(rows, "members")
     often = rows.groupBy("_key").agg(F.count("*").alias("_often"))
@@ -323,7 +323,8 @@ def rare_buckets(sets: DataFrame, large: DataFrame) -> DataFrame:
         "_rank", F.row_number().over(Window.partitionBy("_class").orderBy("_often", "_key"))
     )
     needed = F.col("_n") - F.ceil(F.col("_n") * PART / WHOLE) + 1
-    return ranked.where((F.col("_rank") <= needed) & (F.col("_often") > 1)).select("_key", "_class")
+    chosen = ranked.where((F.col("_rank") <= needed) & (F.col("_often") > 1))
+    return chosen.select("_key", "_class", F.col("_rank").cast("bigint").alias("_pos"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -342,11 +343,16 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links_of(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """``_class, _root`` for all classes with a link; None if there is none."""
+    """``_class, _root`` for all classes with a link; None if there is none.
+
+    ``buckets``: ``_key, _class, _pos``. Where a bucket's key is the first shingle two sets have in common, they share at
+    most what follows it in both, itself included; fewer than a link needs, and the pair is left out.
+    The sets with least before their key come first, as they are most like the others.
+    """
     sized = buckets.distinct().join(sets.select("_class", "_n"), "_class").withColumn("_one", F.lit(1).cast("bigint"))
     ranked = materialise(
-        running_totals(sized, ["_class"], ["_one"], ["_key"]).select(
-            "_key", "_class", "_n", F.col("_one_upto").alias("_rank"), F.col("_one_total").alias("_size")
+        running_totals(sized, ["_pos", "_class"], ["_one"], ["_key"]).select(
+            "_key", "_class", "_n", "_pos", F.col("_one_upto").alias("_rank"), F.col("_one_total").alias("_size")
         ),
         "ranked",
     )
@@ -363,15 +369,21 @@ def links_of(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
         if open_rows.limit(1).count() == 0:
             return roots
         heads = open_rows.where((F.col("_rank") > done) & (F.col("_rank") <= front)).select(
-            "_key", F.col("_class").alias("_a"), F.col("_n").alias("_na"), F.col("_rank").alias("_ra"), F.col("_root").alias("_xa")
+            "_key", F.col("_class").alias("_a"), F.col("_n").alias("_na"), F.col("_pos").alias("_pa"),
+            F.col("_rank").alias("_ra"), F.col("_root").alias("_xa"),
+        )
+        shared = F.least(F.col("_n") - F.col("_pos"), F.col("_na") - F.col("_pa")) + 1
+        near = (
+            (PART * F.greatest("_n", "_na") <= WHOLE * F.least("_n", "_na"))
+            & _linked(shared, F.col("_n") + F.col("_na"))
         )
-        near = (PART * F.greatest("_n", "_na")) <= (WHOLE * F.least("_n", "_na"))
         pairs = (
             open_rows.join(heads, "_key")
             .where((F.col("_rank") > F.col("_ra")) & (F.col("_root") != F.col("_xa")) & near)
             .select("_a", F.col("_class").alias("_b")).distinct()
         )
-        found = verify(materialise(pairs, "pairs"), sets)
+        pairs = materialise(pairs, "pairs")
+        found = verify(pairs, sets) if pairs.limit(1).count() else pairs
         if found.limit(1).count():
             # Components so far enter as one link per class, so the graph does not grow with the rounds.
             known = found if roots is None else found.union(roots.where("_class <> _root").select("_root", "_class"))
@@ -390,7 +402,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = sets_of(docs, signed, wanted)
     rare = materialise(rare_buckets(sets, buckets.where("_large").select("_class").distinct()), "rare")
     free_shuffles(docs.sparkSession)
-    roots = links_of(buckets.where("NOT _large").select("_key", "_class").union(rare), sets)
+    small = buckets.where("NOT _large").select("_key", "_class", F.lit(1).cast("bigint").alias("_pos"))
+    roots = links_of(small.union(rare), sets)
     for table in (buckets, rare, sets):
         drop(table)
 
