@@ -4,7 +4,8 @@ Column expressions only and no shuffle: a document is one row from scan to verdi
 
 Each line is put to three kinds of rules.
 
-* punctuation: symbols or repeated marks make up a large part of the line, or one word fills it;
+* punctuation: symbols or repeated marks make up a large part of the line, or few distinct words fill it
+  (measured by stretches of ``FILLER_STRETCH`` words, as the distinct share of any prose falls with length);
 * navigation: separators between most words, or a short line that is nothing but menu words;
 * boilerplate: notices about cookies, scripts, rights and terms.
 
@@ -41,8 +42,27 @@ NOTICE = (
     r"|all rights reserved|enable javascript|javascript (is )?(disabled|required)|lorem ipsum"
     r"|subscribe to (our|the) newsletter|powered by |click here to )"
 )
-#: A line of this many words in which one word is this percentage is filler.
+#: A line of this many words is filler if this percentage of them repeat words of the same stretch of the line.
 FILLER_WORDS, FILLER_PERCENT = 12, 50
+#: Words of a stretch. Prose keeps 60 % distinct words over so many, however long the line; over a whole line it
+#: would fall below half by length alone. ``OP8_SQL`` counts over the whole line, so differs on longer lines.
+FILLER_STRETCH = 128
+
+
+def few_distinct(words: Column) -> Column:
+    """True where distinct words are few in the stretches of a line.
+
+    One word may stand in all of them and counts once, so a word that fills the line is seen at any length.
+    """
+    n, few = F.size(words), lambda distinct: 100 * distinct <= (100 - FILLER_PERCENT) * F.size(words)
+    later = F.floor((n - 1) / FILLER_STRETCH).cast("int")
+    counts = F.transform(
+        F.sequence(F.lit(0), later),
+        lambda i: F.size(F.array_distinct(F.slice(words, i * FILLER_STRETCH + 1, F.lit(FILLER_STRETCH)))),
+    )
+    # A line with many distinct words as a whole, as most have, needs no look at its stretches.
+    whole = few(F.size(F.array_distinct(words)))
+    return whole & ((later == 0) | few(F.aggregate(counts, -later, lambda total, count: total + count)))
 
 
 def line_fails(line: Column) -> Column:
@@ -50,8 +70,8 @@ def line_fails(line: Column) -> Column:
     n = F.regexp_count(line, F.lit(WORD))
     noise = 4 * F.regexp_count(line, F.lit(NOISE)) > n
     separated = (F.regexp_count(line, F.lit(SEPARATOR)) >= 3) & (4 * F.regexp_count(line, F.lit(SEPARATOR)) > n)
-    distinct = F.size(F.array_distinct(words_of(line)))
-    filler = (n >= FILLER_WORDS) & (100 * distinct <= (100 - FILLER_PERCENT) * n)
+    # Bound as a lambda's variable, so that the words are found once.
+    filler = (n >= FILLER_WORDS) & F.exists(F.array(words_of(line)), few_distinct)
     return (n > 0) & (noise | separated | filler | line.rlike(MENU) | line.rlike(NOTICE))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -61,6 +62,26 @@ def test_bad_lines_go_and_clean_documents_stay(spark):
     assert {r["doc_id"]: r["n_chars"] for r in kept}[2] == len(body)
 
 
+def prose(n):
+    """Words by Zipf's law, as in prose: fewer distinct ones the longer it is."""
+    draw = random.Random(5)
+    ranks = draw.choices(range(2_000), [1 / (k + 3) for k in range(2_000)], k=n)
+    return " ".join(f"w{k}" for k in ranks)
+
+
+def test_long_clean_lines_stay_and_long_filler_goes(spark):
+    body, long = "\n".join(plain(30, f"k{i}_") for i in range(4)), prose(6_000)
+    assert 2 * len(set(long.split())) < len(long.split())
+    half = " ".join(f"spam s{i}" for i in range(1_000)) + " spam spam"
+    filler = ["spam " * 12, "spam " * 5_000, "a b c d e f " * 500, half]
+    rows = [(1, long, None, None, None), (2, body + "\n" + long, None, None, None)]
+    rows += [(10 + i, x + "\n" + body, None, None, None) for i, x in enumerate(filler)]
+    got = {r["doc_id"]: r["measures"] for r in quality_rules.measure(frame(spark, rows)).collect()}
+    assert got[1]["kept"] and got[1]["clean_text"] == long
+    assert got[2]["n_lines_removed"] == 0 and got[2]["clean_text"] == rows[1][1]
+    assert all(got[10 + i]["clean_text"] == body for i in range(len(filler)))
+
+
 def test_other_columns_and_empty_tables(spark):
     schema = "doc_id bigint, text string, _measures int, measures string, words string, _lines int"
     rows = frame(spark, [(1, plain(60), 5, "m", "w", 9)], schema)
