@@ -215,9 +215,14 @@ class Encoder:
             text = text.replace(SPACE, _STAND_IN)
         return self.split.findall(SPACE + text.replace(" ", SPACE))
 
+    def _room(self) -> bool:
+        """Whether the lattices held were within bounds; else all are dropped."""
+        if self.arrays[-1] <= CACHED_NODES:
+            return True
+        self.ends, self.arrays = {}, _no_lattices()
+        return False
+
     def _keep(self, words: list[str]) -> None:
-        if self.arrays[-1] > CACHED_NODES:
-            self.ends, self.arrays = {}, _no_lattices()
         *arrays, nodes = self.arrays
         parts = [[x] for x in arrays]
         # Short words apart, as the work grows with the longest.
@@ -247,10 +252,9 @@ class Encoder:
         fresh = list(dict.fromkeys(w for w, e in zip(words, ends, strict=True) if e is None))
         long = {w for w in fresh if len(w) > CACHED_CHARS}
         if len(fresh) > len(long):
-            known = self.arrays[-1]
-            self._keep([w for w in fresh if w not in long])
-            if self.arrays[-1] < known:  # started anew
-                self._keep(list({w for w in words if w not in self.ends and w not in long}) or fresh[:1])
+            # Started anew, also the words of this batch that were known are missing.
+            missing = fresh if self._room() else dict.fromkeys(words)
+            self._keep([w for w in missing if len(w) <= CACHED_CHARS])
             ends = list(map(self.ends.get, words))
         at = np.array([-1 if e is None else e for e in ends] if long else ends, np.int64)
         per_text = np.diff(owners, prepend=0)

@@ -102,6 +102,25 @@ def test_encoding_is_lossless_and_depends_on_the_key_only(model):
     assert other.tolist() != got[10]
 
 
+@pytest.mark.parametrize("bound", [10, 400])
+def test_words_survive_a_restart_of_the_cache(model, monkeypatch, bound):
+    vocabulary = pieces.read_vocabulary(model)
+    ids = [" ".join(f"n{k * 7919 + i}" for i in range(k * 40)) for k in range(1, 6)]
+    batches = [["the first words", ids[0]], ["the words again, " + ids[3]], [ids[0] + " " + ids[4], "x" * 60 + " the"],
+               ["first " + ids[1], ids[2] + " words " + "y" * 50], ["the words again, " + ids[3]]]
+    wanted = []
+    for texts in batches:
+        keys = np.arange(len(texts), dtype=np.uint64)
+        wanted.append([g.tolist() for g in pieces.Encoder(vocabulary).encode(texts, keys)])
+    monkeypatch.setattr(pieces, "CACHED_NODES", bound)
+    encoder = pieces.Encoder(vocabulary)
+    for texts, want in zip(batches, wanted, strict=True):
+        got, counts = encoder.encode(texts, np.arange(len(texts), dtype=np.uint64))
+        assert [got.tolist(), counts.tolist()] == want
+        ends = np.cumsum(counts)
+        assert [pieces.decode_ids(vocabulary, got[e - c:e].tolist()) for e, c in zip(ends, counts, strict=True)] == texts
+
+
 def test_draws_follow_the_lattice(model):
     vocabulary = pieces.read_vocabulary(model)
     word, weights = "▁then", {}
