@@ -8,7 +8,9 @@ Two passes over every whole text, in Arrow batches of bounded size:
   second to a JSON object. ``key``: the bytes are a private key container: an OpenSSH key (magic, then
   length-prefixed cipher, kdf, options and key count that fit), or DER, a SEQUENCE whose nested lengths
   fill it exactly and whose leading fields are those of a PKCS#1, PKCS#8, encrypted PKCS#8 or SEC1 key. A PEM frame
-  around such bytes is part of the span.
+  around such bytes is part of the span. Line breaks within the base64 may be real or escaped (JSON, YAML, source
+  strings), with or without a frame; without one, lines are joined up to the length the container states. Lines
+  with marks other than quotes between them (``+``, ``#``, ``>``) are not joined.
 
 Spans are ``kind:start:end`` in code points, end exclusive, sorted by start, then kind in the order of
 ``KINDS``. Null and empty texts have none. No shuffle; one row in, one row out, so repeated rows give
@@ -42,9 +44,19 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
 #: Base64 in one run; shorter ones cannot hold a key.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Where base64 of a SEQUENCE or of an OpenSSH key can start.
+DER_START = re.compile(r"M[A-I][A-Za-z0-9+/_-]{14}")
+SSH_START = "b3BlbnNzaC1rZXktdjE"
+RUN = re.compile(r"(?:[A-Za-z0-9+/_-]|\\+(?:/|u002[bBfF]))+")
+PAD = re.compile(r"(?:=|\\+u003[dD]){0,2}")
+#: Line breaks, real or escaped, with the blanks and quotes around them.
+BREAK = re.compile(r"""[\x20\t"']*+(?:(?:[\r\n]|\\+(?:[nr\r\n]|u000[aAdD]))[\x20\t"']*+)+""")
+ESCAPE = re.compile(r"\\+(u00[0-9a-fA-F]{2}|[nrt/\r\n])")
+#: What may stand before a run besides a character that is not base64.
+ESCAPED_BREAK = re.compile(r"\\(?:[nrt]|u000[aAdD9])\Z")
 LONG_HEX = re.compile(r"(?:[0-9a-fA-F]{2}){32,}")
 
 
@@ -56,6 +68,75 @@ def decode_base64(text: str) -> bytes | None:
         return None
 
 
+def unescaped(text: str) -> str:
+    """Escapes of line breaks, tabs, slashes and of single bytes, however often the backslash is doubled."""
+    plain = {"n": "\n", "r": "\r", "t": "\t"}
+    return ESCAPE.sub(lambda m: chr(int(m[1][1:], 16)) if m[1][0] == "u" else plain.get(m[1], m[1]), text)
+
+
+def der_length(start: str) -> int | None:
+    """Bytes of the container whose base64 starts so, or None where its first field is none of a private key."""
+    data = decode_base64(start[:16]) or b""
+    size = data[1] & 0x7F if data[1:2] >= b"\x80" else 0
+    if size > 4 or data[2 + size : 3 + size] not in (b"\x02", b"\x30"):
+        return None
+    return 2 + size + (int.from_bytes(data[2 : 2 + size], "big") if size else data[1])
+
+
+def openssh_length(data: bytes) -> tuple[int, bool]:
+    """Bytes of the OpenSSH key that starts so and True, or how many bytes it takes to know more and False."""
+    at, fields, keys = len(b"openssh-key-v1\0"), 3, 0  # cipher, kdf and kdf options
+    while fields:
+        if at + 4 > len(data):
+            return at + 4, False
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        fields -= 1
+        if not fields and not keys:  # the count of keys, the public keys and the secret part
+            if at + 4 > len(data):
+                return at + 4, False
+            keys = int.from_bytes(data[at : at + 4], "big")
+            if not 1 <= keys <= 64:
+                return at, True
+            at, fields = at + 4, keys + 1
+    return at, True
+
+
+def wrapped_end(text: str, start: int, need: int, known: bool) -> int | None:
+    """End of the key whose base64 starts here and may go on over line breaks, or None.
+
+    ``need``: bytes of the container, if ``known``; else how many tell more.
+    """
+    parts: list[str] = []
+    at, have = start, 0
+    while run := RUN.match(text, at):
+        parts.append(unescaped(run[0]))
+        have += len(parts[-1])
+        while not known and have * 6 // 8 >= need:
+            whole = "".join(parts)
+            need, known = openssh_length(decode_base64(whole[: len(whole) // 4 * 4]) or b"")
+        end = PAD.match(text, run.end()).end()
+        if known and have >= (8 * need + 5) // 6 or end > run.end() or not (gap := BREAK.match(text, end)):
+            break
+        at = gap.end()
+    fits = known and have == (8 * need + 5) // 6
+    return end if fits and is_key(decode_base64("".join(parts))) else None
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """Keys without a frame, on one line or several."""
+    found: list[tuple[int, int]] = []
+    starts = [(m.start(), der_length(m[0]), True) for m in DER_START.finditer(text)]
+    if SSH_START in text:
+        starts += [(m.start(), 19, False) for m in re.finditer(SSH_START, text)]
+    for at, need, known in starts:
+        if need is None or RUN.match(text[at - 1 : at]) and not ESCAPED_BREAK.search(text[max(at - 6, 0) : at]):
+            continue
+        end = wrapped_end(text, at, need, known)
+        if end is not None:
+            found.append((at, end))
+    return found
+
+
 def der_fields(data: bytes) -> list[tuple[int, bytes]] | None:
     """Tag and content of consecutive DER values that fill ``data`` exactly, or None."""
     fields, at = [], 0
@@ -159,10 +240,14 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     framed: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+: .*$", "", m[2])  # headers of older containers
+            body = re.sub(r"(?m)^[A-Za-z-]+: .*$", "", unescaped(m[2]))  # headers of older containers
             if is_key(decode_base64(body)):
                 found.append((m.start(), 4, m.end()))
                 framed.append(m.span())
+    for start, end in wrapped_keys(text):
+        if not any(a <= start < b for a, b in framed):
+            found.append((start, 4, end))
+            framed.append((start, end))
     for m in BASE64.finditer(text):
         if not any(a <= m.start() < b for a, b in framed) and is_key(decode_base64(m[0])):
             found.append((m.start(), 4, m.end()))

@@ -46,6 +46,24 @@ def test_only_what_parses_is_confirmed():
         assert found(no) == [], no
 
 
+def test_keys_with_line_breaks_of_any_kind_are_confirmed():
+    found = lambda text: [(secrets.KINDS[k], text[a:b]) for a, k, b in secrets.confirmed_spans(text)]
+    full = SSH[:-40] + b"".join(len(x).to_bytes(4, "big") + x for x in (b"p" * 51, b"s" * 136))
+    for data, label in ((PKCS8, "PRIVATE KEY"), (PKCS1, "RSA PRIVATE KEY"), (full, "OPENSSH PRIVATE KEY")):
+        lines = base64.encodebytes(data).decode().split()
+        pem = "\n".join([f"-----BEGIN {label}-----", *lines, f"-----END {label}-----", ""])
+        for escaped in (json.dumps(pem)[1:-1], json.dumps(json.dumps(pem))[3:-3], pem.replace("\n", "\\r\\n"),
+                        json.dumps(pem)[1:-1].replace("/", "\\/").replace("=", "\\u003d")):
+            span = escaped[:escaped.rindex("-----") + 5]
+            assert found('{"private_key": "' + escaped + '", "client": "x"}') == [("key", span)], escaped
+        for gap in ("\n", "\r\n", "\\n", "\n    ", '\\n"\n"'):
+            run = gap.join(lines)
+            for before, after in (("", ""), ("key: |\n  ", "\nend\n"), ("k = '\\n", "\\n'"), ("MAINTENANCE1234567890\n", "")):
+                assert found(before + run + after) == [("key", run)], (before, gap)
+            if data is not full:
+                assert found(gap.join(lines[:-1])) == found(gap.join([lines[0], *lines[2:]])) == []
+
+
 def slow_base(text):
     """The plain patterns by their wording: match, then drop what is too short."""
     out = []
