@@ -41,14 +41,41 @@ EQUIVALENT = [
     ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"),
     ("wilful", "willful"), ("percent", "pc"), ("copyrightowner", "copyrightholder"), ("https", "http"),
 ]
+#: Lines that may be copyright lines; ``OP5_SQL`` takes all of them for such.
 COPYRIGHT = r"^\W*(copyright\b|\(c\)|©|copr\b|portions copyright|all rights reserved\W*$)"
 
 
-def canonical_line(line: Column) -> Column:
-    """Lower case letters and digits only; empty for a copyright line."""
-    lower = F.lower(line)
-    bare = F.regexp_replace(lower, r"[^\p{L}\p{N}]+", "")
-    return F.when(lower.rlike(COPYRIGHT), F.lit("")).otherwise(bare)
+#: A sign, or the word, and a year or a second sign (lower case).
+SIGNED = (
+    r"^\W*(portions )?((copyright|copr)[\s.:,]*(\(c\)|©)|((copyright|copr|\(c\)|©)[\s.:,]*)+[\[<(]?([12]\d{3}|yyyy|year)\b)"
+    r"|^\W*all rights reserved\W*$"
+)
+_NAME = r"([\p{Lu}\p{N}<\[(&]\S*|of|the|and|de|der|van|von|et|al\.)"
+#: A sign, or the word, and nothing but a name; for a paragraph of such lines.
+NAMED = (
+    r"^\W*(?i:portions )?((?i:copyright|copr)\b|\([cC]\)|©)[\s.:,]*((?i:by)\s+)?"
+    r"(?!(?i:the\s+)?(?i:notice|holder|owner|law|licen[cs]e|and|or)s?\b)" + _NAME + r"(\s+" + _NAME + r")*\s*$"
+)
+
+
+def canonical_lines(text: Column) -> Column:
+    """Lower case letters and digits of each line; empty for a copyright line.
+
+    A sentence that is wrapped so that a line starts with 'copyright' keeps that line.
+    """
+
+    def canonical(lines: Column, line: Column, i: Column) -> Column:
+        lower = F.lower(line)
+        bare = F.regexp_replace(lower, r"[^\p{L}\p{N}]+", "")
+        # A neighbour of the same paragraph that is no copyright line itself makes the line part of a sentence.
+        beside = lambda x: ~F.coalesce(x.rlike(r"\S"), F.lit(False)) | F.lower(x).rlike(COPYRIGHT)
+        alone = beside(F.when(i > 0, F.get(lines, i - 1))) & beside(F.get(lines, i + 1))
+        dropped = lower.rlike(COPYRIGHT) & (lower.rlike(SIGNED) | line.rlike(NAMED) & alone)
+        return F.when(dropped, F.lit("")).otherwise(bare)
+
+    # Bound as a lambda's variable, so that the text is split once.
+    split = F.array(F.split(text, "\n"))
+    return F.transform(split, lambda lines: F.transform(lines, lambda x, i: canonical(lines, x, i)))[0]
 
 
 def same_spelling(text: Column) -> Column:
@@ -63,7 +90,7 @@ def digest(text: Column) -> Column:
 def known_licenses(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFrame:
     """``digest, license``; where two licences share a canonical text the first name stays."""
     rows = spark.createDataFrame(list(texts.items()), "license string, text string")
-    lines = F.transform(F.split("text", "\n"), canonical_line)
+    lines = canonical_lines(F.col("text"))
     out = rows.select("license", digest(same_spelling(F.array_join(lines, ""))).alias("digest"))
     return out.where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
 
@@ -74,7 +101,7 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     ``doc_id, text_digest, license, line_licenses array<string> (sorted, distinct), n_license_lines``.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    canonical = F.transform(F.split(whole_text(F.col("text")), "\n"), canonical_line)
+    canonical = canonical_lines(whole_text(F.col("text")))
     units = (
         once(rows, {"_lines": canonical})
         # The whole text comes first, then its lines unless there is only one.

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -114,6 +116,35 @@ def test_licenses_are_found_whatever_their_spelling(spark):
     assert licenses.license_scan(frame(spark, []), licenses.known_licenses(spark)).collect() == []
 
 
+def rewrapped(text, width):
+    return "\n\n".join("\n".join(textwrap.wrap(p, width, break_on_hyphens=False, break_long_words=False))
+                       for p in text.split("\n\n"))
+
+
+def test_licenses_are_found_however_they_are_wrapped(spark):
+    texts = [(k, w) for k, text in licenses.KNOWN.items()
+             for w in [rewrapped(text, n) for n in (30, 44, 58, 72, 79, 100, 10**6)] + [" ".join(text.split())]]
+    rows = [(i, w, None, None, None) for i, (_, w) in enumerate(texts)]
+    got = {r["doc_id"]: r["license"] for r in license_rows(spark, rows)}
+    assert [got[i] for i in range(len(texts))] == [k for k, _ in texts]
+
+
+def test_only_copyright_lines_are_dropped(spark):
+    lines = ["Copyright (c) 2020 Some One", "(C) 1999-2003 A", "© 2020 B", "Copyright 2020, 2021 by C", "Copyright © D",
+             "Copyright: Some Company Ltd.", "Copyright by The Authors of It", "Portions Copyright (C) E", "All rights reserved.",
+             "copyright notice and this permission notice appear", "Copyright holders be liable", "COPYRIGHT OWNER OR CONTRIBUTORS",
+             "(c) You must retain all notices", '"Copyright" also means laws like it']
+    rows = [(i, x, None, None, None) for i, x in enumerate(lines)]
+    rows.append((99, "the holders of the\nCopyright Some Name\nmust agree", None, None, None))
+    got = {r["doc_id"]: r["text_digest"] for r in license_rows(spark, rows)}
+    assert [got[i] is None for i in range(len(lines))] == [True] * 9 + [False] * 5
+    assert got[99] == hashlib.sha256(b"theholdersofthecopyrightsomenamemustagree").hexdigest()
+
+
+def license_rows(spark, rows):
+    return licenses.license_scan(frame(spark, rows), licenses.known_licenses(spark)).collect()
+
+
 def test_targets_reshare_what_small_sources_cannot_take():
     got = mixing.targets({"a": 100, "b": 100, "c": 1000, None: 0})
     # 1800 words by 5:2:1:5; a stops at 200, null at 0, b at 200, the rest would give c 1400.
