@@ -1,7 +1,15 @@
-"""Texts of well-known licences and notices; fixed values."""
+"""Texts of well-known licences and notices; fixed values.
+
+Short ones stand here, standard full texts in ``license_texts.jsonl``: name, number of title paragraphs, text, as
+published (Debian's ``common-licenses`` and the licences Rust ships).
+"""
 
 from __future__ import annotations
 
+import json
+import os
+import re
+
 _AS_IS = """\
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
 IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
@@ -122,3 +130,33 @@ misrepresented as being the original software.
 }
 
 KNOWN: dict[str, str] = dict(_TEXTS)
+
+#: Other titles that short texts go by.
+_TITLES = {
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "BSD-2-Clause": ["The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "ISC": ["The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "Zlib": ["zlib License", "The zlib License"],
+}
+FULL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts.jsonl")
+
+
+def all_texts() -> list[tuple[str, str]]:
+    """Name and text of everything known: full texts also without their title and without what follows their terms."""
+    out = list(KNOWN.items())
+    for name, titles in _TITLES.items():
+        title, body = KNOWN[name].split("\n\n", 1) if name != "Zlib" else ("", KNOWN[name])
+        out += [(name, f"{other}\n\n{body}") for other in titles]
+        if title and f"{name} body" not in KNOWN:
+            out.append((f"{name} body", body))
+    with open(FULL, encoding="utf-8") as file:
+        for row in map(json.loads, file):
+            name, text = row["license"], row["text"]
+            terms = re.split(r"(?<=END OF TERMS AND CONDITIONS)\s*\n", text)[0]
+            for whole, suffix in ((text, ""), (terms, " terms")):
+                out.append((name + suffix, whole))
+                if row["title"]:
+                    out.append((f"{name}{suffix} body", re.split(r"\n[^\S\n]*\n\s*", whole.lstrip("\n"), maxsplit=row["title"])[-1]))
+    return out

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import documents, once, whole_text
-from tallyfold.llm.license_texts import KNOWN
+from tallyfold.llm.license_texts import KNOWN, all_texts
 
 MAX_BROADCAST = 100_000
 
@@ -87,9 +87,12 @@ def digest(text: Column) -> Column:
     return F.when(text != "", F.sha2(text, 256))
 
 
-def known_licenses(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFrame:
-    """``digest, license``; where two licences share a canonical text the first name stays."""
-    rows = spark.createDataFrame(list(texts.items()), "license string, text string")
+def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
+    """``digest, license`` of all known texts, or of these; where two share a canonical text the first name stays.
+
+    The driver reads the shipped texts, as executors may not see its files. ``OP5_SQL`` knows the short ones only.
+    """
+    rows = spark.createDataFrame(all_texts() if texts is None else list(texts.items()), "license string, text string")
     lines = canonical_lines(F.col("text"))
     out = rows.select("license", digest(same_spelling(F.array_join(lines, ""))).alias("digest"))
     return out.where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))

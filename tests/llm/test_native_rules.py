@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import textwrap
 
 import pytest
 
-from tallyfold.llm import licenses, mixing, quality_rules
+from tallyfold.llm import license_texts, licenses, mixing, quality_rules
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -141,6 +142,21 @@ def test_only_copyright_lines_are_dropped(spark):
     assert got[99] == hashlib.sha256(b"theholdersofthecopyrightsomenamemustagree").hexdigest()
 
 
+def test_standard_full_texts_are_known(spark):
+    mit, bsd = licenses.KNOWN["MIT body"], licenses.KNOWN["BSD-3-Clause"].split("\n\n", 1)[1]
+    with open(license_texts.FULL, encoding="utf-8") as file:
+        full = {r["license"]: r["text"] for r in map(json.loads, file)}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"} <= set(full)
+    texts = list(full.items())
+    texts += [("Apache-2.0 terms", full["Apache-2.0"].split("   APPENDIX")[0]), ("MPL-2.0 body", full["MPL-2.0"].split("\n\n", 1)[1]),
+              ("GPL-3.0 body", full["GPL-3.0"].split("29 June 2007\n", 1)[1]), ("MPL-2.0", rewrapped(full["MPL-2.0"], 60)),
+              ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 A\n\n" + mit), ("BSD-3-Clause body", bsd)]
+    rows = [(i, x, None, None, None) for i, (_, x) in enumerate(texts)]
+    got = {r["doc_id"]: r["license"] for r in license_rows(spark, rows)}
+    named = [got[i] or "" for i in range(len(texts))]
+    assert [n.replace(" unwrapped", "") for n in named] == [n.replace(" unwrapped", "") for n, _ in texts]
+
+
 def license_rows(spark, rows):
     return licenses.license_scan(frame(spark, rows), licenses.known_licenses(spark)).collect()
 
