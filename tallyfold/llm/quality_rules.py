@@ -42,10 +42,15 @@ NOTICE = (
     r"|all rights reserved|enable javascript|javascript (is )?(disabled|required)|lorem ipsum"
     r"|subscribe to (our|the) newsletter|powered by |click here to )"
 )
+#: Every notice holds one of these, in lower case.
+NOTICE_STEMS = (
+    "cookie", "privacy policy", "terms of ", "all rights reserved", "javascript", "lorem ipsum", "newsletter",
+    "powered by ", "click here to ",
+)
 #: A line of this many words is filler if this percentage of them repeat words of the same stretch of the line.
 FILLER_WORDS, FILLER_PERCENT = 12, 50
 #: Words of a stretch. Prose keeps 60 % distinct words over so many, however long the line; over a whole line it
-#: would fall below half by length alone. ``OP8_SQL`` counts over the whole line, so differs on longer lines.
+#: would fall below half by length alone.
 FILLER_STRETCH = 128
 
 
@@ -65,18 +70,32 @@ def few_distinct(words: Column) -> Column:
     return whole & ((later == 0) | few(F.aggregate(counts, -later, lambda total, count: total + count)))
 
 
-def line_fails(line: Column) -> Column:
-    """True for a line with words that a rule removes."""
-    n = F.regexp_count(line, F.lit(WORD))
-    noise = 4 * F.regexp_count(line, F.lit(NOISE)) > n
-    separated = (F.regexp_count(line, F.lit(SEPARATOR)) >= 3) & (4 * F.regexp_count(line, F.lit(SEPARATOR)) > n)
-    # Bound as a lambda's variable, so that the words are found once.
-    filler = (n >= FILLER_WORDS) & F.exists(F.array(words_of(line)), few_distinct)
-    return (n > 0) & (noise | separated | filler | line.rlike(MENU) | line.rlike(NOTICE))
+def may_hold(text: Column) -> dict[str, Column]:
+    """Per document: whether any line can fail by marks, separators or a notice, so that most lines need no look."""
+
+    def has_stem(lower: Column) -> Column:
+        found = F.lit(False)
+        for stem in NOTICE_STEMS:
+            found = found | F.contains(lower, F.lit(stem))
+        return found
+
+    return {
+        "noise": text.rlike(NOISE),
+        "separators": text.rlike(SEPARATOR),
+        # Bound as a lambda's variable, so that the text is lowered once.
+        "notice": F.exists(F.array(F.lower(text)), has_stem),
+    }
 
 
-def word_chars(text: Column) -> Column:
-    return F.length(F.array_join(words_of(text), ""))
+def line_fails(line: Column, words: Column, may: dict[str, Column]) -> Column:
+    """True for a line with these words that a rule removes."""
+    n = F.size(words)
+    noise = may["noise"] & (4 * F.regexp_count(line, F.lit(NOISE)) > n)
+    # More than a quarter of the words, and three at least.
+    separated = may["separators"] & (F.regexp_count(line, F.lit(SEPARATOR)) > F.greatest(F.lit(2), F.floor(n / 4)))
+    filler = (n >= FILLER_WORDS) & few_distinct(words)
+    notice = may["notice"] & line.rlike(NOTICE)
+    return (n > 0) & (noise | separated | filler | line.rlike(MENU) | notice)
 
 
 def repeated_words(positions: Column) -> Column:
@@ -89,25 +108,30 @@ def measure(docs: DataFrame, text: str = "text", into: str = "measures") -> Data
     """Add a struct column of the counts, the verdicts and the cleaned text."""
     t = whole_text(F.col(text))
     names = [
-        free_name(docs, f"_{x}") for x in ("words", "lines", "bad", "hashes", "sorted", "starts", "clean", "counts")
+        free_name(docs, f"_{x}")
+        for x in ("lines", "may", "by_line", "words", "bad", "hashes", "sorted", "lost", "starts", "counts")
     ]
-    w, lines, bad, hashes, ordered, starts, clean, counts = names
+    lines, may, by_line, w, bad, hashes, ordered, lost, starts, counts = names
     c = F.col
 
-    step = once(docs, {w: words_of(t), lines: F.split(t, "\n")})
+    step = once(docs, {lines: F.split(t, "\n"), may: F.struct(*[v.alias(k) for k, v in may_hold(t).items()])})
+    # Blanks end words and a line break is one, so the words of the text are those of its lines.
+    step = once(step, {by_line: F.transform(c(lines), words_of)})
+    step = once(step, {
+        w: F.flatten(c(by_line)),
+        bad: F.transform(c(by_line), lambda words, k: line_fails(F.get(c(lines), k), words, c(may))),
+    })
     # One hash per three-word window; where all are distinct nothing repeats and the rest is skipped.
     window = F.transform(c(w), lambda x, i: F.xxhash64(x, F.get(c(w), i + 1), F.get(c(w), i + 2)))
     step = once(step, {
-        bad: F.transform(c(lines), line_fails),
         hashes: F.when(F.size(w) >= 4, F.slice(window, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))),
+        lost: F.when(
+            F.exists(c(bad), lambda b: b), F.flatten(F.filter(c(by_line), lambda _, k: F.get(c(bad), k)))
+        ),
     })
     repeats = F.size(F.array_distinct(c(hashes))) < F.size(c(hashes))
     pairs = F.sort_array(F.transform(c(hashes), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    kept_lines = F.filter(c(lines), lambda _, k: ~F.get(c(bad), k))
-    step = once(step, {
-        ordered: F.when(repeats, pairs),
-        clean: F.when(F.exists(c(bad), lambda b: b), F.array_join(kept_lines, "\n")),
-    })
+    step = once(step, {ordered: F.when(repeats, pairs)})
     alike = F.filter(
         c(ordered),
         lambda s, k: F.coalesce(s["h"] == F.get(c(ordered), k - 1)["h"], F.lit(False))
@@ -115,9 +139,11 @@ def measure(docs: DataFrame, text: str = "text", into: str = "measures") -> Data
     )
     step = once(step, {starts: F.sort_array(F.transform(alike, lambda s: s["i"]))})
 
-    worded = F.filter(c(lines), lambda x: x.rlike(WORD))
+    worded = F.filter(c(lines), lambda _, k: F.size(F.get(c(by_line), k)) > 0)
+    kept_lines = F.filter(c(lines), lambda _, k: ~F.get(c(bad), k))
     chars = F.length(F.array_join(w, "")).cast("bigint")
-    counted = F.struct(
+    lost_chars = F.coalesce(F.length(F.array_join(c(lost), "")), F.lit(0))
+    step = once(step, {counts: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         chars.alias("word_chars"),
         F.regexp_count(t, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
@@ -125,14 +151,13 @@ def measure(docs: DataFrame, text: str = "text", into: str = "measures") -> Data
         F.size(F.array_distinct(worded)).cast("bigint").alias("n_distinct_lines"),
         repeated_words(c(starts)).cast("bigint").alias("n_repeat_words"),
         F.size(F.filter(c(bad), lambda b: b)).cast("bigint").alias("n_lines_removed"),
-        F.when(c(clean).isNull(), chars).otherwise(word_chars(c(clean)).cast("bigint")).alias("clean_chars"),
-        F.coalesce(c(clean), t).alias("clean_text"),
-    )
-    step = once(step, {counts: counted})
+        (chars - lost_chars).alias("clean_chars"),
+        F.when(c(lost).isNull(), t).otherwise(F.array_join(kept_lines, "\n")).alias("clean_text"),
+    )})
     m = c(counts)
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
-    lost = 100 * (m["word_chars"] - m["clean_chars"]) > MAX_LOST_PERCENT * m["word_chars"]
-    verdicts = F.struct(f"{counts}.*", failed.alias("base_failed"), (~failed & ~lost).alias("kept"))
+    thin = 100 * (m["word_chars"] - m["clean_chars"]) > MAX_LOST_PERCENT * m["word_chars"]
+    verdicts = F.struct(f"{counts}.*", failed.alias("base_failed"), (~failed & ~thin).alias("kept"))
     return step.withColumn(into, verdicts).drop(*names)
 
 
@@ -165,12 +190,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_sql(line: str) -> str:
     count = lambda pattern: f"len(regexp_extract_all({line}, '{pattern}'))"
-    n = count(WORD)
+    words, n = f"regexp_extract_all({line}, '{WORD}')", count(WORD)
+    few = lambda distinct: f"100 * ({distinct}) <= {100 - FILLER_PERCENT} * {n}"
+    later = f"(({n} - 1) // {FILLER_STRETCH})"
+    stretches = (
+        f"list_sum(list_transform(range(0, {later} + 1), lambda s: len(list_distinct("
+        f"{words}[s * {FILLER_STRETCH} + 1:(s + 1) * {FILLER_STRETCH}]))))"
+    )
     return f"""({n} > 0 AND (
         4 * {count(NOISE)} > {n}
         OR ({count(SEPARATOR)} >= 3 AND 4 * {count(SEPARATOR)} > {n})
-        OR ({n} >= {FILLER_WORDS} AND 100 * len(list_distinct(regexp_extract_all({line}, '{WORD}')))
-            <= {100 - FILLER_PERCENT} * {n})
+        OR ({n} >= {FILLER_WORDS} AND {few(f'len(list_distinct({words}))')}
+            AND ({later} = 0 OR {few(f'{stretches} - {later}')}))
         OR regexp_matches({line}, '{MENU}') OR regexp_matches({line}, '{NOTICE}')))"""
 
 
