@@ -10,21 +10,17 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions import numeric
-from tallyfold.operators import demand
+from tallyfold.operators import boosting, demand
 from tallyfold.operators.profiles import append_average
-from tallyfold.operators.trials import stacked
 from tallyfold.schemas import require_columns
 from tallyfold.scratch import materialise
 
@@ -210,53 +206,31 @@ def predict_seasonal_regression(rows: DataFrame, betas: DataFrame,
 
 @dataclass(frozen=True)
 class DemandModel:
-    """A fitted model together with the mean revenue it scales each product by."""
+    """The stored trees of every product, see ``boosting``."""
 
-    model: PipelineModel
-    scale: DataFrame
-
-
-def _scaled(rows: DataFrame, scale: DataFrame) -> DataFrame:
-    """All rows; a product without a positive mean is left unscaled, an unknown one gets NULL."""
-    out = rows.join(scale, "product", "left")
-    unit = F.when(F.col("_scale") > 0, F.col("_scale")).otherwise(F.lit(1.0))
-    return out.withColumns({f"_{c}": F.col(c) / unit for c in demand.LAG_FEATURES})
+    trees: DataFrame
 
 
 def train_demand_gbt(train: DataFrame, params: dict | None = None) -> DemandModel:
-    """One boosted-tree model for all products, on revenue relative to each product's mean.
-
-    Pooling keeps the number of jobs independent of the number of products. For one
-    product, pass its rows alone.
-    """
+    """Boosted trees per product, all products at once: a product has no more rows than the calendar days."""
     require_columns(train, [*demand.MODEL_FEATURES, "revenue"])
-    p = {**GBT_DEFAULTS, **(params or {})}
-    scale = materialise(
-        train.groupBy("product").agg(F.greatest(F.avg("revenue"), F.lit(0.0)).alias("_scale")), "scale"
-    )
-    inputs = [f"_{c}" for c in demand.LAG_FEATURES] + demand.CALENDAR_FEATURES
-    # Products that never sold teach the relative model nothing; their prediction is 0.
-    rows = _scaled(train, scale).where("_scale > 0").withColumn("_target", F.col("revenue") / F.col("_scale"))
-    rows = rows.select(*inputs, "_target")
-    assembler = VectorAssembler(inputCols=inputs, outputCol="_x")
-    trees = GBTRegressor(
-        featuresCol="_x", labelCol="_target", predictionCol="_relative",
-        maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"],
-        subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["columns"]), seed=p["seed"],
-        minInstancesPerNode=p.get("min_rows", 1), minInfoGain=p.get("min_gain", 0.0),
-    )
-    ready = materialise(assembler.transform(rows).select("_x", "_target"), "gbt-train")
-    return DemandModel(PipelineModel([assembler, trees.fit(ready)]), scale)
+    settings = [{**GBT_DEFAULTS, **(params or {})}]
+    trees = boosting.fit_groups(train, "product", demand.MODEL_FEATURES, "revenue", "date", settings)
+    return DemandModel(materialise(trees, "trees"))
+
+
+def train_tuned(train: DataFrame, tuned: DataFrame, settings: Sequence[dict]) -> DemandModel:
+    """Boosted trees per product with the setting that ``tuned`` (``product, trial``) found for it."""
+    rows = train.join(tuned.select("product", F.col("trial").cast("int").alias("trial")), "product")
+    trees = boosting.fit_groups(rows, "product", demand.MODEL_FEATURES, "revenue", "date", settings, "trial")
+    return DemandModel(materialise(trees, "trees"))
 
 
 def predict_demand(model: DemandModel, rows: DataFrame) -> DataFrame:
     """All rows with ``prediction``, floored at 0; NULL for a product the training did not hold."""
     require_columns(rows, demand.MODEL_FEATURES)
-    scored = model.model.transform(_scaled(rows, model.scale))
-    return scored.select(
-        *rows.columns,
-        numeric.clip_at_zero(F.col("_relative") * F.col("_scale")).alias("prediction"),
-    )
+    scored = boosting.predict_groups(rows, model.trees, "product", demand.MODEL_FEATURES)
+    return scored.withColumn("prediction", numeric.clip_at_zero(F.col("prediction")))
 
 
 def retrain_errors(features: DataFrame, params: dict | None = None, min_rows: int = 20) -> DataFrame:
@@ -285,27 +259,29 @@ def draw_params(trials: int, seed: int = 42, space: dict | None = None) -> list[
     return drawn
 
 
-def tune_demand(split: DataFrame, trials: int = 20, seed: int = 42, space: dict | None = None) -> DataFrame:
-    """``product, trial, mape, params``: the best of the drawn settings per product.
+def tuning_settings(trials: int = 20, seed: int = 42, space: dict | None = None) -> list[dict]:
+    return [{**GBT_DEFAULTS, **drawn} for drawn in draw_params(trials, seed, space)]
 
-    The spread of gains is on relative revenue, so the minimum gain is scaled down.
-    """
-    train, test = materialise(part(split, "train"), "tune-train"), part(split, "test")
-
-    def run(i: int, params: dict) -> DataFrame:
-        if "min_gain" in params:
-            params = {**params, "min_gain": params["min_gain"] / 1000}
-        model = train_demand_gbt(train, params)
-        text = ", ".join(f"{k}={v:.6g}" for k, v in sorted(params.items()))
-        scored = forecast_metrics(predict_demand(model, test)).select(
-            "product", F.lit(i).alias("trial"), "mape", F.lit(text).alias("params")
-        )
-        return materialise(scored, "trial")
 
-    results = stacked([partial(run, i, params) for i, params in enumerate(draw_params(trials, seed, space))])
+def tune_demand(split: DataFrame, settings: Sequence[dict] | None = None) -> DataFrame:
+    """``product, trial, mape, params``: the setting with the lowest hold-out error, for each product.
+
+    All settings of all products are fitted side by side, each on the training part of its product.
+    """
+    settings = settings or tuning_settings()
+    rows = split.withColumn("_test", F.col("part") == "test")
+    tried = boosting.try_settings(
+        rows, "product", demand.MODEL_FEATURES, "revenue", "date", settings, "_test"
+    )
+    scored = forecast_metrics(tried, ["product", "trial"])
     known = F.coalesce(numeric.without_nan(F.col("mape")), F.lit(float("inf")))
-    best = F.min_by(F.struct("trial", "mape", "params"), F.struct(known, F.col("trial")))
-    return results.groupBy("product").agg(best.alias("b")).select("product", "b.*")
+    best = F.min_by(F.struct("trial", "mape"), F.struct(known, F.col("trial")))
+    texts = [", ".join(f"{k}={v:.6g}" for k, v in sorted(p.items())) for p in settings]
+    params = F.array(*[F.lit(t) for t in texts])
+    return (
+        scored.groupBy("product").agg(best.alias("b")).select("product", "b.*")
+        .withColumn("params", F.get(params, F.col("trial")))
+    )
 
 
 # -- champion --------------------------------------------------------------------

@@ -293,6 +293,32 @@ def _(spark, sf_dir):
     return rows.groupBy("product").agg(F.greatest(*steep).alias("gradient"))
 
 
+ONE_SPLIT = {"rounds": 1, "depth": 1, "rate": 1.0, "subsample": 1.0, "columns": 1.0}
+STUMP_CTES = (
+    "learn AS (SELECT demand.*, avg(revenue) OVER (PARTITION BY product) AS base FROM demand, cut WHERE date < c)",
+    "long AS (" + " UNION ALL ".join(
+        f"SELECT product, base, '{c}' AS f, {c}::DOUBLE AS x, revenue - base AS r FROM learn" for c in demand.MODEL_FEATURES
+    ) + ")",
+    "sums AS (SELECT product, base, f, x, sum(r) AS s, count(*) AS k FROM long GROUP BY ALL)",
+    """upto AS (SELECT *, sum(s) OVER w AS ls, sum(k) OVER w AS lk, lead(x) OVER w AS nx,
+  sum(s) OVER v AS ws, sum(k) OVER v AS wk FROM sums
+  WINDOW w AS (PARTITION BY product, f ORDER BY x), v AS (PARTITION BY product, f))""",
+)
+
+
+@query("boosted_stump", S.naive_sql("""
+SELECT product, base + ls / (lk + 1) AS left_value, base + (ws - ls) / (wk - lk + 1) AS right_value
+FROM upto WHERE nx IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY product
+  ORDER BY ls * ls / (lk + 1) + (ws - ls) * (ws - ls) / (wk - lk + 1) - ws * ws / (wk + 1) DESC) = 1""", *STUMP_CTES),
+       "left_value:6 right_value:6")
+def _(spark, sf_dir):
+    """One round of one split per product, against trying every threshold of every feature."""
+    model = fc.train_demand_gbt(fc.part(stored_split(spark, sf_dir), "train"), ONE_SPLIT)
+    leaf = F.col("base") + F.get("value", F.lit(1)), F.col("base") + F.get("value", F.lit(2))
+    return model.trees.select("product", leaf[0].alias("left_value"), leaf[1].alias("right_value"))
+
+
 @query("train_demand_gbt")
 def _(spark, sf_dir):
     split = stored_split(spark, sf_dir)
@@ -322,6 +348,17 @@ def _(spark, sf_dir):
     return fc.tune_demand(stored_split(spark, sf_dir))
 
 
+@query("tuned_demand", S.demand_sql("SELECT DISTINCT product, 0.0 AS difference FROM demand"), "difference:8")
+def _(spark, sf_dir):
+    """The error of the best setting in the search, less the error of the model refitted with it."""
+    split, settings = materialise(stored_split(spark, sf_dir), "split"), fc.tuning_settings()
+    tuned = materialise(fc.tune_demand(split, settings), "tuned")
+    model = fc.train_tuned(fc.part(split, "train"), tuned, settings)
+    again = fc.forecast_metrics(fc.predict_demand(model, fc.part(split, "test")))
+    both = tuned.select("product", "mape").join(again.select("product", F.col("mape").alias("_again")), "product")
+    return both.select("product", F.abs(F.col("mape") - F.col("_again")).alias("difference"))
+
+
 @query("demand_champion")
 def _(spark, sf_dir):
     return fc.demand_leaderboard(fc.demand_candidates(stored_split(spark, sf_dir)))
