@@ -41,6 +41,8 @@ SEED = 20_250_101
 SPACE = "▁"
 #: Longer runs without a blank are filtered each time, so the cache stays small.
 SHORT, CACHED_CHARS, CACHED_NODES = 9, 48, 2_000_000
+#: Characters of words that are filtered at once, unless a single word has more.
+LATTICE_CHARS = 100_000
 #: Shares and draws are whole multiples of 1 / GRID.
 GRID_BITS = 30
 GRID = float(1 << GRID_BITS)
@@ -67,7 +69,6 @@ class Vocabulary:
     marks: str
     slots: np.ndarray
     held: np.ndarray
-    probes: int
 
 
 def read_vocabulary(model: bytes, alpha: float = ALPHA) -> Vocabulary:
@@ -95,8 +96,8 @@ def read_vocabulary(model: bytes, alpha: float = ALPHA) -> Vocabulary:
     behind = {b for t in ids for a, b in zip(t, t[1:], strict=False) if a.isalpha()}
     marks = "".join(c for c in ".,;:!?)\"" if c not in behind)
     longest = max(map(len, ids))
-    slots, held, probes = _table(ids, longest)
-    return Vocabulary(ids, weight, byte_ids, texts, longest, alone, marks, slots, held, probes)
+    slots, held = _table(ids, longest)
+    return Vocabulary(ids, weight, byte_ids, texts, longest, alone, marks, slots, held)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -113,30 +114,32 @@ def _keys(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
         yield _mixed(running + np.uint64(length << 48))
 
 
-def _table(ids: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Open addressing: keys, ids and the longest chain."""
-    slots, held, probes = np.zeros(TABLE, np.uint64), np.full(TABLE, -1, np.int32), 0
+def _table(ids: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Open addressing: keys and ids."""
+    slots, held = np.zeros(TABLE, np.uint64), np.full(TABLE, -1, np.int32)
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     last = np.cumsum(lengths) - 1
     keys = np.empty(len(ids), np.uint64)
     for length, all_keys in enumerate(_keys(_codes("".join(ids)), longest), 1):
         keys[lengths == length] = all_keys[last[lengths == length]]
     for key, i in zip(keys.tolist(), ids.values(), strict=True):
-        at, chain = key % TABLE, 1
+        at = key % TABLE
         while held[at] >= 0:
-            at, chain = (at + 1) % TABLE, chain + 1
-        slots[at], held[at], probes = key, i, max(probes, chain)
-    return slots, held, probes
+            at = (at + 1) % TABLE
+        slots[at], held[at] = key, i
+    return slots, held
 
 
 def _found(v: Vocabulary, keys: np.ndarray) -> np.ndarray:
     """Ids of pieces by hash, -1 where there is none."""
-    out = np.full(len(keys), -1, np.int32)
     at = (keys % np.uint64(TABLE)).astype(np.int64)
-    for _ in range(v.probes):
-        hit = v.slots[at] == keys
-        out[hit] = v.held[at[hit]]
-        at = (at + 1) % TABLE
+    out = v.held[at]
+    # Most places are empty or hold the key; only the others look further along the chain.
+    open_ = np.flatnonzero((out >= 0) & (v.slots[at] != keys))
+    while len(open_):
+        at[open_] = (at[open_] + 1) % TABLE
+        out[open_] = v.held[at[open_]]
+        open_ = open_[(out[open_] >= 0) & (v.slots[at[open_]] != keys[open_])]
     return out
 
 
@@ -205,22 +208,48 @@ class Encoder:
         alone, marks = re.escape(vocabulary.alone), re.escape(vocabulary.marks)
         # A word ends where no piece goes on: before U+2581, around lone characters, before a mark.
         ways = [f"[{alone}]"] if alone else []
-        ways += [rf"{SPACE}*[^\W\d_]+(?=[{marks}])"] if marks else []
-        self.split = re.compile("|".join([*ways, f"{SPACE}*[^{SPACE}{alone}]+", f"{SPACE}+"]))
+        ways += [rf"{SPACE}*+[^\W\d_]++(?=[{marks}])"] if marks else []
+        self.split = re.compile("|".join([*ways, f"{SPACE}*+[^{SPACE}{alone}]+", f"{SPACE}+"]))
         self.ends: dict[str, int] = {}
         self.arrays = _no_lattices()
+        #: In how many batches a word was used, at its last node.
+        self.uses = np.empty(0, np.int32)
 
     def words(self, text: str) -> list[str]:
         if SPACE in text:
             text = text.replace(SPACE, _STAND_IN)
         return self.split.findall(SPACE + text.replace(" ", SPACE))
 
-    def _room(self) -> bool:
-        """Whether the lattices held were within bounds; else all are dropped."""
-        if self.arrays[-1] <= CACHED_NODES:
-            return True
-        self.ends, self.arrays = {}, _no_lattices()
-        return False
+    def _make_room(self) -> None:
+        """Once the lattices held are over the bound, keep those that most batches used, up to half of it."""
+        first, shares, came, ids, nodes = self.arrays
+        if nodes <= CACHED_NODES:
+            return
+        names = list(self.ends)
+        last = np.fromiter(self.ends.values(), np.int64, len(names))
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        uses = self.uses[last]
+        # Words of one batch only go first; among equally used ones, all stay or none.
+        order = np.argsort(-uses, kind="stable")
+        fitting = np.cumsum(lengths[order]) <= CACHED_NODES // 2
+        least = max(2, uses[order[fitting.argmin()]] + 1)
+        stay = np.flatnonzero(uses >= least)
+        kept = np.zeros(nodes + 1, np.int64)
+        np.add.at(kept, last[stay] + 1, -1)
+        np.add.at(kept, last[stay] - lengths[stay] + 1, 1)
+        kept = np.cumsum(kept[:-1]) > 0
+        to_new = np.cumsum(kept) - 1
+        edges_of = np.diff(np.append(first, len(ids)))
+        node = np.repeat(np.arange(nodes), edges_of)
+        edge = kept[node]
+        starts = np.cumsum(edges_of[kept]) - edges_of[kept]
+        moved = shares[edge] - node[edge] + to_new[node[edge]]
+        source = came[edge]
+        source = np.where(source >= 0, to_new[source], -1).astype(np.int32)
+        self.arrays = starts.astype(np.int32), moved, source, ids[edge], int(kept.sum())
+        self.ends = {names[i]: int(to_new[last[i]]) for i in stay.tolist()}
+        # Older use counts for less, so the words kept follow the texts.
+        self.uses = self.uses[kept] // 2
 
     def _keep(self, words: list[str]) -> None:
         *arrays, nodes = self.arrays
@@ -239,6 +268,21 @@ class Encoder:
                     part.append(column)
                 nodes += int(ends[-1]) + 1
         self.arrays = (*map(np.concatenate, parts), nodes)
+        self.uses = np.concatenate([self.uses, np.zeros(nodes - len(self.uses), np.int32)])
+
+    def _long_words(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, tuple]]:
+        """Lattices of words that are not kept, in groups of bounded size: words, ends and arrays."""
+        group, chars = [], 0
+        for word in words:
+            if group and chars + len(word) > LATTICE_CHARS:
+                ends, *arrays = filtered(self.vocabulary, group)
+                yield group, ends, tuple(arrays)
+                group, chars = [], 0
+            group.append(word)
+            chars += len(word)
+        if group:
+            ends, *arrays = filtered(self.vocabulary, group)
+            yield group, ends, tuple(arrays)
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has."""
@@ -248,15 +292,16 @@ class Encoder:
             if text:
                 words += self.words(text)
             owners.append(len(words))
+        self._make_room()
         ends = list(map(self.ends.get, words))
-        fresh = list(dict.fromkeys(w for w, e in zip(words, ends, strict=True) if e is None))
-        long = {w for w in fresh if len(w) > CACHED_CHARS}
+        unknown = [i for i, e in enumerate(ends) if e is None]
+        fresh = dict.fromkeys([words[i] for i in unknown])
+        long = sorted([w for w in fresh if len(w) > CACHED_CHARS], key=len)
         if len(fresh) > len(long):
-            # Started anew, also the words of this batch that were known are missing.
-            missing = fresh if self._room() else dict.fromkeys(words)
-            self._keep([w for w in missing if len(w) <= CACHED_CHARS])
-            ends = list(map(self.ends.get, words))
-        at = np.array([-1 if e is None else e for e in ends] if long else ends, np.int64)
+            self._keep([w for w in fresh if len(w) <= CACHED_CHARS])
+        for i in unknown:
+            ends[i] = self.ends.get(words[i], -1)
+        at = np.array(ends, np.int64)
         per_text = np.diff(owners, prepend=0)
         owner = np.repeat(np.arange(len(texts)), per_text)
         place = np.arange(len(at)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
@@ -264,11 +309,14 @@ class Encoder:
             keys[owner] + np.uint64(self.seed) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         )
         short = np.flatnonzero(at >= 0)
+        self.uses[at[short]] += 1  # once per batch, however often
         parts = [(short, *_walk(self.arrays, at[short], draw[short]))]
-        for word in long:  # filtered for this batch only
-            end, *arrays = filtered(self.vocabulary, [word])
-            here = np.array([i for i, w in enumerate(words) if w == word])
-            parts.append((here, *_walk(arrays, np.repeat(end, len(here)), draw[here])))
+        rest = np.flatnonzero(at < 0)
+        for group, last, arrays in self._long_words(long):
+            number = {w: i for i, w in enumerate(group)}
+            which = np.fromiter((number.get(words[i], -1) for i in rest.tolist()), np.int64, len(rest))
+            here = rest[which >= 0]
+            parts.append((here, *_walk(arrays, last[which[which >= 0]], draw[here])))
         word_of = np.concatenate([where[walk] for where, walk, _ in parts])
         ids = np.concatenate([got for _, _, got in parts])
         if len(parts) > 1:
@@ -330,6 +378,30 @@ def _walk(arrays, at: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.repeat(np.arange(len(draw)), sizes), room
 
 
+def spelt_like(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> list[bool | None]:
+    """For each text, whether the bytes of its pieces, but for the blank in front, are its bytes; null for null."""
+    blob, starts, sizes = _blob(vocabulary)
+    lengths = sizes[ids]
+    ends = np.cumsum(lengths)
+    made = blob[np.repeat(starts[ids] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+    borders = np.append(0, ends)[offsets].tolist()
+    return [
+        None if t is None else made[a + 1 : b] == t.encode("utf-8", "surrogatepass")
+        for t, a, b in zip(texts, borders[:-1], borders[1:], strict=True)
+    ]
+
+
+def _blob(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces in a row, and where each starts and how many it has."""
+    made = getattr(vocabulary, "_bytes_of", None)
+    if made is None:
+        spelt = _spellings(vocabulary)
+        sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
+        made = np.frombuffer(b"".join(spelt), np.uint8), np.cumsum(sizes) - sizes, sizes
+        vocabulary._bytes_of = made
+    return made
+
+
 def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> str:
     """The text of a sequence of piece ids; the inverse of encoding."""
     if not ids:
@@ -373,19 +445,13 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", alpha: float = AL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped.value, alpha, seed)
-        spelt = _spellings(encoder.vocabulary)
         for batch in batches:
             for part in row_slices(batch, 1_000_000):
                 texts = part.column(2).to_pylist()
                 keys = part.column(1).to_numpy().view(np.uint64)
                 ids, counts = encoder.encode([t or "" for t in texts], keys)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                listed = ids.tolist()
-                exact = [
-                    None if t is None
-                    else b"".join([spelt[i] for i in listed[a:b]])[1:] == t.encode("utf-8", "surrogatepass")
-                    for t, a, b in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-                ]
+                exact = spelt_like(encoder.vocabulary, ids, offsets, texts)
                 null = np.array([t is None for t in texts])
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets, mask=np.append(null, False)) if null.any() else pa.array(offsets), pa.array(ids, pa.int32())
