@@ -5,8 +5,8 @@ there are. Rows are shuffled once, to the task that fits their group; every furt
 its own. Within a group, all nodes of a level and all columns are searched at once, on rows kept in
 the order of each column: exact splits, no bins.
 
-Squared error with a penalty of ``PENALTY`` on leaf values. A split needs ``min_rows`` rows on both sides and a
-gain above ``min_gain``; each round draws rows and columns by ``seed``. Missing and NaN values lie below all
+Squared error or logistic loss, with a ``penalty`` on leaf values. A split needs a weight of ``min_rows`` (for squared
+error: rows) on both sides and a gain above ``min_gain``; each round draws rows and columns by ``seed``. Missing and NaN values lie below all
 others. The trees of a group are one row: complete binary trees, level by level, round after round.
 """
 
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PENALTY = 1.0
 DEFAULTS = {
     "rounds": 200, "depth": 4, "rate": 0.05, "subsample": 1.0, "columns": 1.0, "seed": 42, "min_rows": 1, "min_gain": 0.0,
+    "penalty": 1.0, "loss": "squared",
 }
 TREES = "base double, depth int, feature array<int>, threshold array<double>, value array<double>"
 
@@ -46,8 +46,8 @@ def matrix(table: pa.Table, names: Sequence[str]) -> np.ndarray:
     return np.where(np.isnan(x), -np.inf, x)
 
 
-def _split_level(x, columns, order, node, slope, first, totals, counts, p):
-    """Best split of every node of a level: node, column, threshold, and sums and rows of its left side."""
+def _split_level(x, columns, order, node, slope, curve, first, totals, masses, p):
+    """Best split of every node of a level: node, column, threshold, and the sums of its left side."""
     width = first + 1
     local = node[order] - first
     local[local < 0] = width  # rows in leaves of earlier levels go last
@@ -61,16 +61,21 @@ def _split_level(x, columns, order, node, slope, first, totals, counts, p):
         return None
     placed = order[:, :m]
     starts = np.searchsorted(owner, np.arange(width))
-    upto = np.cumsum(slope[placed], axis=1)
-    before = np.concatenate([np.zeros((len(columns), 1)), upto], axis=1)[:, starts]
-    left = upto - before[:, owner]
-    rows = np.arange(m) - starts[owner] + 1
-    whole, n = totals[owner], counts[owner]
+
+    def left_of(amounts):
+        upto = np.cumsum(amounts[placed], axis=1)
+        return upto - np.concatenate([np.zeros((len(columns), 1)), upto], axis=1)[:, starts][:, owner]
+
+    left, mass = left_of(slope), left_of(curve)
+    whole, full = totals[owner], masses[owner]
     values = x[placed, columns[:, None]]
-    fits = (owner[:-1] == owner[1:]) & (rows[:-1] >= p["min_rows"]) & (n[:-1] - rows[:-1] >= p["min_rows"])
+    least = p["min_rows"] - 1e-9
+    fits = (owner[:-1] == owner[1:]) & (values[:, :-1] < values[:, 1:])
+    fits &= (mass[:, :-1] >= least) & ((full - mass)[:, :-1] >= least)
     gain = np.full(left.shape, -np.inf)
-    both = left**2 / (rows + PENALTY) + (whole - left) ** 2 / (np.maximum(n - rows, 0) + PENALTY)
-    np.copyto(gain[:, :-1], (both - whole**2 / (n + PENALTY))[:, :-1], where=fits & (values[:, :-1] < values[:, 1:]))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        both = left**2 / (mass + p["penalty"]) + (whole - left) ** 2 / (full - mass + p["penalty"])
+        np.copyto(gain[:, :-1], (both - whole**2 / (full + p["penalty"]))[:, :-1], where=fits)
     held = np.flatnonzero(np.bincount(owner, minlength=width))
     best = np.maximum.reduceat(gain, starts[held], axis=1)
     column = best.argmax(axis=0)  # ties: the first column, then the lowest threshold
@@ -85,43 +90,50 @@ def _split_level(x, columns, order, node, slope, first, totals, counts, p):
     column = column[rank[nodes]]
     low, high = values[column, at], values[column, at + 1]
     threshold = low / 2 + high / 2  # -inf, where missing values are split off
-    return nodes, columns[column], threshold, left[column, at], rows[at]
+    return nodes, columns[column], threshold, left[column, at], mass[column, at]
 
 
-def grow(x, order, slope, keep, columns, p):
+def grow(x, order, slope, curve, keep, columns, p):
     """One tree on the rows ``keep``; its arrays and the leaf of every row."""
     size = (2 << p["depth"]) - 1
     feature, threshold, value = np.full(size, -1, np.int32), np.zeros(size), np.zeros(size)
     node = np.zeros(len(x), np.int64)
     order = order[columns]
     order = order[keep[order]].reshape(len(columns), -1)
-    totals, counts = np.array([slope[keep].sum()]), np.array([keep.sum()])
-    value[0] = -p["rate"] * totals[0] / (counts[0] + PENALTY)
+    totals, masses = np.array([slope[keep].sum()]), np.array([curve[keep].sum()])
+    value[0] = -p["rate"] * totals[0] / max(masses[0] + p["penalty"], 1e-300)
     for level in range(p["depth"]):
         first = (1 << level) - 1
-        found = _split_level(x, columns, order, node, slope, first, totals, counts, p)
+        found = _split_level(x, columns, order, node, slope, curve, first, totals, masses, p)
         if found is None or not len(found[0]):
             break
-        nodes, column, cut, left, rows = found
+        nodes, column, cut, left, mass = found
         feature[first + nodes], threshold[first + nodes] = column, cut
-        sums, sizes = np.zeros((len(totals), 2)), np.zeros((len(totals), 2), np.int64)
+        sums, sizes = np.zeros((len(totals), 2)), np.zeros((len(totals), 2))
         sums[nodes] = np.column_stack([left, totals[nodes] - left])
-        sizes[nodes] = np.column_stack([rows, counts[nodes] - rows])
+        sizes[nodes] = np.column_stack([mass, masses[nodes] - mass])
         children = 2 * (first + nodes)[:, None] + [1, 2]
-        value[children] = -p["rate"] * sums[nodes] / (sizes[nodes] + PENALTY)
-        totals, counts = sums.ravel(), sizes.ravel()
+        value[children] = -p["rate"] * sums[nodes] / np.maximum(sizes[nodes] + p["penalty"], 1e-300)
+        totals, masses = sums.ravel(), sizes.ravel()
         split = feature[node] >= 0
         moved = node[split]
         node[split] = 2 * moved + 1 + (x[split, feature[moved]] > threshold[moved])
     return feature, threshold, value, node
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, params: dict) -> Trees:
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(0.5 * x))
+
+
+def fit_trees(x: np.ndarray, y: np.ndarray, params: dict, weight: np.ndarray | None = None) -> Trees:
+    """Boosted trees; with ``loss`` "logistic" the sum of leaves is a log odds and ``y`` is 0 or 1."""
     p = {**DEFAULTS, **params}
     n, width = x.shape
+    weight = np.ones(n) if weight is None else weight
+    odds = p["loss"] == "logistic"
     rng = np.random.default_rng(p["seed"])
     order = np.argsort(x.T, axis=1, kind="stable")
-    base = float(y.mean())
+    base = 0.0 if odds else float((y * weight).sum() / weight.sum())
     predicted = np.full(n, base)
     made = []
     for _ in range(p["rounds"]):
@@ -129,7 +141,9 @@ def fit_trees(x: np.ndarray, y: np.ndarray, params: dict) -> Trees:
         chosen = rng.permutation(width)[: max(1, round(p["columns"] * width))]
         if not keep.any():
             continue
-        *tree, leaf = grow(x, order, predicted - y, keep, np.sort(chosen), p)
+        share = logistic(predicted) if odds else predicted
+        curve = weight * np.maximum(share * (1 - share), 1e-16) if odds else weight
+        *tree, leaf = grow(x, order, weight * (share - y), curve, keep, np.sort(chosen), p)
         predicted += tree[2][leaf]
         made.append(tree)
     shape = (len(made), (2 << p["depth"]) - 1)
@@ -137,6 +151,24 @@ def fit_trees(x: np.ndarray, y: np.ndarray, params: dict) -> Trees:
     return Trees(base, p["depth"], parts[0].astype(np.int32), *parts[1:])
 
 
+def fit_forest(x: np.ndarray, y: np.ndarray, asked: np.ndarray, params: dict, weight: np.ndarray) -> np.ndarray:
+    """Mean of the leaves of trees on resampled rows, for the rows ``asked``; the trees are not kept.
+
+    Every tree draws its rows with repetition and ``columns`` of the columns.
+    """
+    p = {**DEFAULTS, **params, "penalty": 0.0, "rate": 1.0}
+    n, width = x.shape
+    rng = np.random.default_rng(p["seed"])
+    order = np.argsort(x.T, axis=1, kind="stable")
+    total = np.zeros(len(asked))
+    for _ in range(p["trees"]):
+        drawn = np.bincount(rng.integers(0, n, n), minlength=n) * weight
+        chosen = rng.permutation(width)[: max(1, round(p["columns"] * width))]
+        *tree, _ = grow(x, order, -y * drawn, drawn, drawn > 0, np.sort(chosen), p)
+        total += predict_trees(Trees(0.0, p["depth"], *(part[None] for part in tree)), asked)
+    return total / p["trees"]
+
+
 def predict_trees(trees: Trees, x: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """Sum of the leaves, for blocks of rows of bounded size."""
     out = np.full(len(x), trees.base)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.customers import RFM_NORM
 from tallyfold.operators.profiles import segment_profile
-from tallyfold.operators.trials import stacked
 from tallyfold.scratch import materialise
 
 K_RANGE = range(2, 9)
@@ -36,33 +34,176 @@ FREQUENCY_NAMES = ["At Risk", "Loyal", "Champions", "New", "Lost"]
 
 @dataclass(frozen=True)
 class Clustering:
-    """A fitted K-Means model, the labelled rows and the within-cluster sum of squares."""
+    """Centres of a K-Means solution, the labelled rows and the within-cluster sum of squares."""
 
-    model: KMeansModel
+    centres: list[list[float]]
     rows: DataFrame
     inertia: float
 
 
 def vectors(rows: DataFrame, features: Sequence[str] = RFM_NORM) -> DataFrame:
-    """Stored rows with their feature vector; reused by every fit on them."""
+    """Stored rows with their feature vector; reused by every pass over them."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return materialise(assembler.transform(rows), "vectors")
 
 
-def kmeans_segments(rows: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS) -> Clustering:
-    """Best of several seeded fits; ``rows`` must hold ``features`` (see ``vectors``)."""
-    best = None
-    for i in range(restarts):
-        model = KMeans(featuresCol="features", predictionCol="cluster_id", k=k, seed=seed + i,
-                       maxIter=300, tol=1e-4).fit(rows)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return Clustering(best, best.transform(rows), best.summary.trainingCost)
+@dataclass
+class Run:
+    """One K-Means start on its way: ``k`` centres wanted, those found so far, and its last cost."""
+
+    k: int
+    number: int
+    centres: np.ndarray
+    cost: float = math.inf
+    moving: bool = True
+
+
+def _points(rows: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """A draw per row and its features; rows without all of them take no part."""
+    own = [key] if key in rows.columns else list(features)
+    known = [F.col(f).cast("double").alias(f) for f in features]
+    table = rows.select(F.xxhash64(*own).alias("_draw"), *known)
+    for f in features:
+        table = table.where(F.col(f).isNotNull() & ~F.isnan(f))
+    return table
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, batch.num_columns)])
+
+
+def _uniform(draw: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers in (0, 1) that only depend on the row's draw and the salt."""
+    x = draw.view(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**53 + 2.0**-54
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return sum((x[:, None, d] - centres[None, :, d]) ** 2 for d in range(x.shape[1]))
+
+
+def _add_centres(points: DataFrame, runs: list[Run], features: Sequence[str], seed: int) -> None:
+    """One more centre for each run that lacks one, drawn by squared distance from those it has.
+
+    The row with the least exponential variate of its weight wins, which any number of tasks can
+    decide apart: one candidate per task and run.
+    """
+    open_ = [(i, r.centres) for i, r in enumerate(runs) if len(r.centres) < r.k]
+    salts = {i: (seed * 1_000_003 + runs[i].number) * 1_009 + len(runs[i].centres) for i, _ in open_}
+
+    def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}
+        for batch in batches:
+            x, draw = _matrix(batch), batch.column(0).to_numpy()
+            if not len(x):
+                continue
+            for i, centres in open_:
+                weight = _squares(x, centres).min(axis=1) if len(centres) else np.ones(len(x))
+                with np.errstate(divide="ignore"):
+                    time = np.where(weight > 0, -np.log(_uniform(draw, salts[i])) / weight, np.inf)
+                at = int(np.lexsort((*x.T, time))[0])
+                best[i] = min(best.get(i, (np.inf, ())), (float(time[at]), tuple(x[at].tolist())))
+        found = [(i, *pair) for i, pair in best.items() if pair[0] < np.inf]
+        yield pa.record_batch(
+            [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.float64()),
+             pa.array([f[2] for f in found], pa.list_(pa.float64()))], names=["run", "time", "centre"]
+        )
+
+    first = points.mapInArrow(race, "run int, time double, centre array<double>").groupBy("run").agg(
+        F.min_by("centre", F.struct("time", "centre")).alias("centre")
+    )
+    found = {r["run"]: r["centre"] for r in first.collect()}  # one row per run
+    for i, centres in open_:
+        # With fewer distinct rows than centres the first one is repeated and stays empty.
+        more = found.get(i) or (centres[0] if len(centres) else np.zeros(len(features)))
+        runs[i].centres = np.vstack([centres.reshape(-1, len(features)), more])
+
+
+def _totals(points: DataFrame, centres: dict[int, np.ndarray], terms) -> dict[int, np.ndarray]:
+    """Sums over the rows of every cluster of every solution, in one pass over the rows.
+
+    ``terms(number, x, near, squares)`` gives the columns to add up for a batch. Tasks send one row per cluster.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x = _matrix(batch)
+            for i, c in centres.items():
+                squares = _squares(x, c)
+                near = squares.argmin(axis=1)
+                columns = terms(i, x, near, squares)
+                added = np.column_stack([np.bincount(near, v, minlength=len(c)) for v in columns])
+                totals[i] = totals.get(i, 0.0) + added
+        flat = [(i, c, row.tolist()) for i, t in totals.items() for c, row in enumerate(t)]
+        yield pa.record_batch(
+            [pa.array([f[0] for f in flat], pa.int32()), pa.array([f[1] for f in flat], pa.int32()),
+             pa.array([f[2] for f in flat], pa.list_(pa.float64()))], names=["run", "cluster", "sums"]
+        )
+
+    empty = np.empty((0, len(points.columns) - 1))
+    width = max(len(terms(i, empty, empty[:, 0].astype(int), np.empty((0, len(c))))) for i, c in centres.items())
+    table = points.mapInArrow(sums, "run int, cluster int, sums array<double>").groupBy("run", "cluster")
+    added = F.array(*[F.sum(F.get("sums", F.lit(d))) for d in range(width)])
+    out = {i: np.zeros((len(c), width)) for i, c in centres.items()}
+    for row in table.agg(added.alias("sums")).collect():  # one row per centre
+        out[row["run"]][row["cluster"]] = row["sums"]
+    return out
+
+
+def _lloyd_step(points: DataFrame, runs: list[Run], tol: float) -> None:
+    """Move the centres of all runs that still move, in one pass over the rows."""
+    open_ = {i: r.centres for i, r in enumerate(runs) if r.moving}
+
+    def terms(i, x, near, squares):
+        return [*x.T, np.ones(len(x)), squares.min(axis=1, initial=np.inf)]
+
+    for i, sums in _totals(points, open_, terms).items():
+        run, n = runs[i], sums[:, -2:-1]
+        moved = np.where(n > 0, sums[:, :-2] / np.maximum(n, 1), run.centres)
+        run.cost = float(sums[:, -1].sum())
+        # The cost belongs to the centres before the step, so a run that stands still keeps those.
+        run.moving = bool(np.abs(moved - run.centres).max() > tol)
+        if run.moving:
+            run.centres = moved
+
+
+def kmeans_runs(rows: DataFrame, ks: Sequence[int], seed: int = SEED, restarts: int = RESTARTS,
+                features: Sequence[str] = RFM_NORM, key: str = "card", tol: float = 1e-4,
+                max_steps: int = 300) -> dict[int, Run]:
+    """The best of ``restarts`` starts for every k; all starts of all k share each pass over the rows."""
+    points = _points(rows, features, key)
+    runs = [Run(k, i, np.empty((0, len(features)))) for k in ks for i in range(restarts)]
+    for _ in range(max(ks)):
+        _add_centres(points, runs, features, seed)
+    for _ in range(max_steps):
+        _lloyd_step(points, runs, tol)
+        if not any(r.moving for r in runs):
+            break
+    return {k: min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.number)) for k in ks}
+
+
+def place_rows(rows: DataFrame, centres: np.ndarray, features: Sequence[str] = RFM_NORM) -> DataFrame:
+    """Rows with ``cluster_id``, the nearest centre (ties: the first); NULL where a feature is missing."""
+    reach = F.array(*[
+        sum((F.pow(F.col(f) - F.lit(float(v)), F.lit(2.0)) for f, v in zip(features, c)), F.lit(0.0)) for c in centres
+    ])
+    found = F.array_position(reach, F.array_min(reach))
+    return rows.withColumn("cluster_id", F.when(found > 0, found - 1).cast("int"))
+
+
+def kmeans_segments(rows: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS,
+                    features: Sequence[str] = RFM_NORM) -> Clustering:
+    """Best of several seeded starts; ``rows`` should be stored (see ``vectors``)."""
+    best = kmeans_runs(rows, [k], seed, restarts, features)[k]
+    return Clustering(best.centres.tolist(), place_rows(rows, best.centres, features), best.cost)
 
 
 def centroid_table(clustering: Clustering, features: Sequence[str] = RFM_NORM) -> DataFrame:
     """``cluster_id`` and one column per feature; k rows."""
-    rows = [(i, *map(float, c)) for i, c in enumerate(clustering.model.clusterCenters())]
+    rows = [(i, *map(float, c)) for i, c in enumerate(clustering.centres)]
     schema = "cluster_id int, " + ", ".join(f"{f} double" for f in features)
     return SparkSession.active().createDataFrame(rows, schema)
 
@@ -206,17 +347,51 @@ def linear_quality(rows: DataFrame, cluster: str = "cluster_id",
     )
 
 
-def k_sweep(rows: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED, restarts: int = RESTARTS) -> DataFrame:
-    """``k, inertia, silhouette_squared, davies_bouldin`` for every k."""
+def k_sweep(rows: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED, restarts: int = RESTARTS,
+            features: Sequence[str] = RFM_NORM) -> DataFrame:
+    """``k, inertia, silhouette_squared, davies_bouldin`` for every k, each measure in one pass for all k."""
+    best = kmeans_runs(rows, list(ks), seed, restarts, features)
+    return sweep_quality(rows, best, features)
 
-    def run(k: int) -> DataFrame:
-        fit = kmeans_segments(rows, k, seed, restarts)
-        line = linear_quality(fit.rows).select(
-            F.lit(k).alias("k"), F.lit(float(fit.inertia)).alias("inertia"), "silhouette_squared", "davies_bouldin"
-        )
-        return materialise(line, "sweep")
 
-    return stacked([partial(run, k) for k in ks])
+def sweep_quality(rows: DataFrame, best: dict[int, Run], features: Sequence[str] = RFM_NORM,
+                  key: str = "card") -> DataFrame:
+    """Measures of several solutions of the same rows.
+
+    The mean squared distance from a row to a cluster follows from the cluster's size, mean and mean square, so
+    two passes serve all solutions: one for these, one for the silhouettes and the spreads.
+    """
+    points, solutions = _points(rows, features, key), {k: r.centres for k, r in best.items()}
+    sums = _totals(points, solutions, lambda k, x, near, squares: [np.ones(len(x)), *x.T, (x**2).sum(axis=1)])
+    sizes = {k: t[:, 0] for k, t in sums.items()}
+    means = {k: t[:, 1:-1] / np.maximum(t[:, :1], 1) for k, t in sums.items()}
+    norms = {k: t[:, -1] / np.maximum(t[:, 0], 1) for k, t in sums.items()}
+
+    def measures(k, x, near, squares):
+        n, line = sizes[k], np.arange(len(x))
+        far = (x**2).sum(axis=1)[:, None] - 2 * x @ means[k].T + norms[k]
+        far = np.where(n > 0, np.maximum(far, 0.0), np.inf)
+        own = far[line, near] * n[near] / np.maximum(n[near] - 1, 1)
+        far[line, near] = np.inf
+        other = far.min(axis=1, initial=np.inf)
+        top = np.maximum(own, other)
+        width = np.divide(other - own, top, out=np.zeros(len(x)), where=(top > 0) & np.isfinite(top))
+        return [np.where(n[near] == 1, 0.0, width), np.sqrt(((x - means[k][near]) ** 2).sum(axis=1))]
+
+    lines = []
+    for k, found in _totals(points, solutions, measures).items():
+        held = np.flatnonzero(sizes[k] > 0)
+        spread = found[held, 1] / sizes[k][held]
+        apart = np.sqrt(((means[k][held][:, None] - means[k][held][None]) ** 2).sum(axis=2))
+        ratio = np.divide(spread[:, None] + spread[None], apart, out=np.zeros_like(apart), where=apart > 0)
+        several = len(held) > 1
+        lines.append((
+            k, float(best[k].cost), float(found[:, 0].sum() / sizes[k].sum()) if several else None,
+            float(ratio.max(axis=1).mean()) if several else None,
+        ))
+    return rows.sparkSession.createDataFrame(
+        lines, "k int, inertia double, silhouette_squared double, davies_bouldin double"
+    )
 
 
 def choose_k(sweep: DataFrame, min_k: int = MIN_K) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,7 +184,7 @@ SELECT count(*) AS customers, CAST(0 AS BIGINT) AS misplaced, 0.0 AS centre_gap
 def _(spark, sf_dir):
     """A K-Means solution: every row is at its nearest centre and every centre is the mean of its rows."""
     fit = fitted(spark, sf_dir)
-    centres = [[float(v) for v in c] for c in fit.model.clusterCenters()]
+    centres = fit.centres
     reach = F.array(*[
         sum((F.pow(F.col(f) - v, F.lit(2.0)) for f, v in zip(customers.RFM_NORM, centre)), F.lit(0.0)) for centre in centres
     ])
@@ -289,6 +291,36 @@ def _(spark, sf_dir):
     return sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir)))
 
 
+@query("k_sweep_fixed_points", S.rfm_sql("""
+SELECT CAST(k AS INTEGER) AS k, count(*) AS customers, CAST(0 AS BIGINT) AS misplaced, 0.0 AS centre_gap, 0.0 AS inertia_gap
+FROM rfm, range(2, 9) r(k) GROUP BY k"""), "centre_gap:3 inertia_gap:6")
+def _(spark, sf_dir):
+    """The solution of every k: rows at their nearest centre, centres at the mean of their rows, costs that add up."""
+    rows = sg.vectors(inputs.rfm(spark, sf_dir))
+    lines = []
+    for k, run in sg.kmeans_runs(rows, list(sg.K_RANGE)).items():
+        near = [F.col(f"_d{i}") for i in range(k)]
+        away = [
+            sum((F.pow(F.col(f) - v, F.lit(2.0)) for f, v in zip(customers.RFM_NORM, c)), F.lit(0.0)).alias(f"_d{i}")
+            for i, c in enumerate(run.centres.tolist())
+        ]
+        placed = sg.place_rows(rows, run.centres).select("cluster_id", *customers.RFM_NORM, *away)
+        own = F.get(F.array(*near), F.col("cluster_id"))
+        gap = F.greatest(*[
+            F.max(F.abs(F.col(f"_m{f}") - F.get(F.array(*[F.lit(v) for v in run.centres[:, d].tolist()]), F.col("cluster_id"))))
+            for d, f in enumerate(customers.RFM_NORM)
+        ])
+        per = placed.groupBy("cluster_id").agg(
+            F.count("*").alias("n"), F.count_if(own > F.least(*near) + 1e-12).alias("off"), F.sum(own).alias("cost"),
+            *[F.avg(f).alias(f"_m{f}") for f in customers.RFM_NORM],
+        )
+        lines.append(per.agg(
+            F.lit(k).alias("k"), F.sum("n").alias("customers"), F.sum("off").alias("misplaced"), gap.alias("centre_gap"),
+            F.abs(F.sum("cost") - F.lit(float(run.cost))).alias("inertia_gap"),
+        ))
+    return reduce(DataFrame.unionByName, lines)
+
+
 @query("choose_k")
 def _(spark, sf_dir):
     return sg.choose_k(sg.k_sweep(sg.vectors(inputs.rfm(spark, sf_dir))))
