@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numeric import safe_ratio
+from tallyfold.operators import tuning
 from tallyfold.operators.forecasting import model_leaderboard
 from tallyfold.operators.ordering import running_totals
-from tallyfold.operators.trials import stacked
 from tallyfold.schemas import available_columns
 from tallyfold.scratch import materialise
 
@@ -321,21 +321,27 @@ def draw_params(family: str, trials: int, seed: int = 42, space: dict | None = N
 
 
 def tune_churn(train: DataFrame, family: str = "gbt", trials: int = 20, folds: int = 5, seed: int = 42,
-               space: dict | None = None, label: str = "churn") -> DataFrame:
-    """``trial, params, pr_auc``: mean average precision over stratified folds, best first."""
-    stored = materialise(stratified_folds(train, folds, label, seed=seed), "folds")
-
-    def run(i: int, params: dict, fold: int) -> DataFrame:
-        model = TRAINERS[family](stored.where(F.col("fold") != fold), label, params)
-        held = score(model, stored.where(F.col("fold") == fold))
-        text = ", ".join(f"{k}={v:.6g}" for k, v in sorted(params.items()))
-        named = held.select(
-            F.lit(i).alias("trial"), F.lit(text).alias("params"), "fold", label, "churn_probability"
-        )
-        return materialise(named, "fold-scores")
-
-    drawn = enumerate(draw_params(family, trials, seed, space))
-    scored = stacked([partial(run, i, params, fold) for i, params in drawn for fold in range(folds)])
-    per_fold = classifier_metrics(scored, label, by=["trial", "params", "fold"])
-    means = per_fold.groupBy("trial", "params").agg(F.avg("pr_auc").alias("pr_auc"))
-    return means.orderBy(F.col("pr_auc").desc(), "trial")
+               space: dict | None = None, label: str = "churn", key: str = "card") -> DataFrame:
+    """``trial, params, pr_auc``: mean average precision over stratified folds, best first (see ``tuning``)."""
+    features = available_columns(train, NUMERIC_FEATURES)
+    names = tuning.segment_names(train)
+    width = len(features) + len(names)
+    points = materialise(
+        stratified_folds(train, folds, label, key, seed).where(F.col(label).isNotNull()).select(
+            F.col(key).alias("key"), F.col("fold").cast("int").alias("fold"), F.col(label).cast("double").alias("y"),
+            *[c.alias(f"x{i}") for i, c in enumerate(tuning.design(train, features, names))],
+        ),
+        "folds",
+    )
+    drawn = draw_params(family, trials, seed, space)
+    if family == "logistic":
+        fits = tuning.logistic_fits(points, width, folds, [p["c"] for p in drawn])
+        scored = tuning.logistic_scores(points, width, fits, trials)
+    else:
+        defaults = GBT_DEFAULTS if family == "gbt" else FOREST_DEFAULTS
+        scored = tuning.tree_scores(points, width, folds, family, [{**defaults, **p, "seed": seed} for p in drawn])
+    per_fold = classifier_metrics(materialise(scored, "fold-scores"), "y", "probability", by=["trial", "fold"])
+    texts = F.array(*[F.lit(", ".join(f"{k}={v:.6g}" for k, v in sorted(p.items()))) for p in drawn])
+    means = per_fold.groupBy("trial").agg(F.avg("pr_auc").alias("pr_auc"))
+    named = means.select("trial", F.get(texts, F.col("trial")).alias("params"), "pr_auc")
+    return named.orderBy(F.col("pr_auc").desc(), "trial")

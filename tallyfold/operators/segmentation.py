@@ -190,8 +190,9 @@ def place_rows(rows: DataFrame, centres: np.ndarray, features: Sequence[str] = R
     reach = F.array(*[
         sum((F.pow(F.col(f) - F.lit(float(v)), F.lit(2.0)) for f, v in zip(features, c)), F.lit(0.0)) for c in centres
     ])
-    found = F.array_position(reach, F.array_min(reach))
-    return rows.withColumn("cluster_id", F.when(found > 0, found - 1).cast("int"))
+    nearest = F.array_position(reach, F.array_min(reach)) - 1
+    known = ~F.isnan(F.array_min(reach))  # NULL where one is missing, NaN where one is NaN
+    return rows.withColumn("cluster_id", F.when(known, nearest).cast("int"))
 
 
 def kmeans_segments(rows: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,10 +162,46 @@ def _(spark, sf_dir):
     return cl.feature_importance(cl.churn_forest(split.where("part = 'train'")))
 
 
+@query("churn_logistic_optimum", "SELECT 0.0 AS gradient FROM (SELECT count(*) FROM lineitem)", "gradient:3")
+def _(spark, sf_dir):
+    """Largest component of the penalised gradient beside the size of its terms: zero where the fit is the optimum."""
+    train = split_table(spark, sf_dir).where("part = 'train'")
+    model = cl.churn_logistic(train)
+    beta, c = model.stages[-1].coefficients, cl.LOGISTIC_DEFAULTS["c"]
+    z = vector_to_array(F.col("features"))
+    scored = materialise(model.transform(cl.with_weights(train)).select(
+        (F.col("weight") * (vector_to_array("probability")[1] - F.col("churn"))).alias("off"), F.abs("weight").alias("w"), z.alias("z")
+    ), "scored")
+    steep = [
+        F.abs(F.sum(F.col("off") * F.get("z", F.lit(i))) + float(b) / c) / (1 + F.sum(F.col("w") * F.abs(F.get("z", F.lit(i)))))
+        for i, b in enumerate(beta)
+    ]
+    return scored.agg(F.greatest(*steep).alias("gradient"))
+
+
 @query("tune_churn")
 def _(spark, sf_dir):
+    """Settings of the champion's family, whichever that is."""
     split = split_table(spark, sf_dir)
-    return cl.tune_churn(split.where("part = 'train'").drop("part"), "logistic")
+    train = split.where("part = 'train'")
+    models = cl.churn_candidates(train)
+    champion = cl.churn_leaderboard(models, split.where("part = 'test'")).where("place = 1").first()["model"]
+    return cl.tune_churn(train.drop("part"), champion).withColumn("family", F.lit(champion))
+
+
+@query("tune_churn_logistic")
+def _(spark, sf_dir):
+    return cl.tune_churn(split_table(spark, sf_dir).where("part = 'train'").drop("part"), "logistic")
+
+
+@query("tune_churn_forest")
+def _(spark, sf_dir):
+    return cl.tune_churn(split_table(spark, sf_dir).where("part = 'train'").drop("part"), "forest")
+
+
+@query("tune_churn_gbt")
+def _(spark, sf_dir):
+    return cl.tune_churn(split_table(spark, sf_dir).where("part = 'train'").drop("part"), "gbt")
 
 
 # -- clusters ------------------------------------------------------------------------
