@@ -35,14 +35,14 @@ from tallyfold.llm.common import documents, row_slices
 from tallyfold.llm.language import fold
 from tallyfold.scratch import drop, materialise
 
-BITS = 18
+BITS = 16
 FIT_ROWS = 16_000
 #: Bytes of a word's beginning that are a feature of their own.
 STEM = 5
 RIDGE = 0.3
 STEPS = 40
 #: Tasks of a gradient: each returns one vector to the driver.
-FIT_TASKS = 12
+FIT_TASKS = 4
 TAIL_GRADE, SELECT_AT = 2, 0.5
 
 
@@ -209,7 +209,7 @@ def clearness(table: DataFrame, grades: int) -> np.ndarray:
 
 
 def fit(rated: DataFrame) -> Grader | None:
-    """A grader from rows (grade int, text); at most a few thousand rows are sensible, see ``sample``."""
+    """A grader from rows (id, grade int, text); at most a few thousand rows are sensible, see ``sample``."""
     spark = rated.sparkSession
     grades = sorted(r["grade"] for r in rated.select("grade").distinct().collect())  # few
     if not grades:
@@ -217,7 +217,7 @@ def fit(rated: DataFrame) -> Grader | None:
     if len(grades) == 1:
         return Grader(grades, np.zeros(1 << BITS), np.zeros(0))
     number = F.array_position(F.array(*[F.lit(g) for g in grades]), F.col("grade")).cast("int") - 1
-    wide = rated.repartition(FIT_TASKS, F.xxhash64("text")).select(number.alias("grade"), "text")
+    wide = rated.repartition(FIT_TASKS, "id").select(number.alias("grade"), "text")
     table = materialise(
         wide.mapInArrow(_featurised, "grade int, columns array<int>, values array<float>"), "features"
     )
@@ -261,14 +261,18 @@ def fit(rated: DataFrame) -> Grader | None:
 
 
 def sample(ratings: DataFrame, docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """About ``rows`` rated documents as (grade, text), chosen by a hash of the id."""
+    """About ``rows`` rated documents as (id, grade, text), chosen by a hash of the id.
+
+    An id with several ratings counts once with each, one with several texts by the first in code-point order.
+    """
     known = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL")
     n = max(1, known.count())
     parts = 1 << 20
     chosen = known.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(parts)) < parts * rows // n)
-    ids = chosen.select(F.col("doc_id").alias("_id"), "grade")
-    # Bounded by ``rows``, give or take the spread of the hash.
-    return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("grade", "text")
+    ids = chosen.select(F.col("doc_id").alias("_id"), "grade").distinct()
+    # Bounded by ``rows``, give or take the spread of the hash; one text per id, however many rows hold it.
+    held = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    return held.groupBy(F.col("_id").alias("id"), "grade").agg(F.min("text").alias("text"))
 
 
 def score(docs: DataFrame, grader: Grader | None, tail: int = TAIL_GRADE) -> DataFrame:
