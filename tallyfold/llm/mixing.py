@@ -14,8 +14,8 @@ each root keeps the step safe. Sums are decimal, so they do not depend on the or
 Rounding into copies: within a source, cells are laid out by size and the running total of rates is
 rounded, which keeps the words taken within about one document of the target; a few single copies
 then close the gap. Inside a cell, where all rates agree, the copies left over go to the documents with
-the smallest hashed id, found by one cut per cell. Documents with the same id, source and size share
-their fate.
+the smallest hashed id and text, found by one cut per cell. Only equal rows hash alike; where the cut falls among
+them, they are numbered and as many taken as are left.
 
 Targets: sources in code-point order, null last, weigh 5, 2, 1, 5, 2, 1, ... and share 150 % of all
 sizes; a target stops at twice the source's size and the excess is reshared by weight.
@@ -34,7 +34,7 @@ import json
 import math
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import WORD, documents, free_name, whole_text
@@ -50,8 +50,6 @@ MAX_SOURCES = 100_000
 MAX_CELLS = 500_000
 TOLERANCE = 1e-9
 MAX_STEPS = 80
-#: Single copies added or taken away per source after rounding.
-MAX_SETTLING = 8
 
 
 def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
@@ -128,22 +126,19 @@ def balance(cells: DataFrame, sizes: dict, docs: dict, wanted: dict) -> dict[str
     return tilt
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, *carried: Column) -> DataFrame:
+    """``source``, ``_size`` and ``_key``, which decides within a cell who gets the copies left over."""
     words = F.regexp_count(whole_text(F.col("text")), F.lit(WORD)).cast("bigint")
-    return docs.select("doc_id", "source", words.alias("_size"))
-
-
-def _key():
-    """What decides, within a cell, who gets the copies left over."""
-    return F.xxhash64(F.lit("mix"), F.col("doc_id"))
+    key = F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text"))
+    return docs.select(*carried, "source", words.alias("_size"), key.alias("_key"))
 
 
 def settle(laid: DataFrame) -> DataFrame:
-    """Bring each source's words closer to its target by single copies, then split copies evenly.
+    """Bring each source's words closer to its target by a few more or fewer copies, then split copies evenly.
 
-    A step looks, in every source, for the size nearest to what is missing (or too much) that has a copy
-    to give, and stops where no copy improves the sum. Each step is one aggregation that returns one
-    row per source.
+    A step looks, in every source, for the size nearest to what is missing (or too much) that has copies
+    to give, and moves as many as fit. It stops where no copy improves the sum. Rounding leaves at most about one
+    document's words open, so steps are few; each is one aggregation that returns one row per source.
     """
     spark, moved = laid.sparkSession, {}
 
@@ -154,7 +149,7 @@ def settle(laid: DataFrame) -> DataFrame:
         joined = laid.join(rows, (F.col("_id") == F.col("_i")) & (F.col("_size") == F.col("_z")), "left")
         return joined.withColumn("_copies", F.col("_copies") + F.coalesce("_more", F.lit(0))).drop("_i", "_z", "_more")
 
-    for _ in range(MAX_SETTLING):
+    while True:
         now = current()
         totals = now.groupBy("_id").agg(
             (F.max("_target") - F.sum(F.col("_copies") * F.col("_size")).cast("double")).alias("_missing")
@@ -162,20 +157,22 @@ def settle(laid: DataFrame) -> DataFrame:
         missing = [(r["_id"], r["_missing"]) for r in totals.collect()]  # one row per source
         gap = _frame(spark, missing, "_i int, _missing double")
         off = F.abs(F.abs(F.col("_missing")) - F.col("_size"))
-        room = F.when(F.col("_missing") > 0, F.col("_copies") < MAX_COPIES * F.col("_n")).otherwise(F.col("_copies") > 0)
+        spare = MAX_COPIES * F.col("_n") - F.col("_copies")
+        room = F.when(F.col("_missing") > 0, spare).otherwise(F.col("_copies"))
         best = (
             now.join(gap, F.col("_id") == F.col("_i"))
-            .where(room & (off < F.abs(F.col("_missing"))))
+            .where((room > 0) & (off < F.abs(F.col("_missing"))))
             .groupBy("_id")
-            .agg(F.min(F.struct(off.alias("off"), F.col("_size").alias("size"))).alias("best"))
+            .agg(F.min(F.struct(off.alias("off"), F.col("_size").alias("size"), room.alias("room"))).alias("best"))
             .collect()  # one row per source
         )
         if not best:
             break
-        sign = {i: 1 if m > 0 else -1 for i, m in missing}
+        gaps = dict(missing)
         for row in best:
-            cell = (row["_id"], row["best"]["size"])
-            moved[cell] = moved.get(cell, 0) + sign[row["_id"]]
+            i, size, wide = row["_id"], row["best"]["size"], gaps[row["_id"]]
+            copies = max(1, min(row["best"]["room"], int(abs(wide) // size)))
+            moved[i, size] = moved.get((i, size), 0) + (copies if wide > 0 else -copies)
     base = F.floor(F.col("_copies") / F.col("_n")).cast("bigint")
     return current().withColumn("_base", base).withColumn(
         "_extra", F.col("_copies") - F.col("_base") * F.col("_n")
@@ -183,10 +180,10 @@ def settle(laid: DataFrame) -> DataFrame:
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """From (doc_id, source, _size): a row per cell with its copies and its cut.
+    """From (source, _size, _key): a row per cell with its copies and its cut.
 
-    ``source, _size, _base, _cut, _source_size, _target``: documents of the cell are taken
-    ``_base`` times, and once more where the hashed id is at most ``_cut``.
+    ``_id, source, _size, _base, _cut, _split, _left, _source_size, _target``: documents of the cell are taken
+    ``_base`` times, once more where the key is at most ``_cut``, and so are ``_left`` rows whose key is ``_split``.
     """
     spark = rows.sparkSession
     cells = materialise(rows.groupBy("source", "_size").agg(F.count("*").alias("_n")), "cells")
@@ -232,25 +229,31 @@ def plan(rows: DataFrame) -> DataFrame:
     )
     laid = materialise(settle(materialise(laid, "laid")), "settled")
 
-    # Equal hashes are counted first, so repeated rows of one id stay together.
+    # Equal keys are counted first, so repeated rows are one row here.
     open_cells = laid.where("_extra > 0").select(
         F.col("_id"), F.col("source").alias("_of"), F.col("_size").alias("_cell"), "_extra"
     )
-    counted = rows.groupBy("source", "_size", _key().alias("_h")).agg(F.count("*").alias("_one"))
+    counted = rows.groupBy("source", "_size", "_key").agg(F.count("*").alias("_one"))
     ranked = running_totals(
         counted.join(
             open_cells, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_size") == F.col("_cell"))
-        ).select("_id", "_size", "_h", "_one", "_extra"),
-        ["_h"], ["_one"], ["_id", "_size"],
+        ).select("_id", "_size", "_key", "_one", "_extra"),
+        ["_key"], ["_one"], ["_id", "_size"],
     )
+    left = F.col("_extra") - F.col("_one_upto") + F.col("_one")
+    divided = (left > 0) & (left < F.col("_one"))
     cuts = (
-        ranked.where(F.col("_one_upto") <= F.col("_extra"))
+        ranked.where(left > 0)
         .groupBy(F.col("_id").alias("_i"), F.col("_size").alias("_s"))
-        .agg(F.max("_h").alias("_cut"))
+        .agg(
+            F.max(F.when(~divided, F.col("_key"))).alias("_cut"),
+            F.max(F.when(divided, F.col("_key"))).alias("_split"),
+            F.max(F.when(divided, left)).alias("_left"),
+        )
     )
     return materialise(
         laid.join(cuts, (F.col("_id") == F.col("_i")) & (F.col("_size") == F.col("_s")), "left").select(
-            "source", "_size", "_base", "_cut", "_source_size", "_target"
+            "_id", "source", "_size", "_base", "_cut", "_split", "_left", "_source_size", "_target"
         ),
         "mix",
     )
@@ -261,34 +264,43 @@ def copies_of(rows: DataFrame, cells: DataFrame) -> DataFrame:
 
     The cells are broadcast up to a checked number, so texts need no shuffle, and joined by it beyond.
     """
-    cell = cells.select(
-        F.col("source").alias("_of"), F.col("_size").alias("_cell"), "_base", "_cut", "_source_size", "_target"
-    )
-    cell = F.broadcast(cell) if cells.count() <= MAX_CELLS else cell.hint("merge")
-    more = F.when(F.col("_key") <= F.col("_cut"), F.lit(1)).otherwise(F.lit(0))
+    cell = cells.withColumnsRenamed({"source": "_of", "_size": "_cell"})
+    counts = cells.agg(F.count("*").alias("all"), F.count("_left").alias("divided")).first()
+    cell = F.broadcast(cell) if counts["all"] <= MAX_CELLS else cell.hint("merge")
     joined = rows.join(cell, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_size") == F.col("_cell")))
-    return joined.withColumn("_copies", F.col("_base") + more).drop("_of", "_cell", "_base", "_cut")
+
+    def taken(rows: DataFrame, once_more: Column) -> DataFrame:
+        more = F.when(once_more, F.lit(1)).otherwise(F.lit(0))
+        added = [(F.col("_base") + more).alias("_copies"), F.col("_source_size"), F.col("_target")]
+        return rows.select(*kept, *added)
+
+    kept = rows.columns
+    below = F.col("_key") <= F.col("_cut")
+    if not counts["divided"]:
+        return taken(joined, below)
+    among = F.coalesce(F.col("_key") == F.col("_split"), F.lit(False))
+    # Equal rows, of which some are taken once more: numbered in slices, however many they are.
+    numbered = running_totals(
+        joined.where(among).select(
+            "*", F.monotonically_increasing_id().alias("_row"), F.lit(1).cast("bigint").alias("_one")
+        ),
+        ["_row"], ["_one"], ["_id", "_size"],
+    )
+    return taken(joined.where(~among), below).unionByName(taken(numbered, F.col("_one_upto") <= F.col("_left")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents, each row as often as the mix takes it; the columns of ``docs``."""
-    narrow = materialise(sized(docs), "sizes")
-    cells = plan(narrow)
+    cells = plan(materialise(sized(docs), "sizes"))
     whole = free_name(docs, "_whole")
-    carried = docs.select(
-        F.struct("*").alias(whole),
-        "source",
-        F.regexp_count(whole_text(F.col("text")), F.lit(WORD)).cast("bigint").alias("_size"),
-        _key().alias("_key"),
-    )
-    taken = copies_of(carried, cells).where("_copies > 0")
+    taken = copies_of(sized(docs, F.struct("*").alias(whole)), cells).where("_copies > 0")
     repeated = taken.select(whole, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
     return repeated.select(f"{whole}.*")
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    narrow = materialise(sized(documents(spark, sf_dir)), "sizes")
-    out = copies_of(narrow.withColumn("_key", _key()), plan(narrow))
+    narrow = materialise(sized(documents(spark, sf_dir), F.col("doc_id")), "sizes")
+    out = copies_of(narrow, plan(narrow))
     return out.select(
         "doc_id",
         F.col("_size").alias("size"),
