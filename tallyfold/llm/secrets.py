@@ -24,7 +24,10 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,19 +47,23 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
+MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,64})-----")
+BODY = re.compile(r"[A-Za-z0-9+/=\s:,\\-]*")
+#: No container of a private key is larger.
+MAX_KEY_BYTES = 1 << 16
 #: Base64 in one run; shorter ones cannot hold a key.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 #: Where base64 of a SEQUENCE or of an OpenSSH key can start.
 DER_START = re.compile(r"M[A-I][A-Za-z0-9+/_-]{14}")
 SSH_START = "b3BlbnNzaC1rZXktdjE"
-RUN = re.compile(r"(?:[A-Za-z0-9+/_-]|\\+(?:/|u002[bBfF]))+")
-PAD = re.compile(r"(?:=|\\+u003[dD]){0,2}")
-#: Line breaks, real or escaped, with the blanks and quotes around them.
-BREAK = re.compile(r"""[\x20\t"']*+(?:(?:[\r\n]|\\+(?:[nr\r\n]|u000[aAdD]))[\x20\t"']*+)+""")
-ESCAPE = re.compile(r"\\+(u00[0-9a-fA-F]{2}|[nrt/\r\n])")
-#: What may stand before a run besides a character that is not base64.
-ESCAPED_BREAK = re.compile(r"\\(?:[nrt]|u000[aAdD9])\Z")
+#: Base64 of a line, and the line breaks, real or escaped, with blanks and quotes around them. What stands behind the
+#: look-behinds is never tried again from its middle.
+RUN = r"(?:[A-Za-z0-9+/_-]|(?<!\\)\\++(?:/|u002[bBfF]))++"
+BREAK = (
+    r"""(?<![\x20\t"'])[\x20\t"']*+(?:(?:[\r\n]|(?<!\\)\\++(?:[nr\r\n]|u000[aAdD]))[\x20\t"']*+)++"""
+)
+LINES = re.compile(rf"({BREAK})|({RUN})((?:=|(?<!\\)\\++u003[dD]){{0,2}})")
+ESCAPE = re.compile(r"(?<!\\)\\++(u00[0-9a-fA-F]{2}|[nrt/\r\n])")
 LONG_HEX = re.compile(r"(?:[0-9a-fA-F]{2}){32,}")
 
 
@@ -83,57 +90,99 @@ def der_length(start: str) -> int | None:
     return 2 + size + (int.from_bytes(data[2 : 2 + size], "big") if size else data[1])
 
 
-def openssh_length(data: bytes) -> tuple[int, bool]:
-    """Bytes of the OpenSSH key that starts so and True, or how many bytes it takes to know more and False."""
-    at, fields, keys = len(b"openssh-key-v1\0"), 3, 0  # cipher, kdf and kdf options
-    while fields:
-        if at + 4 > len(data):
-            return at + 4, False
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-        fields -= 1
-        if not fields and not keys:  # the count of keys, the public keys and the secret part
-            if at + 4 > len(data):
-                return at + 4, False
-            keys = int.from_bytes(data[at : at + 4], "big")
-            if not 1 <= keys <= 64:
-                return at, True
-            at, fields = at + 4, keys + 1
-    return at, True
-
-
-def wrapped_end(text: str, start: int, need: int, known: bool) -> int | None:
-    """End of the key whose base64 starts here and may go on over line breaks, or None.
-
-    ``need``: bytes of the container, if ``known``; else how many tell more.
-    """
+@dataclass
+class Block:
+    """Lines of base64 that line breaks join, without escapes: their text, and where lines start and end in it."""
+
+    base64: str
+    starts: list[tuple[int, int]]  # place in the text, place in the block
+    ends: dict[int, int]  # place in the block, place in the text behind the padding
+
+    def bytes_at(self, start: int, at: int, size: int) -> bytes:
+        """``size`` bytes from ``at`` of what the base64 from ``start`` holds, or fewer at the end."""
+        chars = self.base64[start + at // 3 * 4 : start + ((at + size + 2) // 3) * 4]
+        return (decode_base64(chars) or b"")[at % 3 :][:size]
+
+
+def blocks(text: str) -> Iterator[Block]:
+    """All of a text, each character once."""
     parts: list[str] = []
-    at, have = start, 0
-    while run := RUN.match(text, at):
-        parts.append(unescaped(run[0]))
-        have += len(parts[-1])
-        while not known and have * 6 // 8 >= need:
-            whole = "".join(parts)
-            need, known = openssh_length(decode_base64(whole[: len(whole) // 4 * 4]) or b"")
-        end = PAD.match(text, run.end()).end()
-        if known and have >= (8 * need + 5) // 6 or end > run.end() or not (gap := BREAK.match(text, end)):
-            break
-        at = gap.end()
-    fits = known and have == (8 * need + 5) // 6
-    return end if fits and is_key(decode_base64("".join(parts))) else None
+    starts: list[tuple[int, int]] = []
+    ends: dict[int, int] = {}
+    size, behind = 0, -1
+    for m in LINES.finditer(text):
+        gap, run, pad = m.groups()
+        if gap is not None:
+            behind = m.end() if m.start() == behind else -1
+            continue
+        if m.start() != behind and parts:
+            yield Block("".join(parts), starts, ends)
+            parts, starts, ends, size = [], [], {}, 0
+        starts.append((m.start(), size))
+        parts.append(unescaped(run))
+        size += len(parts[-1])
+        ends[size] = m.end()
+        behind = -1 if pad else m.end()  # padding ends a container
+    if parts:
+        yield Block("".join(parts), starts, ends)
+
+
+def openssh_length(block: Block, start: int) -> int | None:
+    """Bytes of the OpenSSH key whose base64 starts there, by its length prefixes."""
+    at, keys = len(b"openssh-key-v1\0"), 0
+
+    def number() -> int:
+        found = block.bytes_at(start, at, 4)
+        return int.from_bytes(found, "big") if len(found) == 4 else MAX_KEY_BYTES
+
+    for _ in range(3):  # cipher, kdf and kdf options
+        at += 4 + number()
+    keys = number()
+    if not 1 <= keys <= 64:
+        return None
+    at += 4
+    for _ in range(keys + 1):  # the public keys and the secret part
+        at += 4 + number()
+        if at > MAX_KEY_BYTES:
+            return None
+    return at
 
 
 def wrapped_keys(text: str) -> list[tuple[int, int]]:
-    """Keys without a frame, on one line or several."""
+    """Keys without a frame, on one line or several: the base64 must end with a line, just where the container does."""
+    found: list[tuple[int, int]] = []
+    if not DER_START.search(text) and SSH_START not in text:
+        return found
+    for block in blocks(text):
+        for place, start in block.starts:
+            head = block.base64[start : start + 24]
+            if DER_START.match(head):
+                need = der_length(head)
+            elif head.startswith(SSH_START):
+                need = openssh_length(block, start)
+            else:
+                continue
+            if need is None or need > MAX_KEY_BYTES:
+                continue
+            stop = start + (8 * need + 5) // 6
+            if stop in block.ends and is_key(decode_base64(block.base64[start:stop])):
+                found.append((place, block.ends[stop]))
+    return found
+
+
+def framed_keys(text: str) -> list[tuple[int, int]]:
+    """Keys in a frame: an END mark, the BEGIN mark nearest before it, and a body between."""
     found: list[tuple[int, int]] = []
-    starts = [(m.start(), der_length(m[0]), True) for m in DER_START.finditer(text)]
-    if SSH_START in text:
-        starts += [(m.start(), 19, False) for m in re.finditer(SSH_START, text)]
-    for at, need, known in starts:
-        if need is None or RUN.match(text[at - 1 : at]) and not ESCAPED_BREAK.search(text[max(at - 6, 0) : at]):
+    begin: re.Match | None = None
+    for mark in MARK.finditer(text):
+        if mark[1] == "BEGIN":
+            begin = mark
             continue
-        end = wrapped_end(text, at, need, known)
-        if end is not None:
-            found.append((at, end))
+        if begin and begin[2] == mark[2] and BODY.fullmatch(text, begin.end(), mark.start()):
+            body = unescaped(text[begin.end() : mark.start()])
+            if is_key(decode_base64(re.sub(r"(?m)^[A-Za-z-]+: .*$", "", body))):  # headers of older containers
+                found.append((begin.start(), mark.end()))
+        begin = None
     return found
 
 
@@ -232,25 +281,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def outside(taken: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that start in none of those taken."""
+    taken = sorted(taken)
+    ends = list(accumulate((b for _, b in taken), max))
+    return [(a, b) for a, b in spans if not (k := bisect_right(taken, (a, len(ends) and ends[-1]))) or ends[k - 1] <= a]
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of runs whose decoded bytes parse."""
     found = []
     if "eyJ" in text:
         found += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
-    framed: list[tuple[int, int]] = []
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+: .*$", "", unescaped(m[2]))  # headers of older containers
-            if is_key(decode_base64(body)):
-                found.append((m.start(), 4, m.end()))
-                framed.append(m.span())
-    for start, end in wrapped_keys(text):
-        if not any(a <= start < b for a, b in framed):
-            found.append((start, 4, end))
-            framed.append((start, end))
-    for m in BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in framed) and is_key(decode_base64(m[0])):
-            found.append((m.start(), 4, m.end()))
+    keys = framed_keys(text) if "-----BEGIN " in text else []
+    keys += outside(keys, wrapped_keys(text))
+    runs = [m.span() for m in BASE64.finditer(text)]
+    keys += [(a, b) for a, b in outside(keys, runs) if is_key(decode_base64(text[a:b]))]
+    found += [(a, 4, b) for a, b in keys]
     for m in LONG_HEX.finditer(text):
         if is_key(bytes.fromhex(m[0])):
             found.append((m.start(), 4, m.end()))
