@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 import re
 import textwrap
@@ -175,15 +176,15 @@ def mixed(spark):
         rows.append((i, plain(3 + (i * 37) % 120), "en", ["a", "b", "c", None, "d"][i % 5], i))
     rows += [(1000 + i, plain(10), "en", "hot", 1) for i in range(300)] + [(2000, "", "en", "a", 0), (2001, None, "en", "a", 0)]
     docs = frame(spark, rows)
-    return docs, mixing.sized(docs)
+    return docs, mixing.sized(docs, "doc_id")
 
 
 def test_mix_meets_its_targets(spark, mixed):
     docs, rows = mixed
     from pyspark.sql import functions as F
     plan = mixing.plan(rows)
-    out = mixing.copies_of(rows.withColumn("_key", mixing._key()), plan).collect()
-    again = mixing.copies_of(rows.withColumn("_key", mixing._key()), mixing.plan(rows)).collect()
+    out = mixing.copies_of(rows, plan).collect()
+    again = mixing.copies_of(rows, mixing.plan(rows)).collect()
     assert len(out) == 702 and sorted(map(str, out)) == sorted(map(str, again))
     for s in ("a", "b", "c", "d", "hot", None):
         mine = [r for r in out if r["source"] == s]
@@ -205,6 +206,62 @@ def test_mix_of_ties_and_nothing(spark):
                  DOCS.replace("lang", "_size"))
     out = mixing.mix(same)
     assert out.columns == same.columns
-    assert out.where("doc_id = 7").count() in (0, 9, 18)
+    # 110 words: x gets 5/7 and y 2/7 of 165, within half a document; y stops at twice its 20.
+    assert mixing.targets({"x": 90, "y": 20}) == {"x": 125.0, "y": 40.0}
+    assert out.where("doc_id = 7").count() in (12, 13) and out.where("doc_id IS NULL").count() == 10
     empty = frame(spark, [(1, None, None, None, None), (2, "", None, "a", 0)])
     assert mixing.mix(empty).count() == 2
+
+
+def test_equal_rows_and_null_ids_reach_their_targets(spark):
+    for n, doc_id in ((300, None), (300, 5)):
+        docs = frame(spark, [(doc_id, plain(10), None, s, i) for s in "xyz" for i in range(n)])
+        counts = {r["source"]: r["count"] for r in mixing.mix(docs).groupBy("source").count().collect()}
+        wanted = mixing.targets({s: 10 * n for s in "xyz"})
+        assert all(abs(10 * counts.get(s, 0) - wanted[s]) <= 10 for s in "xyz"), (counts, wanted)
+
+
+def test_rates_solve_the_dual(spark, mixed):
+    """The copies of each size are the tilted rates, found by bisection, but for rounding."""
+    _, rows = mixed
+    sizes, docs = {}, {}
+    for r in rows.collect():
+        sizes.setdefault(r["source"], []).append(r["_size"])
+    for s, mine in sizes.items():
+        docs[s] = len(mine)
+    totals = {s: sum(mine) for s, mine in sizes.items()}
+    wanted = mixing.targets(totals)
+    cells = rows.groupBy("source", "_size").count().withColumnRenamed("count", "_n")
+    tilts = mixing.balance(cells, totals, docs, wanted)
+    for s, mine in sizes.items():
+        mean = totals[s] / docs[s]
+
+        def words(tilt):
+            return sum(2 * z / (1 + math.exp(-max(-700.0, min(700.0, tilt * z / mean)))) for z in mine)
+
+        if wanted[s] >= 2 * totals[s] * (1 - 1e-9):
+            assert tilts[s] == math.inf
+            continue
+        low, high = -500.0, 500.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if words(middle) < wanted[s] else (low, middle)
+        assert abs(tilts[s] - low) < 1e-6 and abs(words(tilts[s]) - wanted[s]) < 1e-6 * wanted[s]
+
+
+def test_sql_counts_filler_by_stretches(spark):
+    """Long lines of few and of many distinct words: the operator and its SQL agree."""
+    import duckdb
+
+    lines = [" ".join(f"w{(i * i) % m}" for i in range(n)) for n in (100, 127, 128, 129, 300, 1000) for m in (7, 60, 97, 400)]
+    lines += ["Home | About | Contact", "please accept all cookies now", "What?? Really!! no", "a » b » c » d"]
+    docs = frame(spark, [(i, plain(60) + "\n" + line, None, None, 0) for i, line in enumerate(lines)] + [(99, None, None, None, 0)])
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.sql(f"SELECT doc_id, kept, n_lines_removed, clean_chars FROM ({quality_rules.OP8_SQL})").fetchall()
+    got = [
+        (r["doc_id"], r["measures"]["kept"], r["measures"]["n_lines_removed"], r["measures"]["clean_chars"])
+        for r in quality_rules.measure(docs).collect()
+    ]
+    assert sorted(got) == sorted(want)
+    assert {k for _, _, k, _ in got} == {0, 1}

@@ -7,6 +7,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -264,5 +265,64 @@ def test_grades_are_learned(spark):
     assert np.mean(right) > 0.95
     assert all(0 <= r["tail_probability"] <= 1 for r in out)
     assert got[900]["expected_grade"] == got[901]["expected_grade"]
-    none = grading.score(docs.limit(1), grading.fit(ratings.limit(0).withColumn("text", F.lit("x")).select("grade", "text")))
+    none = grading.score(docs.limit(1), grading.fit(ratings.limit(0).withColumn("text", F.lit("x")).select(F.col("doc_id").alias("id"), "grade", "text")))
     assert none.collect()[0]["expected_grade"] is None
+
+
+def test_grader_equals_a_fit_in_one_process(spark):
+    """The distributed fit reaches the optimum a plain gradient descent on all rows finds, and scores alike."""
+    texts = [("good words here " + "fine " * (i % 5), 2) if i % 3 else ("bad rubbish ! " + "junk " * (i % 4), i % 2) for i in range(90)]
+    rated = spark.createDataFrame([(i, g, t) for i, (t, g) in enumerate(texts)], "id bigint, grade int, text string")
+    grader = grading.fit(rated)
+    found = [grading.features(t) for t, _ in texts]
+    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    columns = np.concatenate([np.fromiter(f, np.int64) for f in found])
+    values = np.concatenate([np.fromiter(f.values(), float) for f in found])
+    grade = np.array([g for _, g in texts])
+    held = np.zeros((3, 1 << grading.BITS))
+    np.add.at(held, (grade[rows], columns), 1)
+    n = np.bincount(grade, minlength=3)
+    clear = np.zeros(1 << grading.BITS)
+    for cut in (1, 2):
+        low, high = held[:cut].sum(0), held[cut:].sum(0)
+        ratio = np.log((low + 0.5) / (n[:cut].sum() + 1)) - np.log((high + 0.5) / (n[cut:].sum() + 1))
+        clear = np.maximum(clear, ratio**2 / (1 / (low + 0.5) + 1 / (high + 0.5)))
+    stretch = np.sqrt((0.1 + np.maximum(0, clear - 4)) / 10)
+
+    def objective(theta):
+        full = np.concatenate([theta[:-2] * stretch, theta[-2:]])
+        loss, slope = grading.loss_and_slope(full, 2, grade, rows, columns, values)
+        slope[:-2] = slope[:-2] * stretch + grading.RIDGE * theta[:-2]
+        return loss / 90 + grading.RIDGE / 180 * theta[:-2] @ theta[:-2], slope / 90
+
+    theta = np.zeros((1 << grading.BITS) + 2)
+    theta[-2] = -1.0
+    best = grading.minimise(objective, theta, steps=400)
+    ours = np.concatenate([np.divide(grader.weights, stretch), [grader.thresholds[0], np.log(np.diff(grader.thresholds)[0])]])
+    assert objective(ours)[0] <= objective(best)[0] + 2e-3
+    scores = grading.score(rated.select(grading.F.col("id").alias("doc_id"), "text"), grader).collect()
+    for r in scores:
+        f = found[r["doc_id"]]
+        total = sum(grader.weights[c] * v for c, v in f.items())
+        upto = 1 / (1 + np.exp(-(grader.thresholds - total)))
+        assert abs(r["expected_grade"] - ((upto[1] - upto[0]) + 2 * (1 - upto[1]))) < 1e-6
+
+
+@pytest.mark.parametrize("unit", ["0123456789abcdef" * 4 + " ", "https://host.example/a/very/long/path/that/goes/on/and/on/and/on/"])
+def test_long_words_are_filtered_at_once(model, unit):
+    vocabulary = pieces.read_vocabulary(model)
+    words = [unit.replace("a", f"a{i}") for i in range(200_000 // len(unit))]
+    text = " ".join(words)
+    start = time.perf_counter()
+    ids, _ = pieces.Encoder(vocabulary).encode([text], np.zeros(1, np.uint64))
+    assert time.perf_counter() - start < 10
+    assert pieces.decode_ids(vocabulary, ids.tolist()) == text
+
+
+def test_spelling_check_sees_every_difference(model):
+    vocabulary = pieces.read_vocabulary(model)
+    texts = ["the words", None, "", "naïve ▁ 日本", "end"]
+    ids, counts = pieces.Encoder(vocabulary).encode([t or "" for t in texts], np.arange(5, dtype=np.uint64))
+    offsets = np.append(0, np.cumsum(counts))
+    assert pieces.spelt_like(vocabulary, ids, offsets, texts) == [True, None, True, True, True]
+    assert pieces.spelt_like(vocabulary, ids, offsets, ["the word", None, "x", "naïve ▁ 日本", "End"]) == [False, None, False, True, False]
