@@ -334,35 +334,11 @@ def recursive_forecast(history: DataFrame, predict: Predictor, horizon: int,
     always divide by 7 and 14. ``predict`` adds ``prediction`` to rows with the model
     features. The state is stored every few steps to keep plans short.
     """
-    last = F.max("date").over(Window.partitionBy("product"))
-    tail = (
-        history.select("product", "date", "revenue", last.alias("last"))
-        .where(F.col("date") > F.date_sub("last", TAIL_DAYS))
-        .withColumn("ago", F.datediff("last", "date"))
-    )
-    # Oldest day first; predictions are appended behind the last day of the history.
-    days = ", ".join(
-        f"coalesce(max(IF(ago = {TAIL_DAYS - 1 - i}, revenue, NULL)), 0D)" for i in range(TAIL_DAYS)
-    )
-    state = tail.groupBy("product", "last").agg(F.expr(f"array({days})").alias("path"))
-    state = materialise(state, "forecast-state")
+    state = materialise(forecast_state(history), "forecast-state")
 
     for step in range(1, horizon + 1):
-        known = TAIL_DAYS + step - 1
-        means = {w: " + ".join(f"path[{known - k}]" for k in range(1, w + 1)) for w in demand.ROLLING_WINDOWS}
-        rows = state.selectExpr(
-            "product",
-            "last",
-            "path",
-            f"date_add(last, {step}) AS date",
-            *[f"path[{known - k}] AS lag_{k}" for k in demand.LAGS],
-            *[f"({total}) / {w} AS rolling_mean_{w}" for w, total in means.items()],
-            f"CAST(weekday(date_add(last, {step})) AS TINYINT) AS day_of_week",
-            f"CAST(weekday(date_add(last, {step})) >= 5 AS TINYINT) AS is_weekend",
-            f"CAST(month(date_add(last, {step})) AS TINYINT) AS month",
-        )
         # The generator keeps the optimiser from inlining one step into all later ones.
-        state = predict(rows).selectExpr(
+        state = predict(step_features(state, step)).selectExpr(
             "product", "last", "explode(array(concat(path, array(greatest(prediction, 0D))))) AS path"
         )
         if step % store_every == 0 and step < horizon:
@@ -376,6 +352,43 @@ def recursive_forecast(history: DataFrame, predict: Predictor, horizon: int,
     )
 
 
+def forecast_state(history: DataFrame) -> DataFrame:
+    """``product, last, path``: the last day of each product and its last days, oldest first."""
+    last = F.max("date").over(Window.partitionBy("product"))
+    tail = (
+        history.select("product", "date", "revenue", last.alias("last"))
+        .where(F.col("date") > F.date_sub("last", TAIL_DAYS))
+        .withColumn("ago", F.datediff("last", "date"))
+    )
+    # Predictions are appended behind the last day of the history.
+    days = ", ".join(
+        f"coalesce(max(IF(ago = {TAIL_DAYS - 1 - i}, revenue, NULL)), 0D)" for i in range(TAIL_DAYS)
+    )
+    return tail.groupBy("product", "last").agg(F.expr(f"array({days})").alias("path"))
+
+
+def step_features(state: DataFrame, step: int) -> DataFrame:
+    """The state with ``date`` and the model features of the ``step``-th day ahead."""
+    known = TAIL_DAYS + step - 1
+    means = {w: " + ".join(f"path[{known - k}]" for k in range(1, w + 1)) for w in demand.ROLLING_WINDOWS}
+    return state.selectExpr(
+        "product",
+        "last",
+        "path",
+        f"date_add(last, {step}) AS date",
+        *[f"path[{known - k}] AS lag_{k}" for k in demand.LAGS],
+        *[f"({total}) / {w} AS rolling_mean_{w}" for w, total in means.items()],
+        f"CAST(weekday(date_add(last, {step})) AS TINYINT) AS day_of_week",
+        f"CAST(weekday(date_add(last, {step})) >= 5 AS TINYINT) AS is_weekend",
+        f"CAST(month(date_add(last, {step})) AS TINYINT) AS month",
+    )
+
+
+def build_future_features(history: DataFrame) -> DataFrame:
+    """``product, date`` and the eight model features of the day after each product's history."""
+    return step_features(forecast_state(history), 1).select("product", "date", *demand.MODEL_FEATURES)
+
+
 def residual_spread(test_predictions: DataFrame) -> DataFrame:
     """``product, spread``: deviation of the hold-out residuals; a fifth of the mean for one row."""
     residual = F.col("revenue") - numeric.clip_at_zero(F.col("prediction"))

@@ -152,9 +152,17 @@ def _(spark, sf_dir):
     return fc.recursive_forecast(inputs.demand_table(spark, sf_dir), blend, 30)
 
 
-@query("build_future_features", S.demand_sql("SELECT product, date, predicted_revenue FROM steps WHERE step = 1", RECURSION), "predicted_revenue:5")
+@query("build_future_features", S.demand_sql("""
+SELECT product, last + 1 AS date, coalesce(max(revenue) FILTER (ago = 0), 0.0) AS lag_1,
+       coalesce(max(revenue) FILTER (ago = 6), 0.0) AS lag_7, coalesce(max(revenue) FILTER (ago = 13), 0.0) AS lag_14,
+       coalesce(sum(revenue) FILTER (ago < 7), 0.0) / 7 AS rolling_mean_7,
+       coalesce(sum(revenue) FILTER (ago < 14), 0.0) / 14 AS rolling_mean_14,
+       CAST(isodow(last + 1) - 1 AS TINYINT) AS day_of_week, CAST(isodow(last + 1) > 5 AS TINYINT) AS is_weekend,
+       CAST(month(last + 1) AS TINYINT) AS month
+FROM (SELECT *, last - date AS ago FROM (SELECT product, date, revenue, max(date) OVER (PARTITION BY product) AS last FROM demand))
+GROUP BY product, last"""), "lag_1 lag_7 lag_14 rolling_mean_7:8 rolling_mean_14:8")
 def _(spark, sf_dir):
-    return fc.recursive_forecast(inputs.demand_table(spark, sf_dir), blend, 1).drop("step")
+    return fc.build_future_features(inputs.demand_table(spark, sf_dir))
 
 
 @query("offset_lookup", S.demand_sql("""

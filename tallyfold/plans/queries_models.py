@@ -386,7 +386,8 @@ def _(spark, sf_dir):
 
 
 @query("suggested_eps", S.rfm_sql("""
-SELECT quantile_cont(d, 0.15) AS eps FROM (SELECT d FROM pairs QUALIFY row_number() OVER (PARTITION BY card ORDER BY d) = 5)""", DISTANCES), "eps:8")
+SELECT coalesce(quantile_cont(d, 0.15) FILTER (d > 0), 1e-9) AS eps
+FROM (SELECT d FROM pairs QUALIFY row_number() OVER (PARTITION BY card ORDER BY d) = 5)""", DISTANCES), "eps:8")
 def _(spark, sf_dir):
     eps = density.suggested_eps(density.k_distance(inputs.rfm(spark, sf_dir)))
     return spark.range(1).select(F.lit(eps).alias("eps"))

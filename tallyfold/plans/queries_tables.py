@@ -33,10 +33,10 @@ def write_sources(spark, sf_dir) -> tuple[str, str]:
     return paths
 
 
-@query("scan_csv", S.with_ctes(S.SALES, body=BY_SOURCE_SQL.format(where="WHERE cash_type = 'cash'")), "money")
+@query("scan_csv", S.with_ctes(S.SALES, body=BY_SOURCE_SQL.format(where="")), "money")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "cash-source")
-    files.sink_csv(inputs.sales(spark, sf_dir).where("cash_type = 'cash'").drop("card"), path)
+    path = scratch_path(spark, "one-source")
+    files.sink_csv(inputs.sales(spark, sf_dir), path)
     return by_source(files.scan_csv(spark, path))
 
 
