@@ -168,11 +168,11 @@ def _(spark, sf_dir):
     return flat(runs.run_metrics_scan(spark, path))
 
 
-@query("run_metrics_scan", runs_sql("SELECT * FROM runs WHERE experiment = 'demand_forecasting'"), RUN_DOUBLES)
+@query("run_metrics_scan", runs_sql("SELECT * FROM runs"), RUN_DOUBLES)
 def _(spark, sf_dir):
     path = scratch_path(spark, "runs")
     runs.run_metrics_append(inputs.run_table(spark, sf_dir), path)
-    return flat(runs.run_metrics_scan(spark, path).where("experiment = 'demand_forecasting'"))
+    return flat(runs.run_metrics_scan(spark, path))
 
 
 @query("latest_runs", runs_sql("SELECT * FROM latest"), RUN_DOUBLES)

@@ -25,6 +25,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder within its file system in one step."""
+    fs, old = _file_system(spark, source)
+    if not fs.rename(old, _file_system(spark, target)[1]):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a file, or a folder that its writer finished, exists.
 

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.schemas import RUN_METRICS
+from tallyfold.sources import files
 
 
 def run_metrics_append(runs: DataFrame, path: str) -> str:
-    """Add runs to the store; concurrent writers only ever add files."""
-    runs.select(*[F.col(f.name).cast(f.dataType) for f in RUN_METRICS]).write.mode(
-        "append"
-    ).parquet(path)
+    """Add runs to the store, all of them or none: they are written aside and appear by one rename.
+
+    Readers pass over folders that begin with an underscore, so what an interrupted writer left is never seen.
+    Concurrent writers only ever add folders.
+    """
+    number = uuid.uuid4().hex
+    aside, shown = f"{path}/_append-{number}", f"{path}/append-{number}"
+    runs.select(*[F.col(f.name).cast(f.dataType) for f in RUN_METRICS]).write.parquet(aside)
+    files.rename(runs.sparkSession, aside, shown)
     return path
 
 
 def run_metrics_scan(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_METRICS).parquet(path)
+    """All runs of finished appends."""
+    return spark.read.schema(RUN_METRICS).option("recursiveFileLookup", "true").parquet(path)
 
 
 def metric_map(columns: Sequence[str]) -> Column:
