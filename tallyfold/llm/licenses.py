@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import documents, once, whole_text
-from tallyfold.llm.license_texts import KNOWN, all_texts
+from tallyfold.llm.license_texts import all_texts
 
 MAX_BROADCAST = 100_000
 
@@ -41,7 +41,7 @@ EQUIVALENT = [
     ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"),
     ("wilful", "willful"), ("percent", "pc"), ("copyrightowner", "copyrightholder"), ("https", "http"),
 ]
-#: Lines that may be copyright lines; ``OP5_SQL`` takes all of them for such.
+#: Lines that may be copyright lines.
 COPYRIGHT = r"^\W*(copyright\b|\(c\)|©|copr\b|portions copyright|all rights reserved\W*$)"
 
 
@@ -90,7 +90,7 @@ def digest(text: Column) -> Column:
 def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
     """``digest, license`` of all known texts, or of these; where two share a canonical text the first name stays.
 
-    The driver reads the shipped texts, as executors may not see its files. ``OP5_SQL`` knows the short ones only.
+    The driver reads the shipped texts, as executors may not see its files.
     """
     rows = spark.createDataFrame(all_texts() if texts is None else list(texts.items()), "license string, text string")
     lines = canonical_lines(F.col("text"))
@@ -136,10 +136,21 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("line_licenses", F.array_join("line_licenses", ","))
 
 
-def _canonical_sql(line: str) -> str:
-    bare = f"regexp_replace(lower({line}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
-    pattern = COPYRIGHT.replace("\\W", "[^0-9A-Za-z_]")
-    return f"CASE WHEN regexp_matches(lower({line}), '{pattern}') THEN '' ELSE {bare} END"
+def _canonical_sql(text: str) -> str:
+    """Canonical lines of a text; RE2 has no look-ahead, so the words a name must not be are a pattern of their own."""
+    found = lambda x, pattern: f"regexp_matches({x}, '{pattern}')"
+    head, _, tail = NAMED.partition("(?!")
+    words, _, names = tail.partition(r"\b)")
+    maybe = lambda x: found(f"lower({x})", COPYRIGHT)
+    blank = lambda x: f"NOT coalesce(regexp_matches({x}, '[^\\s\\x0B]'), false)"
+    beside = lambda x: f"({blank(x)} OR {maybe(x)})"
+    named = f"({found('x', head + names)} AND NOT {found('x', head + words + chr(92) + 'b')} AND {beside('ls[i - 1]')} AND {beside('ls[i + 1]')})"
+    dropped = f"({maybe('x')} AND ({found('lower(x)', SIGNED)} OR {named}))"
+    bare = "regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g')"
+    return (
+        f"list_transform(list_transform([string_split({text}, chr(10))], lambda ls: list_transform(ls, lambda x, i:"
+        f" CASE WHEN {dropped} THEN '' ELSE {bare} END)), lambda r: r)[1]"
+    )
 
 
 def _spelling_sql(text: str) -> str:
@@ -147,19 +158,16 @@ def _spelling_sql(text: str) -> str:
 
 
 def _known_sql() -> str:
-    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in KNOWN.items())
-    lines = f"list_transform(string_split(text, chr(10)), lambda x: {_canonical_sql('x')})"
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in all_texts())
     return (
-        f"SELECT sha256({_spelling_sql(f'''array_to_string({lines}, '')''')}) AS digest, min(license) AS license "
-        f"FROM (VALUES {rows}) AS k(license, text) GROUP BY 1"
+        f"SELECT sha256({_spelling_sql("array_to_string(ls, '')")}) AS digest, min(license) AS license "
+        f"FROM (SELECT license, {_canonical_sql('text')} AS ls FROM (VALUES {rows}) AS k(license, text)) GROUP BY 1"
     )
 
 
 OP5_SQL = f"""
 WITH known AS ({_known_sql()}), d AS (
-    SELECT row_number() OVER () AS rid, doc_id,
-        list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {_canonical_sql('x')}) AS ls
-    FROM documents
+    SELECT row_number() OVER () AS rid, doc_id, {_canonical_sql("coalesce(text, '')")} AS ls FROM documents
 ), u AS (
     SELECT rid, doc_id, 0 AS pos, {_spelling_sql("array_to_string(ls, '')")} AS unit FROM d
     UNION ALL

@@ -265,3 +265,29 @@ def test_sql_counts_filler_by_stretches(spark):
     ]
     assert sorted(got) == sorted(want)
     assert {k for _, _, k, _ in got} == {0, 1}
+
+
+def test_license_sql_is_the_operator(spark):
+    """Every known text, rewrapped and under copyright lines of all kinds: operator and SQL agree."""
+    import duckdb
+
+    from compare import difference
+
+    heads = ["", "Copyright (c) 2020 Jane Doe\n\n", "Copyright Jane Doe and the Authors\n\n", "copyright notice of ours\n",
+             "(c) Some Company\nAll rights reserved.\n\n", "Portions Copyright 1999, 2001 X\n", "Copyright holders gave us this.\n\n"]
+    rows = []
+    for i, (_, text) in enumerate(license_texts.all_texts()):
+        if len(text) < 4000:
+            rows.append((i, heads[i % len(heads)] + text, None, None, 0))
+            wrapped = "\n\n".join(textwrap.fill(p, 40 + i % 30) for p in text.split("\n\n"))
+            rows.append((1000 + i, heads[(i + 3) % len(heads)] + wrapped, None, None, 0))
+            rows.append((2000 + i, heads[(i + 5) % len(heads)] + " ".join(text.split()) + "\nÉté ©\n© Ümit", None, None, 0))
+        else:
+            rows.append((i, text, None, None, 0))
+    rows += [(9000, None, None, None, None), (9001, "", None, None, 0), (9002, "© \ncopyright the notice\n(C) by IBM", None, None, 0)]
+    docs = frame(spark, rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    out = licenses.license_scan(docs, licenses.known_licenses(spark)).withColumn("line_licenses", quality_rules.F.array_join("line_licenses", ","))
+    assert difference(out, con, licenses.OP5_SQL) == ""
+    assert out.where("license IS NOT NULL").count() > 60
