@@ -372,11 +372,38 @@ DISTANCES = """pairs AS (
   FROM rfm p, rfm q)"""
 
 
-@query("eps_neighbour_join", S.rfm_sql(f"""
-SELECT card, count(*) FILTER (d <= {EPS}) >= 5 AS is_core FROM pairs GROUP BY 1""", DISTANCES))
+NEAR = f"""near AS (
+  SELECT p.card AS p, q.card AS q FROM rfm p JOIN rfm q
+  ON pow(p.recency_norm - q.recency_norm, 2) + pow(p.frequency_norm - q.frequency_norm, 2) + pow(p.monetary_norm - q.monetary_norm, 2)
+     <= CAST('{EPS * EPS!r}' AS DOUBLE))"""
+
+
+@query("eps_neighbour_join", S.rfm_sql("""
+SELECT p AS card, count(*) AS n_neighbours, count(*) >= 5 AS is_core FROM near GROUP BY 1""", NEAR))
 def _(spark, sf_dir):
     counts = density.eps_neighbour_counts(inputs.rfm(spark, sf_dir), EPS)
-    return counts.select("card", (F.col("n_neighbours") >= density.MIN_POINTS).alias("is_core"))
+    return counts.select("card", "n_neighbours", (F.col("n_neighbours") >= density.MIN_POINTS).alias("is_core"))
+
+
+CELLS = ", ".join(f"CAST(floor({c} / CAST('{density.cell_side(EPS)!r}' AS DOUBLE)) AS BIGINT)" for c in customers.RFM_NORM)
+
+
+@query("dbscan_labels", S.rfm_sql("""
+SELECT card, CAST(coalesce(inner_id, border_id, -1) AS INTEGER) AS cluster_id FROM rfm
+LEFT JOIN (SELECT card, cluster_id AS inner_id FROM core JOIN numbered USING (cell)) USING (card)
+LEFT JOIN (SELECT p AS card, min(cluster_id) AS border_id FROM near JOIN core ON core.card = q JOIN numbered USING (cell) GROUP BY 1)
+USING (card)""", NEAR, f"""core AS (
+  SELECT card, concat_ws(':', {CELLS}) AS cell FROM rfm JOIN (SELECT p AS card FROM near GROUP BY 1 HAVING count(*) >= 5) USING (card)),
+edges AS (SELECT DISTINCT a.cell AS x, b.cell AS y FROM near JOIN core a ON a.card = p JOIN core b ON b.card = q),
+numbered AS (
+  SELECT cell, dense_rank() OVER (ORDER BY root) - 1 AS cluster_id FROM (
+    WITH RECURSIVE walk AS (
+      SELECT DISTINCT cell, cell AS root FROM core
+      UNION SELECT y, root FROM walk JOIN edges ON x = cell)
+    SELECT cell, min(root) AS root FROM walk GROUP BY 1))"""))
+def _(spark, sf_dir):
+    """DBSCAN at a fixed eps, beside the same clusters by recursion."""
+    return density.dbscan_segments(materialise(inputs.rfm(spark, sf_dir), "rfm"), EPS).select("card", "cluster_id")
 
 
 @query("k_distance", S.rfm_sql("""

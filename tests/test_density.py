@@ -60,10 +60,61 @@ def test_dbscan_matches_brute_force(spark, seed, eps):
         assert ours[i] == (min(options) if options else -1)
 
 
-def test_k_distance_matches_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(density, "BLOCK_ROWS", 32)
-    monkeypatch.setattr(density, "VISITS_PER_TASK", 50)
-    x = crowd(3)
-    d = np.sort(np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)), axis=1)[:, 4]
-    got = {r.card: r.k_distance for r in density.k_distance(as_rows(spark, x)).collect()}
-    assert np.allclose([got[f"c{i:04d}"] for i in range(len(x))], d, atol=1e-12)
+@pytest.fixture
+def small_nodes(monkeypatch):
+    for name, value in (("BLOCK_ROWS", 32), ("FAN", 3), ("VISITS_PER_TASK", 50), ("DISTANCES_AT_ONCE", 300)):
+        monkeypatch.setattr(density, name, value)
+
+
+def by_place(rows, column):
+    got = {r.card: r[column] for r in rows.collect()}
+    return [got[f"c{i:04d}"] for i in range(len(got))]
+
+
+def all_distances(x):
+    return np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+
+
+@pytest.mark.parametrize("stretch, shift", [(250, -40)])
+def test_k_distance_matches_brute_force(spark, small_nodes, stretch, shift):
+    """Any range of coordinates will do."""
+    x = crowd(3) * stretch + shift
+    d = np.sort(all_distances(x), axis=1)[:, 4]
+    assert np.allclose(by_place(density.k_distance(as_rows(spark, x)), "k_distance"), d, atol=1e-12 * stretch)
+
+
+@pytest.mark.parametrize("eps", [0.015, 0.6])
+def test_neighbour_counts_match_brute_force(spark, small_nodes, eps):
+    x = crowd(4)
+    want = (((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) <= eps * eps).sum(axis=1)
+    assert by_place(density.eps_neighbour_counts(as_rows(spark, x), eps), "n_neighbours") == want.tolist()
+
+
+def test_box_tree_of_equal_few_and_no_points(spark, small_nodes):
+    equal = np.vstack([np.full((90, 3), 0.5), [[0.1, 0.2, 0.3]]])
+    assert by_place(density.eps_neighbour_counts(as_rows(spark, equal), 0.0), "n_neighbours") == [90] * 90 + [1]
+    assert by_place(density.k_distance(as_rows(spark, equal)), "k_distance")[:90] == [0.0] * 90
+    few = as_rows(spark, equal[:3])
+    assert by_place(density.k_distance(few), "k_distance") == [np.inf] * 3
+    assert density.k_distance(few.limit(0)).count() == density.eps_neighbour_counts(few.limit(0), 1.0).count() == 0
+    gap = as_rows(spark, np.vstack([equal, [[np.inf, 0, 0], [np.nan, 0, 0]]])).union(
+        spark.sql("SELECT 'x', NULL, 0.0D, 0.0D")
+    )
+    assert density.k_distance(gap).count() == density.eps_neighbour_counts(gap, 0.1).count() == 91
+
+
+def test_leaves_meet_their_neighbours_only(spark, small_nodes, monkeypatch):
+    """Along a line, a leaf meets the leaves beside it and not all others."""
+    stored = []
+    keep = density.materialise
+
+    def counting(df, label="table"):
+        out = keep(df, label)
+        if label == "pairs":
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(density, "materialise", counting)
+    line = np.repeat(np.linspace(0, 1, 3000)[:, None], 3, axis=1)
+    density.k_distance(as_rows(spark, line))
+    assert stored[-1] <= 3 * -(-3000 // 32)
