@@ -60,6 +60,23 @@ def test_dbscan_matches_brute_force(spark, seed, eps):
         assert ours[i] == (min(options) if options else -1)
 
 
+def test_dbscan_parts_cells_as_near_as_two_numbers_can_be(spark):
+    """Cells of neighbouring floating-point numbers, which no halving of the cell itself can part."""
+    z = [0.39786264574221025, 0.3978626457422103, 0.39786264574221036]
+    x = np.array([[0.9503025064822818, 0.38461538461538464, v] for v in np.repeat(z, [10, 20, 25])])
+    core, label, _ = brute_dbscan(x, 8e-17, 5)
+    got = density.dbscan_segments(as_rows(spark, x), 8e-17).collect()
+    assert core.all() and len(set(label)) == 1
+    assert {r.cluster_id for r in got} == {0} and len(got) == len(x)
+
+
+def test_rounding_is_no_scale_for_eps(spark):
+    """Equal rows whose money was added up in another order differ by rounding."""
+    distances = spark.createDataFrame([(1e-17 * (i % 3),) for i in range(20)] + [(0.25,)] * 3, "k_distance double")
+    assert density.suggested_eps(distances, above=density.LEAST_EPS) == 0.25
+    assert density.suggested_eps(distances.where("k_distance < 0.1"), above=density.LEAST_EPS) == density.LEAST_EPS
+
+
 @pytest.fixture
 def small_nodes(monkeypatch):
     for name, value in (("BLOCK_ROWS", 32), ("FAN", 3), ("VISITS_PER_TASK", 50), ("DISTANCES_AT_ONCE", 300)):
