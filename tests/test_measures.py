@@ -440,3 +440,17 @@ def test_champion_needs_little_noise(spark):
     for s, noise, n, want in rows:
         db = spark.createDataFrame([(s, noise, n)], "silhouette double, n_noise int, n_rows int")
         assert segmentation.cluster_champion(km, db).first().champion == want
+
+
+def test_run_table_joins_sales_once(spark, monkeypatch):
+    """Errors by month, customers and churn labels read one stored table of sales."""
+    from tallyfold.plans import inputs
+    lines = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=i), "card", f"{i % 7}", 10.0 + i % 5, "LARGE") for i in range(120)]
+    sales = spark.createDataFrame(lines, "datetime timestamp_ntz, cash_type string, card string, money double, coffee_name string")
+    people = spark.createDataFrame([(i, i % 2) for i in range(7)], "c_custkey bigint, c_nationkey int")
+    calls = []
+    monkeypatch.setattr(inputs, "sales", lambda *a: calls.append(a) or sales)
+    monkeypatch.setattr(inputs.adapters, "table", lambda *a: people)
+    found = {r.experiment: r.n for r in inputs.run_table(spark, "").groupBy("experiment").agg(F.count("*").alias("n")).collect()}
+    assert len(calls) == 1
+    assert found == {"demand_forecasting": 4, "monitoring": 3, "churn_classification": 2}
