@@ -442,6 +442,28 @@ def test_champion_needs_little_noise(spark):
         assert segmentation.cluster_champion(km, db).first().champion == want
 
 
+def test_silhouette_meets_every_pair_of_blocks_once(spark):
+    """Each distance is computed once for both ends; blocks, tiles and clusters of one row may not lose any."""
+    rng = np.random.default_rng(5)
+    x, c = rng.random((301, 3)), np.append(rng.integers(0, 3, 300), 7)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    mean = np.array([[d[i, c == k].sum() / max((c == k).sum() - (c[i] == k), 1) for k in (0, 1, 2, 7)] for i in range(301)])
+    at = np.searchsorted([0, 1, 2, 7], c)
+    a = mean[np.arange(301), at]
+    mean[np.arange(301), at] = np.inf
+    want = np.where(c == 7, 0.0, (mean.min(axis=1) - a) / np.maximum(a, mean.min(axis=1)))
+    rows = spark.createDataFrame([(f"p{i:03d}", *map(float, p), int(k)) for i, (p, k) in enumerate(zip(x, c))],
+                                 "card string, recency_norm double, frequency_norm double, monetary_norm double, cluster_id int")
+    for block_rows in (40, 1000):
+        table = segmentation.silhouette_rows(rows, block_rows=block_rows)
+        got = {r.card: r.silhouette for r in table.collect()}
+        assert np.allclose([got[f"p{i:03d}"] for i in range(301)], want, rtol=0, atol=1e-12)
+    parts = {k: (int(np.flatnonzero(np.sort(c) == k)[0]), int(np.flatnonzero(np.sort(c) == k)[-1]) + 1) for k in (0, 1, 2, 7)}
+    order = np.argsort(c, kind="stable")
+    both = segmentation._distance_sums(x[order], x[order], parts, parts)
+    assert np.allclose(both[0], both[1]) and np.allclose(both[0].sum(axis=1), d[order].sum(axis=1))
+
+
 def test_run_table_joins_sales_once(spark, monkeypatch):
     """Errors by month, customers and churn labels read one stored table of sales."""
     from tallyfold.plans import inputs
