@@ -71,7 +71,8 @@ def _points(rows: DataFrame, features: Sequence[str], key: str) -> DataFrame:
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, batch.num_columns)])
+    """Rows by features; every feature lies in one stretch of memory."""
+    return np.array([batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, batch.num_columns)]).T
 
 
 def _uniform(draw: np.ndarray, salt: int) -> np.ndarray:
@@ -83,7 +84,23 @@ def _uniform(draw: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return sum((x[:, None, d] - centres[None, :, d]) ** 2 for d in range(x.shape[1]))
+    """Rows by centres; the rows of a centre lie in one stretch of memory, as centres are few."""
+    out = np.zeros((len(centres), len(x)))
+    for line, centre in zip(out, centres):
+        for d, c in enumerate(centre):
+            off = x[:, d] - c
+            off *= off
+            line += off
+    return out.T
+
+
+def _nearest(squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first nearest centre of each row and the square to it."""
+    near, least = np.zeros(len(squares), dtype=np.intp), squares[:, 0].copy()
+    for i in range(1, squares.shape[1]):
+        near[squares[:, i] < least] = i
+        np.minimum(least, squares[:, i], out=least)
+    return near, least
 
 
 def _add_centres(points: DataFrame, runs: list[Run], features: Sequence[str], seed: int) -> None:
@@ -102,10 +119,11 @@ def _add_centres(points: DataFrame, runs: list[Run], features: Sequence[str], se
             if not len(x):
                 continue
             for i, centres in open_:
-                weight = _squares(x, centres).min(axis=1) if len(centres) else np.ones(len(x))
+                weight = _nearest(_squares(x, centres))[1] if len(centres) else np.ones(len(x))
                 with np.errstate(divide="ignore"):
                     time = np.where(weight > 0, -np.log(_uniform(draw, salts[i])) / weight, np.inf)
-                at = int(np.lexsort((*x.T, time))[0])
+                first = np.flatnonzero(time == time.min())
+                at = int(first[np.lexsort(x[first].T)[0]])
                 best[i] = min(best.get(i, (np.inf, ())), (float(time[at]), tuple(x[at].tolist())))
         found = [(i, *pair) for i, pair in best.items() if pair[0] < np.inf]
         yield pa.record_batch(
@@ -126,7 +144,8 @@ def _add_centres(points: DataFrame, runs: list[Run], features: Sequence[str], se
 def _totals(points: DataFrame, centres: dict[int, np.ndarray], terms) -> dict[int, np.ndarray]:
     """Sums over the rows of every cluster of every solution, in one pass over the rows.
 
-    ``terms(number, x, near, squares)`` gives the columns to add up for a batch. Tasks send one row per cluster.
+    ``terms(number, x, near, least)`` gives the columns to add up for a batch, from the nearest centre of each row and
+    the square to it. Tasks send one row per cluster.
     """
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +153,8 @@ def _totals(points: DataFrame, centres: dict[int, np.ndarray], terms) -> dict[in
         for batch in batches:
             x = _matrix(batch)
             for i, c in centres.items():
-                squares = _squares(x, c)
-                near = squares.argmin(axis=1)
-                columns = terms(i, x, near, squares)
+                near, least = _nearest(_squares(x, c))
+                columns = terms(i, x, near, least)
                 added = np.column_stack([np.bincount(near, v, minlength=len(c)) for v in columns])
                 totals[i] = totals.get(i, 0.0) + added
         flat = [(i, c, row.tolist()) for i, t in totals.items() for c, row in enumerate(t)]
@@ -146,7 +164,7 @@ def _totals(points: DataFrame, centres: dict[int, np.ndarray], terms) -> dict[in
         )
 
     empty = np.empty((0, len(points.columns) - 1))
-    width = max(len(terms(i, empty, empty[:, 0].astype(int), np.empty((0, len(c))))) for i, c in centres.items())
+    width = max(len(terms(i, empty, empty[:, 0].astype(int), empty[:, 0])) for i in centres)
     table = points.mapInArrow(sums, "run int, cluster int, sums array<double>").groupBy("run", "cluster")
     added = F.array(*[F.sum(F.get("sums", F.lit(d))) for d in range(width)])
     out = {i: np.zeros((len(c), width)) for i, c in centres.items()}
@@ -159,8 +177,8 @@ def _lloyd_step(points: DataFrame, runs: list[Run], tol: float) -> None:
     """Move the centres of all runs that still move, in one pass over the rows."""
     open_ = {i: r.centres for i, r in enumerate(runs) if r.moving}
 
-    def terms(i, x, near, squares):
-        return [*x.T, np.ones(len(x)), squares.min(axis=1, initial=np.inf)]
+    def terms(i, x, near, least):
+        return [*x.T, np.ones(len(x)), least]
 
     for i, sums in _totals(points, open_, terms).items():
         run, n = runs[i], sums[:, -2:-1]
@@ -410,12 +428,12 @@ def sweep_quality(rows: DataFrame, best: dict[int, Run], features: Sequence[str]
     two passes serve all solutions: one for these, one for the silhouettes and the spreads.
     """
     points, solutions = _points(rows, features, key), {k: r.centres for k, r in best.items()}
-    sums = _totals(points, solutions, lambda k, x, near, squares: [np.ones(len(x)), *x.T, (x**2).sum(axis=1)])
+    sums = _totals(points, solutions, lambda k, x, near, least: [np.ones(len(x)), *x.T, (x**2).sum(axis=1)])
     sizes = {k: t[:, 0] for k, t in sums.items()}
     means = {k: t[:, 1:-1] / np.maximum(t[:, :1], 1) for k, t in sums.items()}
     norms = {k: t[:, -1] / np.maximum(t[:, 0], 1) for k, t in sums.items()}
 
-    def measures(k, x, near, squares):
+    def measures(k, x, near, least):
         n, line = sizes[k], np.arange(len(x))
         far = (x**2).sum(axis=1)[:, None] - 2 * x @ means[k].T + norms[k]
         far = np.where(n > 0, np.maximum(far, 0.0), np.inf)

@@ -464,6 +464,12 @@ def test_silhouette_meets_every_pair_of_blocks_once(spark):
     assert np.allclose(both[0], both[1]) and np.allclose(both[0].sum(axis=1), d[order].sum(axis=1))
 
 
+def test_nearest_centres_keep_the_first_of_ties():
+    x = np.array([[0.0, 0.0], [1.0, 0.0], [0.5, 0.0], [3.0, 4.0]])
+    near, least = segmentation._nearest(segmentation._squares(x, np.array([[0.0, 0.0], [1.0, 0.0], [1.0, 0.0]])))
+    assert near.tolist() == [0, 1, 0, 1] and least.tolist() == [0.0, 0.0, 0.25, 20.0]
+
+
 def test_run_table_joins_sales_once(spark, monkeypatch):
     """Errors by month, customers and churn labels read one stored table of sales."""
     from tallyfold.plans import inputs
