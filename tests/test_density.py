@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tallyfold.operators import density
+from tallyfold.operators import density, segmentation
 
 NORM = ["recency_norm", "frequency_norm", "monetary_norm"]
 
@@ -135,3 +135,42 @@ def test_leaves_meet_their_neighbours_only(spark, small_nodes, monkeypatch):
     line = np.repeat(np.linspace(0, 1, 3000)[:, None], 3, axis=1)
     density.k_distance(as_rows(spark, line))
     assert stored[-1] <= 3 * -(-3000 // 32)
+
+
+def test_squared_silhouette_of_many_clusters(spark):
+    """Equal rows as clusters: rows meet few of the clusters, and the measure is that of all pairs."""
+    rng = np.random.default_rng(7)
+    k, n = 3000, 9000
+    own = np.concatenate([np.arange(40), rng.integers(0, k, n - 40)])
+    x = rng.random((k, 3))[own] + np.where(own % 3 == 0, 0.05, 0.0)[:, None] * rng.normal(size=(n, 3))
+    rows = as_rows(spark, x).toPandas().assign(cluster_id=own)
+    squares = np.array([((x - x[own == c].mean(axis=0)) ** 2).sum(axis=1) + x[own == c].var(axis=0).sum() for c in range(k) if (own == c).any()]).T
+    names, at, size = np.unique(own, return_inverse=True, return_counts=True)
+    a = squares[np.arange(n), at] * size[at] / np.maximum(size[at] - 1, 1)
+    squares[np.arange(n), at] = np.inf
+    b = squares.min(axis=1)
+    want = np.where(size[at] == 1, 0.0, (b - a) / np.maximum(a, b)).mean()
+    assert segmentation.silhouette_squared(segmentation.vectors(spark.createDataFrame(rows))) == pytest.approx(want, abs=1e-12)
+
+    met = []
+    keep = segmentation._squares
+    segmentation._squares = lambda p, q: met.append(len(p) * len(q)) or keep(p, q)
+    try:
+        means = rng.random((k, 3))
+        groups = np.array([np.resize(g, segmentation.LEAF) for g in segmentation._leaves(means, segmentation.LEAF)])
+        leaves = {"at": means[groups], "spread": np.zeros(groups.shape), "number": groups, "least": np.zeros(len(groups)),
+                  "lo": means[groups].min(axis=1), "hi": means[groups].max(axis=1)}
+        copies = np.repeat(np.arange(k), 20)
+        segmentation._nearest_other(means[copies], copies, leaves)
+    finally:
+        segmentation._squares = keep
+    assert sum(met) < 0.3 * len(copies) * k
+
+
+def test_squared_silhouette_of_noise_equal_clusters_and_one_row(spark):
+    x = np.array([[0.125, 0.25, 0.5]] * 6 + [[0.75, 0.75, 0.75], [0.5, 0.5, 0.5]])
+    rows = as_rows(spark, x).toPandas().assign(cluster_id=[0, 0, 0, 1, 1, 1, 2, -1])
+    table = segmentation.vectors(spark.createDataFrame(rows))
+    assert segmentation.silhouette_squared(table) == 0.0
+    with pytest.raises(ValueError):
+        segmentation.silhouette_squared(table.where("cluster_id IN (-1, 2)"))
