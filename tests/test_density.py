@@ -174,3 +174,17 @@ def test_squared_silhouette_of_noise_equal_clusters_and_one_row(spark):
     assert segmentation.silhouette_squared(table) == 0.0
     with pytest.raises(ValueError):
         segmentation.silhouette_squared(table.where("cluster_id IN (-1, 2)"))
+
+
+@pytest.mark.parametrize("eps, part, share", [(0.25, 50_000, 200_000), (0.3, 40, 90), (1.0, 100, 300)])
+def test_neighbours_by_columns_match_brute_force(spark, monkeypatch, eps, part, share):
+    """Days and counts on a grid, heights with ties at the rim; large tiles are cut."""
+    rng = np.random.default_rng(11)
+    n = 900
+    z = np.where(rng.random(n) < 0.5, rng.integers(0, 41, n) / 40, rng.random(n))
+    x = np.column_stack([rng.integers(0, 9, n) / 8, rng.integers(0, 5, n) / 4, z])
+    monkeypatch.setattr(density, "PART_ROWS", part)
+    monkeypatch.setattr(density, "SHARE_ROWS", share)
+    monkeypatch.setattr(density, "box_tree", None)
+    want = (((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) <= eps * eps).sum(axis=1)
+    assert by_place(density.eps_neighbour_counts(as_rows(spark, x), eps), "n_neighbours") == want.tolist()
