@@ -21,6 +21,7 @@ from tallyfold.operators import boosting
 
 TREE_ROWS = 20_000
 NEWTON_STEPS, TOLERANCE = 50, 1e-8
+PIECE_ROWS = 512
 
 
 def design(rows: DataFrame, features: Sequence[str], segments: Sequence[str] = ()) -> list[Column]:
@@ -44,6 +45,14 @@ def _pairs(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
     return _x(batch, width), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Features, targets and folds of so few rows that a number per row and pair stays in a core's cache."""
+    for batch in batches:
+        parts = _pairs(batch, width)
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield tuple(part[start : start + PIECE_ROWS] for part in parts)
+
+
 def fold_moments(points: DataFrame, width: int, folds: int) -> dict[int, dict]:
     """Per fold left out: class counts, means and deviations of the features of the other folds."""
     x = [F.col(f"x{i}") for i in range(width)]
@@ -76,24 +85,33 @@ def logistic_fits(points: DataFrame, width: int, folds: int, penalties: Sequence
     beta = {(t, f): np.zeros(width + 1) for t in range(len(penalties)) for f in known}
     moving, size = set(beta), width + 1
     upper = np.triu_indices(size)
+    # Batches are standardised once, by numbers common to all folds; a fold's own features are linear in those.
+    centre = np.mean([m["mean"] for m in known.values()], axis=0) if known else np.zeros(width)
+    spread = np.max([np.where(np.isfinite(m["scale"]), m["scale"], 0.0) for m in known.values()], axis=0, initial=0.0)
+    spread = np.where(spread > 0, spread, 1.0)
+    own = {}
+    for f, m in known.items():
+        own[f] = np.diag(np.append(spread / m["scale"], 1.0))
+        own[f][-1, :-1] = (centre - m["mean"]) / m["scale"]
     for _ in range(NEWTON_STEPS):
         if not moving:
             break
         now = {pair: beta[pair] for pair in sorted(moving)}
 
         def sums(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            totals = {pair: np.zeros(size + len(upper[0])) for pair in now}
-            for batch in batches:
-                raw, y, fold = _pairs(batch, width)
-                for f in {f for _, f in now}:
-                    m, rest = known[f], fold != f
-                    x = np.column_stack([(raw[rest] - m["mean"]) / m["scale"], np.ones(rest.sum())])
-                    target = y[rest]
-                    weight = np.where(target == 1, m["n"] / (2 * m["pos"]), m["n"] / (2 * (m["n"] - m["pos"])))
-                    for pair in (p for p in now if p[1] == f):
-                        share = boosting.logistic(x @ now[pair])
-                        gram = (x * (weight * share * (1 - share))[:, None]).T @ x
-                        totals[pair] += np.concatenate([x.T @ (weight * (share - target)), gram[upper]])
+            left_out = np.array([f for _, f in now])
+            start = np.column_stack([own[f] @ b for (_, f), b in now.items()])
+            positive = np.array([known[f]["n"] / (2 * known[f]["pos"]) for f in left_out])
+            negative = np.array([known[f]["n"] / (2 * (known[f]["n"] - known[f]["pos"])) for f in left_out])
+            added = np.zeros((len(now), size + len(upper[0])))
+            for raw, y, fold in _pieces(batches, width):
+                x = np.column_stack([(raw - centre) / spread, np.ones(len(y))])
+                # Rows by pairs: all sums are two products of matrices.
+                share = boosting.logistic(x @ start)
+                weight = np.where((y == 1)[:, None], positive, negative) * (fold[:, None] != left_out)
+                added[:, :size] += (weight * (share - y[:, None])).T @ x
+                added[:, size:] += (weight * share * (1 - share)).T @ (x[:, upper[0]] * x[:, upper[1]])
+            totals = dict(zip(now, added))
             yield pa.record_batch(
                 [pa.array([p[0] for p in totals], pa.int32()), pa.array([p[1] for p in totals], pa.int32()),
                  pa.array([v.tolist() for v in totals.values()], pa.list_(pa.float64()))], names=["trial", "fold", "sums"]
@@ -104,10 +122,11 @@ def logistic_fits(points: DataFrame, width: int, folds: int, penalties: Sequence
         for row in table.agg(added.alias("sums")).collect():  # one row per pair
             pair = row["trial"], row["fold"]
             ridge = np.append(np.full(width, 1 / penalties[pair[0]]), 1e-12)
-            slope = np.array(row["sums"][:size]) + ridge * beta[pair]
+            turn = own[pair[1]]
+            slope = turn.T @ np.array(row["sums"][:size]) + ridge * beta[pair]
             gram = np.zeros((size, size))
             gram[upper] = row["sums"][size:]
-            gram = gram + np.triu(gram, 1).T + np.diag(ridge)
+            gram = turn.T @ (gram + np.triu(gram, 1).T) @ turn + np.diag(ridge)
             step = np.linalg.solve(gram, slope)
             # Far steps of nearly separable data are shortened; the loss is convex.
             beta[pair] = beta[pair] - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-300))

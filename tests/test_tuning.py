@@ -6,6 +6,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,23 @@ def test_fewer_rows_than_centres(spark):
     run = sg.kmeans_runs(table, [4], restarts=2)[4]
     assert run.cost == 0.0 and sg.place_rows(table, run.centres).select("cluster_id").distinct().count() == 2
     assert sg.kmeans_runs(table.limit(0), [2], restarts=1)[2].cost == 0.0
+
+
+def test_a_newton_pass_takes_few_products_whatever_the_pairs(spark, points, monkeypatch):
+    """The logistic curve is asked once a batch and step for all settings and folds together."""
+    calls, keep = [], tuning.boosting.logistic
+    monkeypatch.setattr(tuning.boosting, "logistic", lambda x: calls.append(x.shape) or keep(x))
+    table, rows = points
+
+    class Here:
+        """Rows in this process, so that calls can be counted."""
+
+        def mapInArrow(self, run, schema):
+            batches = pa.Table.from_batches(table.toArrow().to_batches()).combine_chunks().to_batches()
+            return spark.createDataFrame([r for b in run(iter(batches)) for r in map(tuple, (d.values() for d in b.to_pylist()))], schema)
+
+    monkeypatch.setattr(tuning, "fold_moments", lambda points, width, folds, known=tuning.fold_moments: known(table, width, folds))
+    fits = tuning.logistic_fits(Here(), 3, FOLDS, [0.01, 1.0, 50.0])
+    assert calls[0] == (len(rows), 3 * FOLDS) and len(calls) <= tuning.NEWTON_STEPS
+    apart = tuning.logistic_fits(table, 3, FOLDS, [0.01, 1.0, 50.0])
+    assert all(np.allclose(fits[p], apart[p], rtol=1e-6, atol=1e-9) for p in fits)
