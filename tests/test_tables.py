@@ -283,3 +283,41 @@ def test_empty_input_keeps_the_schema(spark):
     out = demand.demand_features(empty)
     assert out.columns == demand.DEMAND_COLUMNS and out.collect() == []
     assert cleaning.preprocess(empty).collect() == []
+
+
+PURCHASES = [
+    ("2024-06-30 09:00", "A", 5.0, "Latte"), ("2024-06-30 09:00", "A", 5.0, "Latte"), ("2024-05-20", "A", None, None),
+    ("2024-01-02", "A", 3.0, "Cocoa"), ("2024-03-01", "B", 2.0, "Tea"), (None, "B", 9.0, "Latte"), (None, "C", 9.0, "Latte"),
+    ("2024-07-09", None, 1.0, "Tea"), ("2024-06-10", "D", None, "Tea"), ("2024-05-04", "D", 4.0, "Tea"),
+]
+
+
+@pytest.mark.parametrize("latest, passes", [("2024-06-30 23:00", 1), ("2024-07-09 00:00", 2), (None, 2)])
+def test_customer_tables_from_one_pass_over_sales(spark, monkeypatch, latest, passes):
+    """A wrong guess of the last day costs a pass, never a result."""
+    labels, keep = [], customers.materialise
+    monkeypatch.setattr(customers, "materialise", lambda df, label="table": labels.append(label) or keep(df, label))
+    known = sales(spark, [r for r in PURCHASES if r[0]])
+    df = known.union(spark.createDataFrame([(None, "card", *r[1:]) for r in PURCHASES if not r[0]], SALES))
+    bought = customers.stored_purchases(df, F.lit(latest).cast("timestamp_ntz"))
+    assert labels == ["purchases"] * passes
+    for made, wanted in ((customers.rfm_of_purchases(bought), customers.rfm_features(df)),
+                         (customers.behaviour_of_purchases(bought), customers.behaviour(df))):
+        assert made.schema.simpleString() == wanted.schema.simpleString()
+        assert sorted(made.collect()) == sorted(wanted.collect())
+    assert {r.card for r in customers.rfm_of_purchases(bought).collect()} == {"A", "B", "D"}
+
+
+def test_purchases_of_no_sales(spark):
+    bought = customers.stored_purchases(spark.createDataFrame([], SALES), F.lit("2024-06-30").cast("timestamp_ntz"))
+    assert customers.rfm_of_purchases(bought).collect() == [] == customers.behaviour_of_purchases(bought).collect()
+
+
+def test_the_churn_table_does_not_store_sales(spark, monkeypatch):
+    from tallyfold.plans import inputs
+
+    labels, keep = [], inputs.materialise
+    for module in (inputs, customers):
+        monkeypatch.setattr(module, "materialise", lambda df, label="table": labels.append(label) or keep(df, label))
+    table = inputs.churn_table(spark, "/root/testdata/sf0.001")
+    assert "sales" not in labels and labels.count("purchases") == 1 and table.count() > 0
