@@ -124,8 +124,19 @@ def feature_stages(rows: DataFrame, scale: bool = False, one_hot: bool = True) -
     return stages
 
 
+def even_parts(stored: DataFrame) -> DataFrame:
+    """A stored table in a multiple of as many even parts as there are cores, for fits of hundreds of passes.
+
+    A pass over one part more than cores lasts as long as one over twice the parts. Tables of fewer parts stay as they are.
+    """
+    cores, parts = stored.sparkSession.sparkContext.defaultParallelism, stored.rdd.getNumPartitions()
+    if parts <= cores or parts % cores == 0:
+        return stored
+    return materialise(stored.repartition(parts // cores * cores), "even")
+
+
 def _fit(rows: DataFrame, classifier, label: str, scheme: str, scale: bool) -> PipelineModel:
-    ready = materialise(with_weights(rows, label, scheme), "churn-train")
+    ready = even_parts(materialise(with_weights(rows, label, scheme), "churn-train"))
     return Pipeline(stages=[*feature_stages(ready, scale=scale), classifier]).fit(ready)
 
 

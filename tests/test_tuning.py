@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators import classification as cl, segmentation as sg, tuning
+from tallyfold.scratch import materialise
 
 FOLDS = 3
 
@@ -148,3 +149,28 @@ def test_a_newton_pass_takes_few_products_whatever_the_pairs(spark, points, monk
     assert calls[0] == (len(rows), 3 * FOLDS) and len(calls) <= tuning.NEWTON_STEPS
     apart = tuning.logistic_fits(table, 3, FOLDS, [0.01, 1.0, 50.0])
     assert all(np.allclose(fits[p], apart[p], rtol=1e-6, atol=1e-9) for p in fits)
+
+
+def test_fits_pass_over_a_multiple_of_the_cores(spark):
+    """One part more than cores doubles the time of a pass; few parts stay."""
+    cores = spark.sparkContext.defaultParallelism
+
+    def stored(parts, rows=5000):
+        table = materialise(spark.range(rows).select(F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("s")).repartition(parts))
+        read = table.rdd.getNumPartitions()
+        return table, read
+
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        many, read = stored(3)
+        assert read > cores and read % cores
+        even = cl.even_parts(many)
+        assert even.count() == 5000 and even.select("id").distinct().count() == 5000 and even.stored_at != many.stored_at
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    few, read = stored(3)
+    assert read <= cores and cl.even_parts(few) is few
+    # As many files as cores are read as so many parts, whatever their size.
+    assert stored(cores)[1] == cores
