@@ -154,13 +154,24 @@ def logistic_scores(points: DataFrame, width: int, fits: dict[tuple[int, int], n
     return points.mapInArrow(run, "trial int, fold int, y double, probability double")
 
 
+def longest_first(settings: Sequence[dict], folds: int) -> list[tuple[int, int]]:
+    """(setting, fold) pairs by the number of tree levels and columns they search, most first, as partitions are begun in order."""
+
+    def levels(p: dict) -> float:
+        return p.get("trees", p.get("rounds", 1)) * p.get("depth", 1) * p.get("columns", 1.0)
+
+    order = sorted(range(len(settings)), key=lambda t: (-levels(settings[t]), t))
+    return [(t, f) for t in order for f in range(folds)]
+
+
 def tree_scores(points: DataFrame, width: int, folds: int, family: str, settings: Sequence[dict], rows: int = TREE_ROWS) -> DataFrame:
     """``trial, fold, y, probability`` of the rows of each fold, every (trial, fold) fitted in a task of its own."""
     n, parts = max(1, points.count()), 1 << 20
     bounded = points.where(F.pmod(F.xxhash64(F.lit("tune"), "key"), F.lit(parts)) < parts * rows // n)
+    pairs = longest_first(settings, folds)
 
     def fit(values: tuple, table: pa.Table) -> pa.Table:
-        trial, fold = values[0].as_py(), values[1].as_py()
+        trial, fold = pairs[values[0].as_py()]
         table = table.sort_by("key")
         x, y, own = _x(table, width), table.column("y").to_numpy(), table.column("fold").to_numpy()
         rest, held = own != fold, own == fold
@@ -175,18 +186,15 @@ def tree_scores(points: DataFrame, width: int, folds: int, family: str, settings
             else:
                 weight = np.where(y[rest] == 1, total / (2 * pos), total / (2 * (total - pos)))
                 probability = boosting.fit_forest(x[rest], y[rest], x[held], {"columns": 0.5, **p}, weight)
-        out = table.filter(pa.array(held)).select(["trial", "fold", "y"])
-        return out.set_column(1, "fold", out.column("fold").cast(pa.int32())).append_column(
-            "probability", pc.if_else(pc.is_nan(pa.array(probability)), None, pa.array(probability))
-        )
-
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(t).alias("trial"), F.lit(f).alias("left_out")) for t in range(len(settings)) for f in range(folds)
-    ]))
+        out = table.filter(pa.array(held)).select(["fold", "y"])
+        return out.add_column(0, "trial", pa.array(np.full(out.num_rows, trial, np.int32))).set_column(
+            1, "fold", out.column("fold").cast(pa.int32())
+        ).append_column("probability", pc.if_else(pc.is_nan(pa.array(probability)), None, pa.array(probability)))
+
+    # A partition per pair: by a hash some would hold several of the longest fits, others none.
     return (
-        bounded.withColumn("_pair", pairs)
-        .select("*", "_pair.trial", "_pair.left_out")
-        .drop("_pair")
-        .groupBy("trial", "left_out")
+        bounded.withColumn("pair", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))))
+        .repartitionById(len(pairs), "pair")
+        .groupBy("pair")
         .applyInArrow(fit, "trial int, fold int, y double, probability double")
     )

@@ -174,3 +174,13 @@ def test_fits_pass_over_a_multiple_of_the_cores(spark):
     assert read <= cores and cl.even_parts(few) is few
     # As many files as cores are read as so many parts, whatever their size.
     assert stored(cores)[1] == cores
+
+
+def test_every_pair_of_a_tree_search_has_a_task_of_its_own_the_longest_first(points):
+    """Dealt by a hash, some tasks had several of the longest fits and others none."""
+    settings = [{"rounds": r, "depth": 2, "rate": 0.3} for r in (2, 9, 5, 2, 9, 5)]
+    scored = tuning.tree_scores(points[0], 3, FOLDS, "gbt", settings).withColumn("part", F.spark_partition_id())
+    held = {r["part"]: (r["pairs"], r["trial"]) for r in scored.groupBy("part").agg(
+        F.count_distinct("trial", "fold").alias("pairs"), F.first("trial").alias("trial")).collect()}
+    assert sorted(held) == list(range(6 * FOLDS)) and all(n == 1 for n, _ in held.values())
+    assert [held[p][1] for p in sorted(held)] == [t for t in (1, 4, 2, 5, 0, 3) for _ in range(FOLDS)]
