@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import threading
 
 import numpy as np
 import pyarrow as pa
@@ -184,3 +185,32 @@ def test_every_pair_of_a_tree_search_has_a_task_of_its_own_the_longest_first(poi
         F.count_distinct("trial", "fold").alias("pairs"), F.first("trial").alias("trial")).collect()}
     assert sorted(held) == list(range(6 * FOLDS)) and all(n == 1 for n, _ in held.values())
     assert [held[p][1] for p in sorted(held)] == [t for t in (1, 4, 2, 5, 0, 3) for _ in range(FOLDS)]
+
+
+def test_candidates_are_fitted_side_by_side(spark, monkeypatch):
+    """Every fit waits for the others to begin, which no fit after another survives."""
+    met = threading.Barrier(len(cl.TRAINERS))
+
+    def trainer(family):
+        def fit(train, label, params, **layout):
+            met.wait(timeout=60)
+            return family, train.count(), label, params, sorted(layout)
+
+        return fit
+
+    monkeypatch.setattr(cl, "TRAINERS", {family: trainer(family) for family in cl.TRAINERS})
+    models = cl.churn_candidates(spark.range(7), {"gbt": {"rounds": 3}})
+    assert list(models) == ["logistic", "forest", "gbt"]
+    assert [m[0] for m in models.values()] == list(models) and all(m[1:3] == (7, "churn") for m in models.values())
+    assert models["gbt"][3] == {"rounds": 3} and models["forest"][3:] == (None, ["laid_out"])
+
+
+def test_a_long_fit_keeps_to_half_of_the_cores(spark, monkeypatch):
+    half = spark.sparkContext.defaultParallelism // 2
+    table = materialise(spark.range(4000).repartition(2 * half))
+    assert cl.half_parts(table) is table  # passes over so few rows hold up nobody
+    monkeypatch.setattr(cl, "HALF_ROWS", (100, 2000))
+    laid = cl.half_parts(table)
+    assert laid.rdd.getNumPartitions() == half and laid.count() == laid.distinct().count() == 4000
+    monkeypatch.setattr(cl, "HALF_ROWS", (1, 10))
+    assert cl.half_parts(table) is table  # too many rows for so few tasks
