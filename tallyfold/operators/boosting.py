@@ -26,6 +26,8 @@ DEFAULTS = {
     "rounds": 200, "depth": 4, "rate": 0.05, "subsample": 1.0, "columns": 1.0, "seed": 42, "min_rows": 1, "min_gain": 0.0,
     "penalty": 1.0, "loss": "squared",
 }
+#: Values of a level that are searched together: their temporary numbers take about 100 bytes each.
+VALUES_AT_ONCE = 1 << 20
 TREES = "base double, depth int, feature array<int>, threshold array<double>, value array<double>"
 
 
@@ -47,50 +49,71 @@ def matrix(table: pa.Table, names: Sequence[str]) -> np.ndarray:
 
 
 def _split_level(x, columns, order, node, slope, curve, first, totals, masses, p):
-    """Best split of every node of a level: node, column, threshold, and the sums of its left side."""
+    """Best split of every node of a level: node, column, threshold, and the sums of its left side.
+
+    ``VALUES_AT_ONCE`` bounds the columns searched together, whatever the number of rows.
+    """
     width = first + 1
-    local = node[order] - first
-    local[local < 0] = width  # rows in leaves of earlier levels go last
-    turn = np.argsort(local.astype(np.int16 if width < 1 << 14 else np.int64), axis=1, kind="stable")
-    order[:] = np.take_along_axis(order, turn, axis=1)
-    # The rows of a node are the same in every column, so its place is, too.
-    owner = np.sort(local[0])
-    owner = owner[owner < width]
+    owner = np.sort(node[order[0]] - first)
+    # The rows of a node are the same in every column, so its place is, too; rows in leaves of earlier levels go last.
+    owner = owner[owner >= 0]
     m = len(owner)
     if m < 2:
         return None
-    placed = order[:, :m]
     starts = np.searchsorted(owner, np.arange(width))
-
-    def left_of(amounts):
-        upto = np.cumsum(amounts[placed], axis=1)
-        return upto - np.concatenate([np.zeros((len(columns), 1)), upto], axis=1)[:, starts][:, owner]
-
-    left, mass = left_of(slope), left_of(curve)
-    whole, full = totals[owner], masses[owner]
-    values = x[placed, columns[:, None]]
-    least = p["min_rows"] - 1e-9
-    fits = (owner[:-1] == owner[1:]) & (values[:, :-1] < values[:, 1:])
-    fits &= (mass[:, :-1] >= least) & ((full - mass)[:, :-1] >= least)
-    gain = np.full(left.shape, -np.inf)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        both = left**2 / (mass + p["penalty"]) + (whole - left) ** 2 / (full - mass + p["penalty"])
-        np.copyto(gain[:, :-1], (both - whole**2 / (full + p["penalty"]))[:, :-1], where=fits)
     held = np.flatnonzero(np.bincount(owner, minlength=width))
-    best = np.maximum.reduceat(gain, starts[held], axis=1)
-    column = best.argmax(axis=0)  # ties: the first column, then the lowest threshold
-    top = best[column, np.arange(len(held))]
     rank = np.full(width, -1)
     rank[held] = np.arange(len(held))
-    at = np.flatnonzero(gain[column[rank[owner]], np.arange(m)] == top[rank[owner]])
-    nodes, where = np.unique(owner[at], return_index=True)
-    at = at[where]
-    good = top[rank[nodes]] > max(p["min_gain"], 1e-12)
-    nodes, at = nodes[good], at[good]
-    column = column[rank[nodes]]
-    low, high = values[column, at], values[column, at + 1]
-    threshold = low / 2 + high / 2  # -inf, where missing values are split off
-    return nodes, columns[column], threshold, left[column, at], mass[column, at]
+    whole, full = totals[owner], masses[owner]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        alone = whole**2 / (full + p["penalty"])
+    same, place = owner[:-1] == owner[1:], rank[owner]
+    least = p["min_rows"] - 1e-9
+    top, chosen = np.full(len(held), -np.inf), np.zeros(len(held), np.int64)
+    low, high, before, mass_before = (np.zeros(len(held)) for _ in range(4))
+    step = max(1, VALUES_AT_ONCE // order.shape[1])
+    for begin in range(0, len(columns), step):
+        some = slice(begin, begin + step)
+        local = node[order[some]] - first
+        local[local < 0] = width
+        turn = np.argsort(local.astype(np.int16 if width < 1 << 14 else np.int64), axis=1, kind="stable")
+        order[some] = np.take_along_axis(order[some], turn, axis=1)
+        placed, numbers = order[some, :m], columns[some]
+
+        def left_of(amounts):
+            upto = np.cumsum(amounts[placed], axis=1)
+            return upto - np.concatenate([np.zeros((len(numbers), 1)), upto], axis=1)[:, starts][:, owner]
+
+        left, mass = left_of(slope), left_of(curve)
+        values = x[placed, numbers[:, None]]
+        fits = same & (values[:, :-1] < values[:, 1:])
+        fits &= (mass[:, :-1] >= least) & ((full - mass)[:, :-1] >= least)
+        gain = np.full(left.shape, -np.inf)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            both = left**2 / (mass + p["penalty"]) + (whole - left) ** 2 / (full - mass + p["penalty"])
+            np.copyto(gain[:, :-1], (both - alone)[:, :-1], where=fits)
+        best = np.maximum.reduceat(gain, starts[held], axis=1)
+        column = best.argmax(axis=0)  # ties: the first column, then the lowest threshold
+        most = best[column, np.arange(len(held))]
+        at = np.flatnonzero(gain[column[place], np.arange(m)] == most[place])
+        _, where = np.unique(owner[at], return_index=True)
+        better = most > top
+        at, column = at[where][better], column[better]
+        top[better], chosen[better] = most[better], numbers[column]
+        # A split is never behind the last row; nodes without one are left out below.
+        low[better], high[better] = values[column, at], values[column, np.minimum(at + 1, m - 1)]
+        before[better], mass_before[better] = left[column, at], mass[column, at]
+    good = top > max(p["min_gain"], 1e-12)
+    threshold = low[good] / 2 + high[good] / 2  # -inf, where missing values are split off
+    return held[good], chosen[good], threshold, before[good], mass_before[good]
+
+
+def sorted_rows(x: np.ndarray) -> np.ndarray:
+    """The rows in the order of each column, in numbers of four bytes."""
+    order = np.empty(x.shape[::-1], np.int32)
+    for column, line in zip(x.T, order):
+        line[:] = np.argsort(column, kind="stable")
+    return order
 
 
 def grow(x, order, slope, curve, keep, columns, p):
@@ -132,7 +155,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, params: dict, weight: np.ndarray | N
     weight = np.ones(n) if weight is None else weight
     odds = p["loss"] == "logistic"
     rng = np.random.default_rng(p["seed"])
-    order = np.argsort(x.T, axis=1, kind="stable")
+    order = sorted_rows(x)
     base = 0.0 if odds else float((y * weight).sum() / weight.sum())
     predicted = np.full(n, base)
     made = []
@@ -159,7 +182,7 @@ def fit_forest(x: np.ndarray, y: np.ndarray, asked: np.ndarray, params: dict, we
     p = {**DEFAULTS, **params, "penalty": 0.0, "rate": 1.0}
     n, width = x.shape
     rng = np.random.default_rng(p["seed"])
-    order = np.argsort(x.T, axis=1, kind="stable")
+    order = sorted_rows(x)
     total = np.zeros(len(asked))
     for _ in range(p["trees"]):
         drawn = np.bincount(rng.integers(0, n, n), minlength=n) * weight

@@ -2,9 +2,8 @@
 
 The logistic family is fitted on all rows by Newton steps that all (setting, fold) pairs share: one pass adds up the
 gradient and curvature of each pair, a small system per pair is solved, and pairs that stand still
-drop out. Trees have no such sums; each (setting, fold) pair is a group of its own, fitted in one task on
-at most ``TREE_ROWS`` rows, chosen by a hash of the key. This bound holds for the search only: the family that wins is
-fitted on all rows.
+drop out. Trees have no such sums; each (setting, fold) pair is fitted on all rows in a task of its own, which
+reads the stored rows itself. Such a task holds all rows, so its memory and time grow with them.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import boosting
 
-TREE_ROWS = 20_000
 NEWTON_STEPS, TOLERANCE = 50, 1e-8
 PIECE_ROWS = 512
 
@@ -154,6 +152,20 @@ def logistic_scores(points: DataFrame, width: int, fits: dict[tuple[int, int], n
     return points.mapInArrow(run, "trial int, fold int, y double, probability double")
 
 
+def _all_rows(batches: Iterator[pa.RecordBatch], width: int) -> tuple:
+    """Number of the pair, features, targets and folds of all rows in the order of their keys; None each without rows."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return (None,) * 4
+    table = pa.Table.from_batches(held)
+    turn = pc.sort_indices(table.column("key")).to_numpy()
+    x = np.empty((len(turn), width))
+    for i in range(width):
+        x[:, i] = table.column(f"x{i}").to_numpy()[turn]
+    y, own = (table.column(c).to_numpy()[turn] for c in ("y", "fold"))
+    return table.column("pair")[0].as_py(), x, y, own
+
+
 def longest_first(settings: Sequence[dict], folds: int) -> list[tuple[int, int]]:
     """(setting, fold) pairs by the number of tree levels and columns they search, most first, as partitions are begun in order."""
 
@@ -164,37 +176,39 @@ def longest_first(settings: Sequence[dict], folds: int) -> list[tuple[int, int]]
     return [(t, f) for t in order for f in range(folds)]
 
 
-def tree_scores(points: DataFrame, width: int, folds: int, family: str, settings: Sequence[dict], rows: int = TREE_ROWS) -> DataFrame:
-    """``trial, fold, y, probability`` of the rows of each fold, every (trial, fold) fitted in a task of its own."""
-    n, parts = max(1, points.count()), 1 << 20
-    bounded = points.where(F.pmod(F.xxhash64(F.lit("tune"), "key"), F.lit(parts)) < parts * rows // n)
+def tree_scores(points: DataFrame, width: int, folds: int, family: str, settings: Sequence[dict]) -> DataFrame:
+    """``trial, fold, y, probability`` of the rows of each fold, every (trial, fold) fitted on all other rows in a task of its own.
+
+    ``points`` should be stored: every task reads them, so they are not shuffled once per pair.
+    """
     pairs = longest_first(settings, folds)
 
-    def fit(values: tuple, table: pa.Table) -> pa.Table:
-        trial, fold = pairs[values[0].as_py()]
-        table = table.sort_by("key")
-        x, y, own = _x(table, width), table.column("y").to_numpy(), table.column("fold").to_numpy()
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, x, y, own = _all_rows(batches, width)
+        if pair is None:
+            return
+        trial, fold = pairs[pair]
         rest, held = own != fold, own == fold
-        pos, total = y[rest].sum(), rest.sum()
+        asked, seen, targets = x[held], x[rest], y[rest]
+        del x
+        pos, total = targets.sum(), rest.sum()
         probability = np.full(held.sum(), np.nan)
         if 0 < pos < total:
             p = settings[trial]
             if family == "gbt":
-                weight = np.where(y[rest] == 1, (total - pos) / pos, 1.0)
-                trees = boosting.fit_trees(x[rest], y[rest], {**p, "loss": "logistic"}, weight)
-                probability = boosting.logistic(boosting.predict_trees(trees, x[held]))
+                weight = np.where(targets == 1, (total - pos) / pos, 1.0)
+                trees = boosting.fit_trees(seen, targets, {**p, "loss": "logistic"}, weight)
+                probability = boosting.logistic(boosting.predict_trees(trees, asked))
             else:
-                weight = np.where(y[rest] == 1, total / (2 * pos), total / (2 * (total - pos)))
-                probability = boosting.fit_forest(x[rest], y[rest], x[held], {"columns": 0.5, **p}, weight)
-        out = table.filter(pa.array(held)).select(["fold", "y"])
-        return out.add_column(0, "trial", pa.array(np.full(out.num_rows, trial, np.int32))).set_column(
-            1, "fold", out.column("fold").cast(pa.int32())
-        ).append_column("probability", pc.if_else(pc.is_nan(pa.array(probability)), None, pa.array(probability)))
-
-    # A partition per pair: by a hash some would hold several of the longest fits, others none.
-    return (
-        bounded.withColumn("pair", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))))
-        .repartitionById(len(pairs), "pair")
-        .groupBy("pair")
-        .applyInArrow(fit, "trial int, fold int, y double, probability double")
-    )
+                weight = np.where(targets == 1, total / (2 * pos), total / (2 * (total - pos)))
+                probability = boosting.fit_forest(seen, targets, asked, {"columns": 0.5, **p}, weight)
+        n = len(probability)
+        yield pa.record_batch(
+            [pa.array(np.full(n, trial, np.int32)), pa.array(np.full(n, fold, np.int32)), pa.array(y[held]),
+             pc.if_else(pc.is_nan(pa.array(probability)), None, pa.array(probability))], names=["trial", "fold", "y", "probability"]
+        )
+
+    # A partition per pair, in their order: the rows of one partition beside each of the pairs, whatever the sizes.
+    numbers = points.sparkSession.range(0, len(pairs), 1, len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    met = points.coalesce(1).hint("shuffle_replicate_nl").crossJoin(numbers)
+    return met.mapInArrow(fit, "trial int, fold int, y double, probability double")

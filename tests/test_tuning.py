@@ -214,3 +214,30 @@ def test_a_long_fit_keeps_to_half_of_the_cores(spark, monkeypatch):
     assert laid.rdd.getNumPartitions() == half and laid.count() == laid.distinct().count() == 4000
     monkeypatch.setattr(cl, "HALF_ROWS", (1, 10))
     assert cl.half_parts(table) is table  # too many rows for so few tasks
+
+
+def test_a_tree_search_takes_all_rows(spark):
+    """Every row is in the fits and scored, also beyond the 20,000 rows once drawn; no setting gets a shuffled copy."""
+    rows = 26_000
+    table = materialise(spark.range(rows).select(
+        F.col("id").cast("string").alias("key"), F.floor(F.col("id") / 8 % 2).cast("int").alias("fold"),
+        (F.col("id") % 8 < 2).cast("double").alias("y"), (F.col("id") % 8).cast("double").alias("x0"),
+    ))
+    for family in ("gbt", "forest"):
+        setting = {"rounds": 1, "trees": 1, "depth": 1, "rate": 1.0, "columns": 1.0, "penalty": 0.0}
+        scored = tuning.tree_scores(table, 1, 2, family, [setting])
+        assert "Exchange" not in scored._jdf.queryExecution().toString()
+        got = scored.groupBy("trial", "fold").agg(F.count("probability").alias("n"), F.corr("y", "probability").alias("r")).collect()
+        assert sorted((g["fold"], g["n"]) for g in got) == [(0, rows // 2), (1, rows // 2)]
+        assert all(g["r"] == pytest.approx(1.0) for g in got)
+
+
+def test_columns_searched_apart_give_the_same_trees(monkeypatch):
+    r = np.random.default_rng(8)
+    x = np.where(r.random((700, 6)) < 0.5, r.integers(0, 4, (700, 6)), r.normal(size=(700, 6)))
+    y = (x[:, 0] + r.normal(size=700) > 0.5).astype(float)
+    settings = {"rounds": 6, "depth": 5, "subsample": 0.8, "loss": "logistic"}
+    together = tuning.boosting.fit_trees(x, y, settings)
+    monkeypatch.setattr(tuning.boosting, "VALUES_AT_ONCE", 700)
+    apart = tuning.boosting.fit_trees(x, y, settings)
+    assert all(np.array_equal(getattr(together, k), getattr(apart, k)) for k in ("feature", "threshold", "value"))
