@@ -188,3 +188,43 @@ def test_neighbours_by_columns_match_brute_force(spark, monkeypatch, eps, part,
     monkeypatch.setattr(density, "box_tree", None)
     want = (((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) <= eps * eps).sum(axis=1)
     assert by_place(density.eps_neighbour_counts(as_rows(spark, x), eps), "n_neighbours") == want.tolist()
+
+
+@pytest.fixture
+def stored_plans(monkeypatch):
+    """Final plans of the tables that density stores, and of what is asked of it."""
+    plans, keep = [], density.materialise
+
+    def noting(df, label="table"):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, label)
+
+    monkeypatch.setattr(density, "materialise", noting)
+    return plans
+
+
+def test_dbscan_broadcasts_no_table(spark, stored_plans):
+    """Files of a few rows would all be broadcast, and each broadcast goes through the driver."""
+    out = density.dbscan_segments(as_rows(spark, crowd(5)), 0.03)
+    stored_plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    joined = {label for label, plan in stored_plans if "SortMergeJoin" in plan}
+    assert {"grid", "near-cells", "cores", "boxes", "labels", "result"} <= joined
+    assert not [label for label, plan in stored_plans if "BroadcastHashJoin" in plan and "_slice" not in plan]
+
+
+def test_near_cells_are_all_pairs_two_cells_apart_with_near_boxes(spark):
+    r = np.random.default_rng(9)
+    x = np.vstack([r.random((250, 3)) * 0.4 - 0.2, r.normal(3.0, 0.01, (60, 3))])
+    eps = 0.05
+    points, cells = density.grid(density._points(as_rows(spark, x), "card", NORM), eps, 5)
+    near = density.near_cells(cells, eps)
+    got = [(r.cell, r.ncell) for r in near.collect()]
+    place = np.floor(x / density.cell_side(eps)).astype(int)
+    names = [":".join(map(str, p)) for p in place]
+    touch = all_distances(x) <= eps
+    want = {(names[i], names[j]) for i, j in zip(*np.nonzero(touch))}
+    assert len(got) == len(set(got)) and want <= set(got)
+    boxes = {n: (x[[m == n for m in names]].min(axis=0), x[[m == n for m in names]].max(axis=0)) for n in set(names)}
+    for a, b in got:
+        gap = np.maximum(np.maximum(boxes[a][0] - boxes[b][1], boxes[b][0] - boxes[a][1]), 0)
+        assert (gap**2).sum() <= eps * eps
