@@ -228,3 +228,16 @@ def test_near_cells_are_all_pairs_two_cells_apart_with_near_boxes(spark):
     for a, b in got:
         gap = np.maximum(np.maximum(boxes[a][0] - boxes[b][1], boxes[b][0] - boxes[a][1]), 0)
         assert (gap**2).sum() <= eps * eps
+
+
+def test_many_centres_are_not_walked_one_by_one():
+    """Thousands of groups of equal rows as clusters took most of the time of a search for eps."""
+
+    class Walked(np.ndarray):
+        def __iter__(self):
+            raise AssertionError("centre by centre")
+
+    r = np.random.default_rng(10)
+    x, centres = r.random((128, 3)), r.random((256, 3))
+    few = np.hstack([segmentation._squares(x, centres[i : i + 8]) for i in range(0, 256, 8)])
+    assert np.array_equal(segmentation._squares(x, centres.view(Walked)), few)
