@@ -482,3 +482,12 @@ def test_run_table_joins_sales_once(spark, monkeypatch):
     found = {r.experiment: r.n for r in inputs.run_table(spark, "").groupBy("experiment").agg(F.count("*").alias("n")).collect()}
     assert len(calls) == 1
     assert found == {"demand_forecasting": 4, "monitoring": 3, "churn_classification": 2}
+
+
+def test_exact_silhouette_copies_a_row_to_few_blocks():
+    """A row is met by every block, so copies grew with the square of the rows; blocks of large tables grow first, up to a bound."""
+    assert segmentation.pair_blocks(0) == segmentation.pair_blocks(32_768) == 1 and segmentation.pair_blocks(900_000) == 28
+    assert segmentation.pair_blocks(5_400_000) == 44
+    for n in (10**6, 10**7, 10**8):
+        blocks = segmentation.pair_blocks(n)
+        assert n / blocks <= segmentation.MOST_PAIR_ROWS and blocks <= max(44, n / segmentation.MOST_PAIR_ROWS + 1)
