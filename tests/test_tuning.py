@@ -241,3 +241,22 @@ def test_columns_searched_apart_give_the_same_trees(monkeypatch):
     monkeypatch.setattr(tuning.boosting, "VALUES_AT_ONCE", 700)
     apart = tuning.boosting.fit_trees(x, y, settings)
     assert all(np.array_equal(getattr(together, k), getattr(apart, k)) for k in ("feature", "threshold", "value"))
+
+
+def test_cluster_searches_run_side_by_side(spark, monkeypatch):
+    """Each search waits for the other to begin."""
+    from tallyfold.plans import queries_models
+
+    met = threading.Barrier(2)
+
+    def sweep(rows):
+        met.wait(timeout=60)
+        return spark.createDataFrame([(3, 0.25), (4, 0.5)], "k int, silhouette_squared double")
+
+    def search(rows):
+        met.wait(timeout=60)
+        return spark.createDataFrame([(0.75, 5, 10)], "silhouette double, n_noise long, n_rows long")
+
+    monkeypatch.setattr(sg, "k_sweep", sweep)
+    monkeypatch.setattr(queries_models.density, "dbscan_search", search)
+    assert [tuple(r) for r in queries_models.champion_of(spark.range(1)).collect()] == [(0.5, 0.75, True, "dbscan")]
